@@ -4,13 +4,14 @@ Two ways to join, picked by measuring the increment:
 
 * it fits the broadcast bound: the target is only streamed past a hash table and never shuffled;
 * it does not: both sides are shuffled on ``(key, salt)``. The salt is 0 for ordinary keys. NULL keys, which match
-  nothing, and keys too common for one reducer are spread over all reducers, and the other side's few rows for such a
-  common key are repeated once per salt. No key, NULL included, can then fill a single task.
+  nothing, and keys too common for one reducer are spread over many, and the other side's few rows for such a common key
+  are repeated once per salt. No key, NULL included, can then fill a single task.
 """
 
 from __future__ import annotations
 
 import logging
+import math
 from dataclasses import dataclass
 from functools import reduce
 
@@ -30,13 +31,15 @@ from pyspark.sql.types import (
     StructType,
 )
 
-from tablekeep.session import col, quote
+from tablekeep.session import col, quote, settled
 
 log = logging.getLogger(__name__)
 
 BROADCAST_BYTES = 64 * 1024 * 1024
 MAX_HOT_KEYS = 1000
 TRACKED_KEYS = 10_000
+SALTS_PER_SHARE = 8
+SALTS_FOR_NULL = 64
 
 # Rough memory of a row, and of a value, beside the bytes of its text.
 ROW_OVERHEAD = 32
@@ -125,14 +128,15 @@ def _can_spread(data_type: DataType) -> bool:
     return isinstance(data_type, kinds)
 
 
-def common_keys(df: DataFrame, key: str, parts: int) -> list:
-    """Keys that hold more than one reducer's share of the rows (so fewer than ``parts`` of them).
+def common_keys(df: DataFrame, key: str, parts: int) -> dict[int, list]:
+    """Keys that hold more than one reducer's share of the rows, listed under the number of salts each is spread over.
 
-    A frequency sketch finds them in one pass without a shuffle. It only steers the routing of rows: results do not
-    depend on its counts, only on every key it names being a key of ``df``, which holds.
+    That number grows with the key's share, to a few salts per reducer it would fill, so all keys together are given
+    only a small multiple of ``parts``. A frequency sketch finds them in one pass without a shuffle. It only steers the
+    routing of rows: results do not depend on its counts, only on every key it names being a key of ``df``, which holds.
     """
     if not _can_spread(df.schema[key].dataType):
-        return []
+        return {}
     wanted = max(1, min(parts, MAX_HOT_KEYS))
     found = (
         df.select(col(key).alias(KEY))
@@ -141,32 +145,40 @@ def common_keys(df: DataFrame, key: str, parts: int) -> list:
         .first()
     )
     share = max(1.0, found["n"] / parts)
-    return [item["item"] for item in found["top"] or [] if item["count"] > share]
+    by_salts: dict[int, list] = {}
+    for item in found["top"] or []:
+        if item["count"] > share:
+            salts = 1 << math.ceil(math.log2(SALTS_PER_SHARE * item["count"] / share))
+            by_salts.setdefault(salts, []).append(item["item"])
+    return by_salts
 
 
-def _is_one_of(value: Column, keys: list) -> Column:
-    return value.isin(keys) if keys else F.lit(False)
+def _salts_of(key: Column, common: dict[int, list]) -> Column:
+    """How many salts a key is spread over; NULL for the keys that are not."""
+    out = F.when(F.lit(False), F.lit(0))
+    for salts, keys in sorted(common.items(), reverse=True):
+        out = out.when(key.isin(keys), F.lit(salts))
+    return out
 
 
-def _spread(df: DataFrame, parts: int) -> Column:
-    """A reducer number from the row's content and its map task: the same on a retry, different for copies elsewhere."""
-    content = [col(f.name) for f in df.schema.fields if isinstance(f.dataType, AtomicType)]
-    return F.pmod(F.xxhash64(F.spark_partition_id(), *content), F.lit(parts)).cast("int")
-
+def _salted(df: DataFrame, key: Column, common: dict[int, list], parts: int) -> DataFrame:
+    """Add the salt: spread for NULL and the common keys, else 0.
 
-def _salted(df: DataFrame, key: Column, spread_keys: list, parts: int) -> DataFrame:
-    """Add ``salt``: spread for NULL and the given keys, else 0."""
-    spread = key.isNull() | _is_one_of(key, spread_keys)
-    return df.withColumn(SALT, F.when(spread, _spread(df, parts)).otherwise(F.lit(0)))
+    The spread comes from the row's content and its map task: the same on a retry, different for copies elsewhere.
+    """
+    content = [col(f.name) for f in df.schema.fields if isinstance(f.dataType, AtomicType)]
+    salts = F.when(key.isNull(), F.lit(SALTS_FOR_NULL * parts)).otherwise(_salts_of(key, common))
+    place = F.pmod(F.xxhash64(F.spark_partition_id(), *content), salts).cast("int")
+    return df.withColumn(SALT, F.when(salts.isNotNull(), place).otherwise(F.lit(0)))
 
 
-def _repeated(df: DataFrame, key: Column, repeat_keys: list, parts: int) -> DataFrame:
-    """Repeat rows of the given keys once per salt, and mark the repeats; other rows keep their salt."""
-    if not repeat_keys:
+def _repeated(df: DataFrame, key: Column, common: dict[int, list]) -> DataFrame:
+    """Repeat rows of the common keys once per salt, and mark the repeats; other rows keep their salt."""
+    if not common:
         return df.withColumn(REPEATED, F.lit(False))
-    repeat = F.coalesce(_is_one_of(key, repeat_keys), F.lit(False))
-    salts = F.when(repeat, F.sequence(F.lit(0), F.lit(parts - 1))).otherwise(F.array(SALT))
-    return df.withColumn(REPEATED, repeat).withColumn(SALT, F.explode(salts))
+    salts = _salts_of(key, common)
+    repeats = F.when(salts.isNotNull(), F.sequence(F.lit(0), salts - 1)).otherwise(F.array(SALT))
+    return df.withColumn(REPEATED, salts.isNotNull()).withColumn(SALT, F.explode(repeats))
 
 
 # ---- NOT IN
@@ -201,12 +213,39 @@ def _anti(target: DataFrame, keys: DataFrame, key: str, seen: Profile, limit: in
     parts = _reducers(spark)
     hot = common_keys(target, key, parts)
     left = _salted(target, col(key), hot, parts)
-    right = _repeated(keys.withColumn(SALT, F.lit(0)), F.col(KEY), hot, parts)
+    right = _repeated(keys.withColumn(SALT, F.lit(0)), F.col(KEY), hot)
     right = right.select(KEY, F.col(SALT).alias(OTHER_SALT))
     joined = left.join(right, (col(key) == F.col(KEY)) & (F.col(SALT) == F.col(OTHER_SALT)), "left_anti")
     return joined.drop(SALT)
 
 
+# ---- equal rows
+
+
+def collapse_copies(df: DataFrame, key: str, broadcast_limit: int | None = None) -> DataFrame:
+    """``distinct``, for a table whose key is nearly unique: only rows that may have a copy are shuffled.
+
+    Equal rows have equal keys, so a first pass over the key column alone finds the keys that repeat. Rows of the other
+    keys go through untouched; with no repeated key, that is the whole table. Where too many keys repeat to be broadcast,
+    all rows are compared.
+    """
+    keyed = df.select(col(key).alias(KEY))
+    repeated = keyed.groupBy(KEY).count().where("count > 1").select(KEY)
+    repeated = settled(repeated)
+    seen = profile(repeated, KEY)
+    if seen.rows == 0:
+        return df
+    if not fits_broadcast(df.sparkSession, seen.size, broadcast_limit):
+        return df.distinct()
+    known = F.broadcast(repeated.where(F.col(KEY).isNotNull()))
+    same = col(key) == F.col(KEY)
+    again = df.join(known, same, "left_semi")
+    if not seen.null_keys:
+        return df.join(known, same, "left_anti").union(again.distinct())
+    once = df.where(col(key).isNotNull()).join(known, same, "left_anti")
+    return once.union(again.union(df.where(col(key).isNull())).distinct())
+
+
 # ---- merge match
 
 
@@ -215,8 +254,11 @@ def reject_ambiguous(target: DataFrame, source: DataFrame, key: str, seen: Profi
     if seen.most_copies < 2:
         return
     twice = source.where(col(key).isNotNull()).groupBy(col(key).alias(KEY)).count().where("count > 1").select(KEY)
-    present = target.select(col(key).alias(KEY)).distinct()
-    clash = twice.join(present, KEY, "left_semi").first()
+    present = target.select(col(key).alias(KEY))
+    if fits_broadcast(target.sparkSession, seen.size):
+        clash = present.join(F.broadcast(twice), KEY, "left_semi").first()
+    else:
+        clash = twice.join(present.distinct(), KEY, "left_semi").first()
     if clash is not None:
         raise AmbiguousMatchError(f"several source rows match target key {key} = {clash[KEY]!r}")
 
@@ -249,10 +291,11 @@ def match_rows(
         parts = _reducers(spark)
         hot_target = common_keys(target, key, parts)
         # A repeated increment key is in no target row by now, so spreading it splits no match.
-        hot_source = common_keys(source, key, parts) if seen.most_copies > 1 else []
-        hot_source = [k for k in hot_source if k not in hot_target]
+        hot_source = common_keys(source, key, parts) if seen.most_copies > 1 else {}
+        there = {k for keys in hot_target.values() for k in keys}
+        hot_source = {n: [k for k in keys if k not in there] for n, keys in hot_source.items()}
         left = _salted(t, t_key, hot_target, parts)
-        right = _repeated(_salted(s, s_key, hot_source, parts), s_key, hot_target, parts)
+        right = _repeated(_salted(s, s_key, hot_source, parts), s_key, hot_target)
         right = right.withColumnRenamed(SALT, OTHER_SALT)
         paired = left.join(right, (t_key == s_key) & (F.col(SALT) == F.col(OTHER_SALT)), "full_outer")
         # A repeat left over is no new row: its key is common in the target and met it under another salt.

@@ -5,6 +5,7 @@ from __future__ import annotations
 import logging
 import time
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,6 +14,7 @@ from tablekeep.operators.tables import (
     create_table_like,
     drop_table,
     insert_rows,
+    location_of,
     own_properties,
     partition_columns,
     provider_of,
@@ -166,10 +168,6 @@ def compact_files(spark: SparkSession, table: str, file_bytes: int = TARGET_FILE
 
 def has_sink_log(spark: SparkSession, table: str) -> bool:
     """Whether a streaming file sink keeps its log in the table's folder: readers trust it, a swap would lose it."""
-    from pyspark.errors import AnalysisException
-
-    from tablekeep.operators.tables import location_of
-
     try:
         log_dir = spark.read.format("binaryFile").load(location_of(spark, table).rstrip("/") + "/_spark_metadata")
         return not log_dir.select("path").limit(1).isEmpty()

@@ -6,7 +6,14 @@ import logging
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tablekeep.operators.matching import anti_not_in, merged_rows, profile, reject_ambiguous, warn_float_key
+from tablekeep.operators.matching import (
+    anti_not_in,
+    collapse_copies,
+    merged_rows,
+    profile,
+    reject_ambiguous,
+    warn_float_key,
+)
 from tablekeep.operators.relational import union_distinct
 from tablekeep.operators.tables import check_positions
 from tablekeep.operators.upkeep import is_lake_table, rebuild, recover
@@ -24,7 +31,10 @@ def rewritten_rows(target: DataFrame, source: DataFrame, key: str, broadcast_lim
     check_positions(target.schema, source.schema)
     warn_float_key(target.schema[key].dataType, key)
     kept = anti_not_in(target, source, key, broadcast_limit=broadcast_limit)
-    return union_distinct(kept, source)
+    if [c.lower() for c in target.columns] != [c.lower() for c in source.columns]:
+        return union_distinct(kept, source)
+    # No kept row has a key of the source, so equal rows are on one side: the big side is then not shuffled with the rest.
+    return collapse_copies(kept, key, broadcast_limit).union(source.distinct())
 
 
 def upsert_rewrite(

@@ -11,7 +11,7 @@ import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import Column, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -46,6 +46,11 @@ def shared_dir(spark: SparkSession) -> str:
     return tempfile.mkdtemp(prefix="tablekeep-")
 
 
+def settled(df: DataFrame) -> DataFrame:
+    """``df`` written once to the checkpoint folder, where the session names one, so that it is not computed again."""
+    return df.checkpoint() if df.sparkSession.conf.get("spark.checkpoint.dir", None) else df
+
+
 class Workspace:
     """A scratch area in the shared folder: files under ``path`` and tables in a database of its own."""
 

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import json
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tablekeep.session import col
 
@@ -29,7 +32,7 @@ def scan_json(spark: SparkSession, path: str, schema: StructType, corrupt_column
     """
     reader = spark.read.options(**JSON_TIMESTAMPS)
     if corrupt_column:
-        schema = StructType(schema.fields).add(corrupt_column, StringType(), True)
+        schema = StructType([*schema.fields, StructField(corrupt_column, StringType(), True)])
         reader = reader.option("columnNameOfCorruptRecord", corrupt_column)
     return reader.schema(schema).json(path)
 
@@ -44,8 +47,6 @@ def scan_json_inferred(spark: SparkSession, path: str) -> DataFrame:
 
 def remembered_schema(spark: SparkSession, path: str, schema_dir: str) -> StructType:
     """The schema of JSON files, inferred on first use and kept in ``schema_dir`` for every later use."""
-    from pyspark.errors import AnalysisException
-
     try:
         kept = spark.read.text(schema_dir).first()
     except AnalysisException:
@@ -55,8 +56,6 @@ def remembered_schema(spark: SparkSession, path: str, schema_dir: str) -> Struct
         schema = reader.json(path).schema
         spark.createDataFrame([(schema.json(),)], "value string").coalesce(1).write.mode("overwrite").text(schema_dir)
         return schema
-    import json
-
     return StructType.fromJson(json.loads(kept.value))
 
 
