@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tablekeep.operators.tables import (
     OWN_PROPERTY,
     create_table_like,
+    create_typed_table,
     drop_table,
     insert_rows,
     location_of,
@@ -21,7 +22,7 @@ from tablekeep.operators.tables import (
     set_properties,
     table_exists,
 )
-from tablekeep.session import col, qualified, quote
+from tablekeep.session import col, qualified
 from tablekeep.sources.files import file_inventory
 
 log = logging.getLogger(__name__)
@@ -117,14 +118,11 @@ def convert_format(spark: SparkSession, table: str, provider: str = "orc", parti
         return
     drop_table(spark, table + NEW)
     rows = spark.table(qualified(table))
-    parts = f" PARTITIONED BY ({', '.join(map(quote, partition_by))})" if partition_by else ""
-    hint = f"/*+ REBALANCE({', '.join(map(quote, partition_by))}) */ " if partition_by else ""
-    spark.sql(
-        f"CREATE TABLE {qualified(table + NEW)} USING {provider}{parts} AS SELECT {hint}* FROM {qualified(table)}"
-    )
-    written = spark.table(qualified(table + NEW)).schema
-    if {f.name: f.dataType for f in written} != {f.name: f.dataType for f in rows.schema}:
-        raise TypeError(f"{provider} does not keep the column types of {table}")
+    # Partition columns come last in a table.
+    order = [c for c in rows.columns if c not in (partition_by or [])] + (partition_by or [])
+    rows = rows.select(*map(col, order))
+    create_typed_table(spark, table + NEW, rows.schema, provider, partition_by=partition_by)
+    insert_rows(rows, table + NEW)
     _keep_properties(spark, table, table + NEW)
     publish(spark, table, table + NEW)
 
@@ -169,7 +167,8 @@ def compact_files(spark: SparkSession, table: str, file_bytes: int = TARGET_FILE
 def has_sink_log(spark: SparkSession, table: str) -> bool:
     """Whether a streaming file sink keeps its log in the table's folder: readers trust it, a swap would lose it."""
     try:
-        log_dir = spark.read.format("binaryFile").load(location_of(spark, table).rstrip("/") + "/_spark_metadata")
-        return not log_dir.select("path").limit(1).isEmpty()
+        # Spark reads no rows of such a hidden folder, but it does say when a path is missing.
+        spark.read.text(location_of(spark, table).rstrip("/") + "/_spark_metadata")
+        return True
     except AnalysisException:
         return False
