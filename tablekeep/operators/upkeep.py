@@ -32,6 +32,7 @@ OLD = "_OLD"
 NEW = "_NEW"
 
 SUPERSEDED_AT = OWN_PROPERTY + "superseded_at"
+READY = OWN_PROPERTY + "ready"
 TARGET_FILE_BYTES = 256 * 1024 * 1024
 
 # Formats whose tables have row-level changes, file compaction and revision removal as SQL commands of their own.
@@ -46,8 +47,14 @@ def is_lake_table(spark: SparkSession, table: str) -> bool:
 
 
 def recover(spark: SparkSession, table: str) -> bool:
-    """Undo a publish that stopped between its two renames: no live table, but a superseded one."""
-    if table_exists(spark, table) or not table_exists(spark, table + OLD):
+    """Put right what a failure left behind: a publish between its two renames, or partitions not all overwritten."""
+    if table_exists(spark, table):
+        if not table_exists(spark, table + NEW) or READY not in own_properties(spark, table + NEW):
+            return False
+        log.warning("%s was left with partitions half overwritten: the rest is written now", table)
+        _overwrite_from_staged(spark, table)
+        return True
+    if not table_exists(spark, table + OLD):
         return False
     log.warning("%s was left half published: its former state is put back", table)
     _rename(spark, table + OLD, table)
@@ -87,6 +94,29 @@ def _keep_properties(spark: SparkSession, table: str, copy: str, extra: dict[str
     set_properties(spark, copy, {**kept, **(extra or {})})
 
 
+def overwrite_partitions(spark: SparkSession, table: str, rows: DataFrame) -> None:
+    """Replace the partitions that occur in ``rows`` by ``rows``, which may be read from the table itself.
+
+    They are written beside the table first; only then are the partitions of the live table overwritten.
+    """
+    drop_table(spark, table + NEW)
+    create_table_like(spark, table + NEW, table)
+    insert_rows(rows, table + NEW)
+    # From here on a failure is put right by writing again from the staged rows.
+    set_properties(spark, table + NEW, {READY: "true"})
+    _overwrite_from_staged(spark, table)
+
+
+def _overwrite_from_staged(spark: SparkSession, table: str) -> None:
+    # Which partitions an overwrite replaces is a session setting; a session beside the caller's leaves that alone.
+    replacing = spark.newSession()
+    replacing.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    staged = replacing.table(qualified(table + NEW))
+    staged.hint("rebalance", *map(col, partition_columns(spark, table))).write.insertInto(qualified(table), overwrite=True)
+    spark.catalog.refreshTable(qualified(table))
+    drop_table(spark, table + NEW)
+
+
 def purge_superseded(spark: SparkSession, table: str, retain_hours: float = 168) -> bool:
     """Drop ``<table>_OLD`` once it has been superseded for ``retain_hours``; refuse while no live table exists."""
     if not table_exists(spark, table):

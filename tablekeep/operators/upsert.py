@@ -2,24 +2,32 @@
 
 from __future__ import annotations
 
-import logging
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import functions as F
 
 from tablekeep.operators.matching import (
+    IN_SOURCE,
+    IN_TARGET,
+    SOURCE_PREFIX,
+    TARGET_PREFIX,
+    Profile,
     anti_not_in,
     collapse_copies,
+    match_rows,
     merged_rows,
     profile,
     reject_ambiguous,
     warn_float_key,
 )
 from tablekeep.operators.relational import union_distinct
-from tablekeep.operators.tables import check_positions
-from tablekeep.operators.upkeep import is_lake_table, rebuild, recover
-from tablekeep.session import qualified, quote
+from tablekeep.operators.tables import check_positions, partition_columns, set_properties
+from tablekeep.operators.upkeep import is_lake_table, overwrite_partitions, rebuild, recover
+from tablekeep.session import col, qualified, quote
 
-log = logging.getLogger(__name__)
+# More partitions than this are no small part of a table: it is rebuilt.
+MAX_TOUCHED = 500
 
 
 def rewritten_rows(target: DataFrame, source: DataFrame, key: str, broadcast_limit: int | None = None) -> DataFrame:
@@ -53,18 +61,66 @@ def upsert_merge(
     key: str,
     broadcast_limit: int | None = None,
     properties: dict[str, str] | None = None,
+    touched_only: bool = False,
 ) -> None:
     """Merge an increment into a table: matched rows are updated in all columns, the others inserted.
 
     A lake table is changed by its own MERGE, which rewrites only the files it must. Any other table is rebuilt in one
-    pass and published; ``properties`` then go live with the new rows.
+    pass and published; ``properties`` then go live with the new rows. With ``touched_only``, a partitioned table has only
+    the partitions rewritten that the increment reaches, where that is safe (see ``_touched_partitions``).
     """
     recover(spark, table)
+    target = spark.table(qualified(table))
     if is_lake_table(spark, table):
-        target = spark.table(qualified(table))
         reject_ambiguous(target, source, key, profile(source, key))
         on = source.alias("s")[quote(key)] == target[quote(key)]
         source.alias("s").mergeInto(qualified(table), on).whenMatched().updateAll().whenNotMatched().insertAll().merge()
         return
-    rows = merged_rows(spark.table(qualified(table)), source, key, broadcast_limit)
-    rebuild(spark, table, rows, properties)
+    seen = profile(source, key)
+    parts = partition_columns(spark, table)
+    touched = _touched_partitions(target, source, key, parts, seen, broadcast_limit) if touched_only and parts else None
+    if touched is None:
+        rebuild(spark, table, merged_rows(target, source, key, broadcast_limit, seen), properties)
+        return
+    if touched:
+        reached = target.where(_in_partitions(parts, touched))
+        overwrite_partitions(spark, table, merged_rows(reached, source, key, broadcast_limit, seen))
+    set_properties(spark, table, properties or {})
+
+
+def _touched_partitions(
+    target: DataFrame, source: DataFrame, key: str, parts: list[str], seen: Profile, broadcast_limit: int | None
+) -> list[Row] | None:
+    """Partitions an increment reaches, or None when the whole table has to be rebuilt.
+
+    Overwriting partitions is not one transaction, so it must be safe to repeat after a failure halfway: the keys of the
+    increment are set and unique, and no row moves to another partition. Only the key and partition columns are read.
+    """
+    if seen.null_keys or seen.most_copies > 1:
+        return None
+    pairs = match_rows(
+        target.select(col(key), *map(col, parts)), source.select(col(key), *map(col, parts)), key, broadcast_limit
+    ).where(F.col(IN_SOURCE))
+    same = reduce(
+        lambda a, b: a & b, (col(TARGET_PREFIX + p).eqNullSafe(col(SOURCE_PREFIX + p)) for p in parts), F.lit(True)
+    )
+    reached = (
+        pairs.withColumn("moved", F.col(IN_TARGET) & ~same)
+        .groupBy(*(col(SOURCE_PREFIX + p).alias(p) for p in parts))
+        .agg(F.max("moved").alias("moved"))
+        .limit(MAX_TOUCHED + 1)
+        .collect()
+    )
+    if len(reached) > MAX_TOUCHED or any(r["moved"] for r in reached):
+        return None
+    return reached
+
+
+def _in_partitions(parts: list[str], wanted: list[Row]) -> Column:
+    """A condition on partition columns alone, so that the other partitions are not even listed for the scan."""
+    if len(parts) == 1:
+        values = [r[parts[0]] for r in wanted if r[parts[0]] is not None]
+        some = col(parts[0]).isin(values) if values else F.lit(False)
+        return some | col(parts[0]).isNull() if len(values) < len(wanted) else some
+    every = (reduce(lambda a, b: a & b, (col(p).eqNullSafe(F.lit(r[p])) for p in parts)) for r in wanted)
+    return reduce(lambda a, b: a | b, every)

@@ -98,11 +98,14 @@ def ingest_upsert(
     max_files: int | None = None,
     max_bytes: str | None = None,
     broadcast_limit: int | None = None,
+    touched_only: bool = False,
 ) -> None:
     """Merge new raw rows into an existing table, one merge per micro-batch.
 
     Within a batch the last row of a key by ``order_by`` counts. The id of the last batch merged is a property of the
     table and goes live with its rows, so a batch replayed after a failure is not merged, or even read, again.
+    Each merge rebuilds the table, so let a run take all it finds as one batch, or partition the table and set
+    ``touched_only``.
     """
 
     def merge(batch: DataFrame, batch_id: int) -> None:
@@ -115,7 +118,7 @@ def ingest_upsert(
         batch.persist()
         try:
             rows = latest_per_key(batch, key, order_by)
-            upsert_merge(inner, table, rows, key, broadcast_limit, {mark: str(batch_id)})
+            upsert_merge(inner, table, rows, key, broadcast_limit, {mark: str(batch_id)}, touched_only)
         finally:
             batch.unpersist()
 

@@ -6,9 +6,11 @@ import loans
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
+from test_queries import plan_of
 
 from tablekeep.operators import relational, tables, upkeep
-from tablekeep.operators.upsert import upsert_merge, upsert_rewrite
+from tablekeep.operators.matching import merged_rows
+from tablekeep.operators.upsert import _in_partitions, upsert_merge, upsert_rewrite
 from tablekeep.schemas import BRONZE_TRANSACTIONS, TRANSACTIONS
 from tablekeep.session import Workspace, qualified, shared_dir
 from tablekeep.sources import files
@@ -164,6 +166,81 @@ def test_rebuild_keeps_partitions_and_own_properties(spark, ws):
     assert bag(read(spark, live)) == collections.Counter([(i, i % 3) for i in range(18)] + [(i, 7) for i in range(18, 25)])
 
 
+# ---- merging into the touched partitions only
+
+
+@pytest.fixture
+def parted(spark, ws):
+    df = spark.range(40).selectExpr("id", "'t' as v", "cast(id % 4 as int) as p", "if(id % 8 = 0, null, 'q') as q")
+    return filled(ws, "t", df, partition_by=["p", "q"]), df
+
+
+def files_of(spark, name):
+    rows = read(spark, name).select("p", "q", "_metadata.file_path")
+    return {(r["p"], r["q"]): r["file_path"] for r in rows.collect()}
+
+
+CHANGES = {
+    # The increment, and whether only its partitions may be rewritten.
+    "one partition": ("id in (1, 5)", "p", "id", True),
+    "null partition value": ("id in (0, 8, 3)", "p", "id", True),
+    "a row moves": ("id in (1, 5)", "2", "id", False),
+    "null key": ("id in (1, 5)", "p", "if(id = 1, null, id)", False),
+    "new key twice": ("id in (1, 5)", "p", "99", False),
+}
+
+
+@pytest.mark.parametrize("case", CHANGES)
+@pytest.mark.parametrize("limit", [None, 0])
+def test_only_touched_partitions_are_rewritten(spark, parted, case, limit):
+    where, p, key, in_place = CHANGES[case]
+    live, df = parted
+    new = df.where("id < 2").selectExpr("id + 100 as id", "'n' as v", "1 as p", "'q' as q")
+    source = df.where(where).selectExpr(f"cast({key} as bigint) as id", "'s' as v", f"cast({p} as int) as p", "q").union(new)
+    before = files_of(spark, live)
+    expected = bag(merged_rows(df, source, "id").select("id", "v", "p", "q"))
+    upsert_merge(spark, live, source, "id", limit, {"tablekeep.note": "done"}, touched_only=True)
+    assert bag(read(spark, live).select("id", "v", "p", "q")) == expected
+    assert tables.own_properties(spark, live)["tablekeep.note"] == "done"
+    after = files_of(spark, live)
+    untouched = [k for k in before if before[k] == after.get(k)]
+    assert tables.table_exists(spark, live + upkeep.OLD) != in_place
+    assert bool(untouched) == in_place
+    if in_place:
+        # Repeating the merge, as after a failure, changes nothing.
+        upsert_merge(spark, live, source, "id", limit, touched_only=True)
+        assert bag(read(spark, live).select("id", "v", "p", "q")) == expected
+
+
+def test_half_overwritten_partitions_are_finished(spark, parted, monkeypatch):
+    live, df = parted
+    source = df.where("id in (1, 5)").withColumn("v", F.lit("s")).select("id", "v", "p", "q")
+    original = upkeep._overwrite_from_staged
+
+    def fail(inner, table):
+        inner.sql(f"alter table {table} drop partition (p = 1, q = 'q')")
+        raise OSError("lost")
+
+    monkeypatch.setattr(upkeep, "_overwrite_from_staged", fail)
+    with pytest.raises(OSError):
+        upsert_merge(spark, live, source, "id", touched_only=True)
+    monkeypatch.setattr(upkeep, "_overwrite_from_staged", original)
+    spark.catalog.refreshTable(live)
+    assert read(spark, live).where("p = 1").count() == 0
+    upsert_merge(spark, live, source, "id", touched_only=True)
+    assert bag(read(spark, live).select("id", "v", "p", "q")) == bag(merged_rows(df, source, "id").select("id", "v", "p", "q"))
+    assert not tables.table_exists(spark, live + upkeep.NEW)
+
+
+def test_touched_merge_reads_and_writes_few_partitions(spark, ws):
+    df = spark.range(1000).selectExpr("id", "'t' as v", "cast(id % 50 as int) as p")
+    live = filled(ws, "t", df, partition_by=["p"])
+    plan = plan_of(read(spark, live).where(_in_partitions(["p"], [{"p": 3}, {"p": 4}])))
+    assert "PartitionFilters: [p#" in plan and "IN (3,4)" in plan
+    upsert_merge(spark, live, df.where("id < 0"), "id", touched_only=True)
+    assert read(spark, live).count() == 1000
+
+
 # ---- conversion and compaction
 
 
