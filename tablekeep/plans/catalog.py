@@ -331,9 +331,10 @@ def _(spark, sf_dir):
 
 @registered("compact_files", "select *, true as fewer_files from orders")
 def _(spark, sf_dir):
-    """Orders written as many small files, then compacted."""
+    """Orders written as more, smaller files than they came in, then compacted."""
     orders = table(spark, sf_dir, "orders")
-    made = saved(Workspace(spark), "orders", orders.repartition(24, "o_orderkey"))
+    many = max(8, 4 * orders.rdd.getNumPartitions())
+    made = saved(Workspace(spark), "orders", orders.repartition(many, "o_orderkey"))
     before = files.file_inventory(read(spark, made)).count()
     upkeep.compact_files(spark, made)
     after = files.file_inventory(read(spark, made)).count()
