@@ -3,7 +3,7 @@
 Two ways to join, picked by measuring the increment:
 
 * it fits the broadcast bound: the target is only streamed past a hash table and never shuffled;
-* it does not: both sides are shuffled on ``(key, salt)``. The salt is 0 for ordinary keys. NULL keys, which match
+* it does not: both sides are shuffled, on the key alone if no key is common, else on ``(key, salt)``. The salt is 0 for ordinary keys. NULL keys, which match
   nothing, and keys too common for one reducer are spread over many, and the other side's few rows for such a common key
   are repeated once per salt. No key, NULL included, can then fill a single task.
 """
@@ -128,20 +128,42 @@ def _can_spread(data_type: DataType) -> bool:
     return isinstance(data_type, kinds)
 
 
-def common_keys(df: DataFrame, key: str, parts: int) -> dict[int, list]:
-    """Keys that hold more than one reducer's share of the rows, listed under the number of salts each is spread over.
+@dataclass(frozen=True)
+class Common:
+    """Keys that hold more than one reducer's share of the rows, and whether NULL does.
+
+    The keys are listed under the number of salts each is spread over. That number grows with the key's share, to a few
+    salts per reducer it would fill, so all keys together are given only a small multiple of the number of reducers.
+    """
+
+    keys: dict[int, list]
+    nulls: bool
+
+    def __bool__(self) -> bool:
+        return self.nulls or any(self.keys.values())
+
+    def without(self, other: Common) -> Common:
+        gone = {k for keys in other.keys.values() for k in keys}
+        return Common({n: [k for k in keys if k not in gone] for n, keys in self.keys.items()}, self.nulls)
+
 
-    That number grows with the key's share, to a few salts per reducer it would fill, so all keys together are given
-    only a small multiple of ``parts``. A frequency sketch finds them in one pass without a shuffle. It only steers the
-    routing of rows: results do not depend on its counts, only on every key it names being a key of ``df``, which holds.
+NONE_COMMON = Common({}, False)
+
+
+def common_keys(df: DataFrame, key: str, parts: int) -> Common:
+    """Find the common keys of ``df`` for ``parts`` reducers.
+
+    A frequency sketch takes one pass over the key column and no shuffle. It only steers the routing of rows: results do
+    not depend on its counts, only on every key it names being a key of ``df``, which holds.
     """
-    if not _can_spread(df.schema[key].dataType):
-        return {}
+    spreadable = _can_spread(df.schema[key].dataType)
     wanted = max(1, min(parts, MAX_HOT_KEYS))
+    top = F.expr(f"approx_top_k({KEY}, {wanted}, {TRACKED_KEYS}) FILTER (WHERE {KEY} IS NOT NULL)")
     found = (
         df.select(col(key).alias(KEY))
-        .where(F.col(KEY).isNotNull())
-        .agg(F.count("*").alias("n"), F.expr(f"approx_top_k({KEY}, {wanted}, {TRACKED_KEYS})").alias("top"))
+        .agg(
+            F.count("*").alias("n"), F.count(KEY).alias("keyed"), (top if spreadable else F.lit(None)).alias("top")
+        )
         .first()
     )
     share = max(1.0, found["n"] / parts)
@@ -150,18 +172,18 @@ def common_keys(df: DataFrame, key: str, parts: int) -> dict[int, list]:
         if item["count"] > share:
             salts = 1 << math.ceil(math.log2(SALTS_PER_SHARE * item["count"] / share))
             by_salts.setdefault(salts, []).append(item["item"])
-    return by_salts
+    return Common(by_salts, found["n"] - found["keyed"] > share)
 
 
-def _salts_of(key: Column, common: dict[int, list]) -> Column:
+def _salts_of(key: Column, common: Common) -> Column:
     """How many salts a key is spread over; NULL for the keys that are not."""
     out = F.when(F.lit(False), F.lit(0))
-    for salts, keys in sorted(common.items(), reverse=True):
+    for salts, keys in sorted(common.keys.items(), reverse=True):
         out = out.when(key.isin(keys), F.lit(salts))
     return out
 
 
-def _salted(df: DataFrame, key: Column, common: dict[int, list], parts: int) -> DataFrame:
+def _salted(df: DataFrame, key: Column, common: Common, parts: int) -> DataFrame:
     """Add the salt: spread for NULL and the common keys, else 0.
 
     The spread comes from the row's content and its map task: the same on a retry, different for copies elsewhere.
@@ -172,9 +194,9 @@ def _salted(df: DataFrame, key: Column, common: dict[int, list], parts: int) ->
     return df.withColumn(SALT, F.when(salts.isNotNull(), place).otherwise(F.lit(0)))
 
 
-def _repeated(df: DataFrame, key: Column, common: dict[int, list]) -> DataFrame:
+def _repeated(df: DataFrame, key: Column, common: Common) -> DataFrame:
     """Repeat rows of the common keys once per salt, and mark the repeats; other rows keep their salt."""
-    if not common:
+    if not common.keys:
         return df.withColumn(REPEATED, F.lit(False))
     salts = _salts_of(key, common)
     repeats = F.when(salts.isNotNull(), F.sequence(F.lit(0), salts - 1)).otherwise(F.array(SALT))
@@ -212,6 +234,8 @@ def _anti(target: DataFrame, keys: DataFrame, key: str, seen: Profile, limit: in
         return target.join(F.broadcast(keys), col(key) == F.col(KEY), "left_anti")
     parts = _reducers(spark)
     hot = common_keys(target, key, parts)
+    if not hot:
+        return target.join(keys, col(key) == F.col(KEY), "left_anti")
     left = _salted(target, col(key), hot, parts)
     right = _repeated(keys.withColumn(SALT, F.lit(0)), F.col(KEY), hot)
     right = right.select(KEY, F.col(SALT).alias(OTHER_SALT))
@@ -291,19 +315,25 @@ def match_rows(
         parts = _reducers(spark)
         hot_target = common_keys(target, key, parts)
         # A repeated increment key is in no target row by now, so spreading it splits no match.
-        hot_source = common_keys(source, key, parts) if seen.most_copies > 1 else {}
-        there = {k for keys in hot_target.values() for k in keys}
-        hot_source = {n: [k for k in keys if k not in there] for n, keys in hot_source.items()}
-        left = _salted(t, t_key, hot_target, parts)
-        right = _repeated(_salted(s, s_key, hot_source, parts), s_key, hot_target)
-        right = right.withColumnRenamed(SALT, OTHER_SALT)
-        paired = left.join(right, (t_key == s_key) & (F.col(SALT) == F.col(OTHER_SALT)), "full_outer")
-        # A repeat left over is no new row: its key is common in the target and met it under another salt.
-        paired = paired.where(F.col(IN_TARGET).isNotNull() | ~F.col(REPEATED))
+        hot_source = common_keys(source, key, parts) if seen.most_copies > 1 or seen.null_keys else NONE_COMMON
+        hot_source = hot_source.without(hot_target)
+        paired = _full_outer(t, s, t_key, s_key, hot_target, hot_source, parts)
     flags = [F.coalesce(F.col(f), F.lit(False)).alias(f) for f in (IN_TARGET, IN_SOURCE)]
     return paired.select(*flags, *(col(c) for c in order if c not in (IN_TARGET, IN_SOURCE)))
 
 
+def _full_outer(
+    t: DataFrame, s: DataFrame, t_key: Column, s_key: Column, hot_target: Common, hot_source: Common, parts: int
+) -> DataFrame:
+    if not hot_target and not hot_source:
+        return t.join(s, t_key == s_key, "full_outer")
+    left = _salted(t, t_key, hot_target, parts)
+    right = _repeated(_salted(s, s_key, hot_source, parts), s_key, hot_target).withColumnRenamed(SALT, OTHER_SALT)
+    paired = left.join(right, (t_key == s_key) & (F.col(SALT) == F.col(OTHER_SALT)), "full_outer")
+    # A repeat left over is no new row: its key is common in the target and met it under another salt.
+    return paired.where(F.col(IN_TARGET).isNotNull() | ~F.col(REPEATED))
+
+
 def merged_rows(
     target: DataFrame, source: DataFrame, key: str, broadcast_limit: int | None = None, seen: Profile | None = None
 ) -> DataFrame:

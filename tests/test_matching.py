@@ -217,6 +217,11 @@ def test_shuffled_form_does_not_broadcast(spark):
     s = spark.range(50).select("id", F.lit("s").alias("v"))
     plan = plan_of(matching.merged_rows(t, s, "id", 0))
     assert "SortMergeJoin FullOuter" in plan and "BroadcastExchange" not in plan
+    assert matching.SALT not in plan
+    hot = t.union(spark.range(1000).select(F.lit(7).cast("bigint"), F.lit("t")))
+    plan = plan_of(matching.merged_rows(hot, s, "id", 0))
+    assert "SortMergeJoin FullOuter" in plan and "BroadcastExchange" not in plan
+    assert matching.SALT in plan
 
 
 def test_broadcasts_off_is_obeyed(spark):
@@ -236,7 +241,7 @@ def test_common_keys_are_found_and_spread(spark, tasks, text):
         F.expr("case when id % 3 = 0 then 7 when id % 3 = 1 then null else id end").alias("id"), F.expr(text).alias("v")
     )
     common = matching.common_keys(t, "id", 64)
-    assert common == {256: [7]}
+    assert common == matching.Common({256: [7]}, True)
     salted = matching._salted(t, F.col("id"), common, 64)
     reducers = F.pmod(F.hash("id", F.col(matching.SALT)), F.lit(64)).alias("r")
     loads = [r["count"] for r in salted.groupBy(reducers).count().collect()]
