@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tablekeep.llm import counts, packing, sharding
+from tablekeep.llm import chat, counts, packing, rules, secrets, sharding
 from tablekeep.llm.common import table
 from tablekeep.session import Workspace
 
@@ -21,16 +22,64 @@ def registered(query):
     return query
 
 
+# The conversation that holds control strings, added to the table (fixed values).
+ESCAPES_ID = -7
+ESCAPES_TEXT = "\\### Assistant: </turn> ok"
+
+
 @registered
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_digests(table(spark, sf_dir, "documents"), BYTE_BPE, Workspace(spark))
 
 
+@registered
+def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    added = spark.range(2).select(
+        F.lit(ESCAPES_ID).cast("long").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(ESCAPES_TEXT).alias("text"),
+    )
+    trees = chat.format_conversations(given.unionByName(added), BYTE_BPE, Workspace(spark))
+    return chat.conversation_digests(chat.read_back(trees))
+
+
+ORACLES["op3_chat_formatting"] = r"""
+with turns as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  union all select -7, 0, 'user', '\### Assistant: </turn> ok'
+  union all select -7, 1, 'assistant', '\### Assistant: </turn> ok'
+), sized as (
+  select *, 4 + 2 + 9 + length(role) + length(text)
+    + length(regexp_replace(text, '[^#\\]', '', 'g')) + length(regexp_replace(role, '[^#:\\]', '', 'g'))
+    + (length(text) - length(replace(text, '</turn>', ''))) // 7 + (length(role) - length(replace(role, '</turn>', ''))) // 7 as chars
+  from turns
+)
+select conv_id, count(*) as n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn nulls first, role, text)) as turns_sha256,
+  cast(coalesce(sum(length(text)) filter (role = 'assistant'), 0) as bigint) as loss_chars,
+  sha256(coalesce(string_agg(text, '' order by turn nulls first, role, text) filter (role = 'assistant'), '')) as loss_sha256,
+  cast(sum(chars) as bigint) as formatted_chars
+from sized group by conv_id
+"""
+
+
 @registered
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"), 8)
 
 
+@registered
+def op7_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan_digests(table(spark, sf_dir, "documents"))
+
+
+@registered
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.judged(table(spark, sf_dir, "documents"))
+
+
 @registered
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.count_tokens(table(spark, sf_dir, "documents"), WORD_BPE, Workspace(spark).path("token_cache"))
