@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablekeep.llm import chat, counts, packing, rules, secrets, sharding
+from tablekeep.llm import chat, counts, decontaminate, packing, rules, secrets, sharding, simhash
 from tablekeep.llm.common import table
 from tablekeep.session import Workspace
 
@@ -32,6 +32,45 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_digests(table(spark, sf_dir, "documents"), BYTE_BPE, Workspace(spark))
 
 
+@registered
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contamination(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), Workspace(spark)
+    )
+    return found.drop("digest")
+
+
+ORACLES["op2_decontamination"] = r"""
+with d0 as (
+  select doc_id, row_number() over () as r, coalesce(text, '') as text from documents
+), dw as (
+  select doc_id, r, list_filter(string_split_regex(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') as w from d0
+), iw as (
+  select cast(item_id as varchar) as item, list_filter(string_split_regex(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') as w
+  from benchmark
+), win as (
+  select distinct item, least(10, len(w)) as n, array_to_string(w[p:p + least(10, len(w)) - 1], ' ') as s
+  from (select item, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) as p from iw where len(w) > 0)
+), lens as (
+  select distinct n from win
+), dwin as (
+  select r, n, p, array_to_string(w[p:p + n - 1], ' ') as s
+  from (select r, w, n, unnest(range(1, len(w) - n + 2)) as p from dw, lens where len(w) >= n)
+), hit as (
+  select r, p, n, item from dwin join win using (n, s)
+), covered as (
+  select r, count(distinct q) as n_hit from (select r, unnest(range(p, p + n)) as q from hit) group by r
+), named as (
+  select r, count(distinct item) as n_items, sha256(string_agg(distinct item, ',' order by item)) as h from hit group by r
+)
+select doc_id, cast(len(w) as bigint) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+  coalesce(h, sha256('')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from dw left join covered using (r) left join named using (r)
+"""
+
+
 @registered
 def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -65,6 +104,12 @@ from sized group by conv_id
 """
 
 
+@registered
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"), Workspace(spark))
+    return found.select("doc_id", simhash.fingerprint_digits(F.col("fp")).alias("fingerprint"), "component_id")
+
+
 @registered
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"), 8)
