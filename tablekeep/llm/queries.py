@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablekeep.llm import chat, counts, decontaminate, packing, rules, secrets, sharding, simhash
+from tablekeep.llm import chat, counts, decontaminate, lm, packing, quality, rules, secrets, sharding, simhash
 from tablekeep.llm.common import table
 from tablekeep.session import Workspace
 
@@ -115,6 +115,11 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"), 8)
 
 
+@registered
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), Workspace(spark))
+
+
 @registered
 def op7_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan_digests(table(spark, sf_dir, "documents"))
@@ -128,3 +133,8 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.count_tokens(table(spark, sf_dir, "documents"), WORD_BPE, Workspace(spark).path("token_cache"))
+
+
+@registered
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_documents(table(spark, sf_dir, "documents"), Workspace(spark))
