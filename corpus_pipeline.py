@@ -1,16 +1,58 @@
-"""The corpus pipeline: stages over the documents table, each calling one operator."""
+"""The corpus pipeline: from all documents to packed training sequences, each stage one operator on what the last kept."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-STAGES: list = []
+from tablekeep.llm import decontaminate, packing, quality, secrets, simhash
+from tablekeep.llm.common import table
+from tablekeep.llm.queries import BYTE_BPE
+from tablekeep.session import Workspace
+
+
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier rejects go."""
+    return quality.keep_good(docs, table(spark, sf_dir, "labels"), Workspace(spark))
+
+
+def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies stays: the one of the smallest ``doc_id``."""
+    return simhash.one_of_each(docs, Workspace(spark))
+
+
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a window of the benchmark go."""
+    return decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark"), Workspace(spark))
+
+
+def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets are taken out of the texts; all documents stay."""
+    return secrets.redact(docs)
+
+
+def sequence_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces with their ids and their places in sequences of 2048 tokens."""
+    return packing.pack(docs, BYTE_BPE, Workspace(spark))
+
+
+STAGES = [
+    ("quality classifier", quality_classifier),
+    ("SimHash near-dedup", simhash_near_dedup),
+    ("benchmark decontamination", benchmark_decontamination),
+    ("secret scans", secret_scans),
+    ("packing", sequence_packing),
+]
+
+# The classifier, the hashes and the tokenizer are beyond SQL; tests/llm holds the rows against a brute-force version.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Apply the stages to ``documents``, each on what the one before kept."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    """Apply the stages to ``documents``. Each result is written to the shared folder and read again by the next stage."""
+    ws = Workspace(spark)
+    docs = table(spark, sf_dir, "documents")
+    for number, (_, stage) in enumerate(STAGES[:-1]):
+        path = ws.path(f"stage_{number}")
+        stage(spark, docs, sf_dir).write.mode("overwrite").parquet(path)
+        docs = spark.read.parquet(path)
+    return STAGES[-1][1](spark, docs, sf_dir)

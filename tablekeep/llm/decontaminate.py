@@ -173,3 +173,12 @@ def contamination(docs: DataFrame, benchmark: DataFrame, ws: Workspace) -> DataF
         "copies",
     ).withColumn("contaminated", F.col("n_hit") > 0)
     return out.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).drop("__copy", "copies")
+
+
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, ws: Workspace) -> DataFrame:
+    """The documents, all columns, in which no window of the benchmark occurs."""
+    bad = contamination(docs, benchmark, ws).where("contaminated")
+    bad = bad.select(F.col("doc_id").alias("__d"), F.col("digest").alias("__g")).distinct()
+    marked = docs.withColumn("__digest", F.md5(text_or_empty()))
+    same = F.col("doc_id").eqNullSafe(F.col("__d")) & (F.col("__digest") == F.col("__g"))
+    return marked.join(bad, same, "left_anti").drop("__digest")

@@ -27,8 +27,10 @@ from tablekeep.session import Workspace, col
 
 FOLDS = 5
 THRESHOLD = 0.3
-STEPS = 12
-RIDGE = 1e-3
+EVALUATIONS = 24
+# Regularisation and the tolerated negative part, for n positives: what sampling noise of n rows calls for.
+RIDGE_TIMES_N = 30.0
+SLACK_TIMES_ROOT_N = 1.0
 
 _UPPER = bytes(range(65, 91))
 _LOWER = bytes(range(97, 123))
@@ -126,38 +128,35 @@ def _sums(xs: np.ndarray, positive: np.ndarray, w: np.ndarray, prior_weight: flo
     return np.concatenate([gradient, hessian.ravel(), [positive_loss, negative_part]])
 
 
-def newton(total, width: int, ridge: float = RIDGE, steps: int = STEPS) -> np.ndarray:
+def newton(total, width: int, ridge: float, slack: float, evaluations: int = EVALUATIONS) -> np.ndarray:
     """Minimise the non-negative risk; ``total(w)`` gives the sums of ``_sums`` over all rows.
 
-    The unbiased risk is convex. A step that would make its negative part less than zero, or the risk larger, is halved.
+    The unbiased risk is convex, so Newton steps serve. A step that raises the risk, or takes its negative part more than
+    ``slack`` under zero (which only overfitting does), is halved.
     """
 
     def risk(sums, w):
-        return sums[-2] + max(0.0, sums[-1]) + 0.5 * ridge * float(w[1:] @ w[1:])
+        return sums[-2] + max(-slack, sums[-1]) + 0.5 * ridge * float(w[1:] @ w[1:])
 
-    w = np.zeros(width)
-    sums = total(w)
     penalty = np.full(width, ridge)
     penalty[0] = 1e-9
-    step_left = steps
-    while step_left > 0:
+    w = np.zeros(width)
+    sums = total(w)
+    while evaluations > 0:
         gradient = sums[:width] + penalty * w
         hessian = sums[width : width + width * width].reshape(width, width) + np.diag(penalty + 1e-9)
-        move, size = np.linalg.solve(hessian, gradient), 1.0
-        better = False
-        while step_left > 0 and size > 0.05:
-            step_left -= 1
+        move, size, better = np.linalg.solve(hessian, gradient), 1.0, False
+        while evaluations > 0 and size > 0.02 and not better:
+            evaluations -= 1
             candidate = w - size * move
             now = total(candidate)
-            if now[-1] >= 0 and risk(now, candidate) < risk(sums, w) + 1e-12:
-                better = True
-                break
+            better = now[-1] >= -slack and risk(now, candidate) < risk(sums, w)
             size /= 2
         if not better:
             break
         gained = risk(sums, w) - risk(now, candidate)
         w, sums = candidate, now
-        if gained < 1e-6:
+        if gained < 1e-5:
             break
     return w
 
@@ -223,7 +222,8 @@ def fit(rows: DataFrame, prior: float) -> Model:
         each = prior / n_positive, 1.0 / (n - n_positive)
         return _summed(rows, lambda x, positive: _sums((x - mean) / spread, positive, w, *each), WIDTH + WIDTH * WIDTH + 2)
 
-    return Model(newton(total, WIDTH), mean, spread, prior)
+    ridge, slack = RIDGE_TIMES_N / n_positive, SLACK_TIMES_ROOT_N / np.sqrt(n_positive)
+    return Model(newton(total, WIDTH, ridge, slack), mean, spread, prior)
 
 
 def trained(found: DataFrame, labels: DataFrame, ws: Workspace) -> Model:

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablekeep.llm.common import doc_texts, settled
+from tablekeep.llm.common import doc_texts, settled, text_or_empty
 from tablekeep.llm.components import component_roots
 from tablekeep.session import Workspace
 
@@ -57,14 +57,14 @@ def fingerprint(text: str) -> int:
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """``doc_id, fp`` of every row. One scan."""
+    """``doc_id, digest, fp`` of every row, with the MD5 of the text (null text: empty). One scan."""
 
     def of(batches):
         for batch in batches:
             found = pa.array([fingerprint(t.as_py()) for t in batch.column("text")], pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), found], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("digest"), found], ["doc_id", "digest", "fp"])
 
-    return doc_texts(docs).mapInArrow(of, "doc_id long, fp long")
+    return doc_texts(docs).withColumn("digest", F.md5("text")).mapInArrow(of, "doc_id long, digest string, fp long")
 
 
 def pivot_fingerprints(n: int = PIVOTS) -> list[int]:
@@ -159,7 +159,7 @@ def near_roots(distinct: DataFrame, ws: Workspace, radius: int = RADIUS) -> Data
 
 def near_duplicates(docs: DataFrame, ws: Workspace, radius: int = RADIUS) -> DataFrame:
     """``doc_id, fp, component_id`` of every row: the smallest ``doc_id`` that links reach, the row itself included."""
-    rows = settled(fingerprints(docs), ws, "fingerprints")
+    rows = settled(fingerprints(docs).drop("digest"), ws, "fingerprints")
     # Copies meet in one row before anything is compared.
     distinct = settled(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), ws, "distinct")
     roots = settled(near_roots(distinct.select("fp"), ws, radius), ws, "roots")
@@ -172,3 +172,16 @@ def near_duplicates(docs: DataFrame, ws: Workspace, radius: int = RADIUS) -> Dat
 def fingerprint_digits(fp: Column) -> Column:
     """Sixteen lowercase hex digits."""
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
+
+
+def one_of_each(docs: DataFrame, ws: Workspace, radius: int = RADIUS) -> DataFrame:
+    """The documents, all columns, with one of each component: the row of the smallest ``doc_id`` (ties: by its text's
+    digest; of rows equal in both, one)."""
+    key = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "digest")
+    found = settled(fingerprints(docs), ws, "fingerprints")
+    roots = settled(near_roots(found.select("fp").distinct(), ws, radius), ws, "roots")
+    kept = found.join(roots, "fp").groupBy("root").agg(F.min(key).alias("kept"))
+    kept = kept.select(F.col("kept.doc_id").alias("__d"), F.col("kept.digest").alias("__g"))
+    marked = docs.withColumn("__digest", F.md5(text_or_empty()))
+    same = F.col("doc_id").eqNullSafe(F.col("__d")) & (F.col("__digest") == F.col("__g"))
+    return marked.join(kept, same, "left_semi").dropDuplicates(["doc_id", "__digest"]).drop("__digest")
