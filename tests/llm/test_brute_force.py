@@ -1,0 +1,286 @@
+"""The operators against plain versions of what they compute, over odd rows."""
+
+import collections
+import hashlib
+import math
+import re
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+import xxhash
+from tokenizers import Tokenizer
+
+from odd_rows import odd_docs  # noqa: F401
+
+from tablekeep.llm import chat, counts, decontaminate, lm, packing, quality, rules, secrets, sharding, simhash
+from tablekeep.llm.automaton import compile_rules
+from tablekeep.llm.eliasfano import EliasFano, packed, unpacked
+
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+
+
+def plain(df):
+    return [(r["doc_id"], r["text"] or "") for r in df.select("doc_id", "text").collect()]
+
+
+def bag(rows):
+    return collections.Counter(map(tuple, rows))
+
+
+def library(path, text):
+    return Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids
+
+
+def test_packing(ws, odd_docs):
+    rows = packing.pack(odd_docs, BYTE_BPE, ws, 256).collect()
+    by_doc = collections.defaultdict(list)
+    for r in rows:
+        by_doc[r["doc_id"]].append(r)
+    for doc_id, text in plain(odd_docs):
+        ids = [*library(BYTE_BPE, text), 1]
+        cut = {(r["start"], r["ids"]) for r in by_doc[doc_id] if r["doc_tokens"] == len(ids)}
+        assert {(a, np.array(ids[a : a + 256], "<u4").tobytes()) for a in range(0, len(ids), 256)} <= cut
+    places = collections.defaultdict(list)
+    for r in rows:
+        places[r["sequence_id"]].append((r["offset"], r["length"]))
+    assert sorted(places) == list(range(len(places)))
+    for found in places.values():
+        at = 0
+        for offset, length in sorted(found):
+            assert offset == at
+            at += length
+        assert at <= 256
+
+
+def test_placements_cover_every_rank_once():
+    rng = np.random.default_rng(5)
+    histogram = {int(k): int(n) for k, n in zip(rng.choice(2048, 300, False) + 1, rng.integers(1, 50, 300))}
+    filled, seen = collections.Counter(), collections.Counter()
+    for length, rank, first, number, offset in packing.place_lengths(histogram, 2048):
+        for k in range(number):
+            assert filled[first + k] == offset
+            filled[first + k] += length
+            seen[length, rank + k] += 1
+    assert set(seen.values()) == {1} and collections.Counter(k for k, _ in seen) == histogram
+    assert max(filled.values()) <= 2048
+    assert sum(filled.values()) / (2048 * len(filled)) > 0.97
+
+
+def words(text):
+    lower = "".join(c.lower() if "A" <= c <= "Z" else c for c in text)
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower)
+
+
+@pytest.mark.parametrize("broadcast", ["10m", "-1"])
+def test_decontamination(spark, ws, odd_docs, broadcast):
+    long_text = plain(odd_docs)[10][1]
+    items = [(1, "ALPHA"), (2, long_text), (3, long_text), (3, long_text), (4, None), (5, "..."), (6, "x7 of"), (None, "word word"), (7, "not there at all " * 9)]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    try:
+        got = decontaminate.contamination(odd_docs, benchmark, ws).drop("digest", "contaminated").collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    expected = []
+    for doc_id, text in plain(odd_docs):
+        have, hit, found = words(text), set(), set()
+        for item, item_text in items:
+            w = words(item_text or "")
+            n = min(10, len(w))
+            for window in {tuple(w[i : i + n]) for i in range(len(w) - n + 1)} if n else ():
+                for at in range(len(have) - n + 1):
+                    if tuple(have[at : at + n]) == window:
+                        hit.update(range(at, at + n))
+                        found.add(item)
+        ids = sorted(str(i) for i in found if i is not None)
+        expected.append((doc_id, len(have), len(hit), len(ids), hashlib.sha256(",".join(ids).encode()).hexdigest()))
+    assert bag(got) == bag(expected)
+
+
+def test_chat_round_trip(spark, ws):
+    turns = [(1, 0, "user", "hi"), (1, 1, "assistant", "\\### </turn> #"), (2, 0, "user", "hi"), (2, 1, "assistant", "other"), (2, 2, None, None)]
+    turns += [(3, 0, "user", "hi"), (4, None, "a: b", "</turn>\n### user: x"), (None, 5, "assistant", ""), (5, 0, "user", "hi"), (5, 0, "user", "hi")]
+    trees = chat.format_conversations(spark.createDataFrame(turns, "conv_id long, turn long, role string, text string"), BYTE_BPE, ws)
+    back = collections.defaultdict(list)
+    for r in sorted(chat.read_back(trees).collect(), key=lambda r: r["depth"]):
+        back[r["conv_id"]].append(chat.parsed_turn(r["formatted"]))
+    given = collections.defaultdict(list)
+    for conv, _, role, text in turns:
+        given[conv].append((role or "", text or ""))
+    assert back == given
+    nodes = chat.position_ids(trees.nodes).collect()
+    assert len({(r["tree"], r["start"]) for r in nodes}) == len(nodes)
+    assert sum(r["formatted"] == "### user: hi </turn>\n" for r in nodes) == 2  # once as a first turn, once after itself
+    for r in nodes:
+        seen = sum(i["end"] - i["start"] for i in r["attention"])
+        assert seen == r["position_start"] + r["n_tokens"] and len(r["position_ids"]) == r["n_tokens"]
+
+
+def test_simhash(ws, odd_docs):
+    def plain_fingerprint(text):
+        w = text.encode().lower().split()
+        hashes = [xxhash.xxh64_intdigest(b" ".join(w[i : i + 4]), 42) for i in range(max(1, len(w) - 3))] if w else []
+        return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+    rows = plain(odd_docs)
+    fps = [plain_fingerprint(t) for _, t in rows]
+    label = list(range(len(rows)))
+    for _ in rows:
+        for i in range(len(rows)):
+            near = [j for j in range(len(rows)) if (fps[i] ^ fps[j]).bit_count() <= 4]
+            label[i] = min(label[j] for j in near)
+    ids = {k: min((rows[i][0] for i in range(len(rows)) if label[i] == k and rows[i][0] is not None), default=None) for k in set(label)}
+    expected = [(d, fps[i] - (fps[i] >> 63 << 64), ids[label[i]]) for i, (d, _) in enumerate(rows)]
+    assert bag(simhash.near_duplicates(odd_docs, ws).collect()) == bag(expected)
+    assert len(simhash.one_of_each(odd_docs, ws).collect()) == len(set(label))
+
+
+def test_simhash_links_of_dense_groups(spark, ws):
+    rng = np.random.default_rng(2)
+    base = [int(x) for x in rng.integers(0, 1 << 62, 30)]
+    fps = {b ^ sum(1 << int(k) for k in rng.choice(62, rng.integers(0, 7), False)) for b in base for _ in range(60)} | set(base)
+    got = dict(simhash.near_roots(spark.createDataFrame([(x,) for x in fps], "fp long"), ws).collect())
+    order = np.array(sorted(fps))
+    root = {int(x): int(x) for x in order}
+    changed = True
+    while changed:
+        changed = False
+        for x in order:
+            near = order[np.bitwise_count(order ^ x) <= 4]
+            least = min(root[int(y)] for y in near)
+            changed |= least < root[int(x)]
+            root[int(x)] = least
+    assert got == root
+
+
+def test_block_masks_leave_no_pair_out():
+    for n in (10, 1 << 24, 1 << 40):
+        masks = simhash.block_masks(n)
+        for bits in ((0, 1, 2, 3), (0, 20, 40, 63), (10, 11, 32, 53)):
+            differ = sum(1 << b for b in bits)
+            assert any(m % (1 << 64) & differ == 0 for m in masks)
+
+
+def test_sharding(odd_docs):
+    rows = sharding.shard_documents(odd_docs, 8).collect()
+    expected = [(d, len(t.encode()) + 1, zlib.crc32(t.encode())) for d, t in plain(odd_docs)]
+    assert bag((r["doc_id"], r["size"], r["text_crc32"]) for r in rows) == bag(expected)
+    for shard in {r["shard"] for r in rows}:
+        slots = sorted(r["slot"] for r in rows if r["shard"] == shard)
+        assert slots == list(range(len(slots)))
+    assert all(r["grown_shard"] in (r["shard"], 8) for r in rows)
+
+
+def test_jump_moves_only_what_it_must():
+    keys = np.random.default_rng(1).integers(0, 1 << 63, 20_000).astype(np.uint64)
+    for n in (1, 2, 8, 100):
+        old, new = sharding.jump(keys, n), sharding.jump(keys, n + 1)
+        moved = old != new
+        assert (new[moved] == n).all() and abs(moved.mean() - 1 / (n + 1)) < 0.02 and old.max() == n - 1
+
+
+def test_secrets(odd_docs):
+    assign = re.compile(r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII)
+    kinds = (("assign", assign, lambda m: len(m[1]) >= 6), ("access", re.compile("AKIA[A-Z0-9]+"), lambda m: len(m[0]) >= 20), ("hex", re.compile("[0-9a-f]+"), lambda m: len(m[0]) >= 24))
+
+    def base(text):
+        found = [(m.start(), k, m.end(), kind) for k, (kind, rx, good) in enumerate(kinds) for m in rx.finditer(text) if good(m)]
+        return ",".join(f"{kind}:{a}:{b}" for a, _, b, kind in sorted(found))
+
+    got = secrets.scan_digests(odd_docs).select("doc_id", "base_sha256").collect()
+    assert bag(got) == bag((d, hashlib.sha256(base(t).encode()).hexdigest()) for d, t in plain(odd_docs))
+    for text in ("token=token: abcdefgh", "é secret = 'abc' token:abcdef", "0" * 23 + "g" + "a" * 24, "APIKEY=a=b/c.d-e_f"):
+        spans = [s for s in secrets.text_spans(text) if s[2] < 3]
+        assert secrets.listed(spans) == base(text)
+    assert secrets.redacted("é token=abcdef123 x") == "é [REDACTED] x"
+
+
+def test_automaton_agrees_with_re():
+    patterns = ["a(b|c)*d", "(?i:xy)z{2,3}", "[0-9]+\\.", "q?r"]
+    dfa = compile_rules(patterns)
+    for text in ("abcbd", "XyzzZ zz", "12.3.", "qr r", "abd1.xyzz"):
+        state, ends = dfa.start, collections.defaultdict(set)
+        for i, b in enumerate(text.encode()):
+            state = dfa.next[state + b]
+            for rule in dfa.rules.get(state, ()):
+                ends[rule].add(i + 1)
+        for k, p in enumerate(patterns):
+            assert ends[k] == {j for j in range(1, len(text) + 1) if any(re.fullmatch(p, text[i:j]) for i in range(j))}
+
+
+def test_quality_rules(odd_docs):
+    for r in rules.judged(odd_docs).collect():
+        texts = [t for d, t in plain(odd_docs) if d == r["doc_id"]]
+        assert any(tuple(r[m] for m in rules.MEASURES) == brute_measures(t) for t in texts)
+        assert r["base_failed"] == (r["n_words"] < 50 or 100 * r["n_repeat_words"] > 50 * r["n_words"])
+        assert not (r["kept"] and r["base_failed"])
+
+
+def brute_measures(text):
+    w = re.findall(r"[^\x20\x09-\x0D]+", text)
+    windows = collections.Counter(tuple(w[i : i + 3]) for i in range(len(w) - 2))
+    again = {i + k for i in range(len(w) - 2) if windows[tuple(w[i : i + 3])] > 1 for k in range(3)}
+    lines = [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    return len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", text)), len(lines) - len(set(lines)), len(again)
+
+
+def test_token_counts_and_cache(spark, ws, odd_docs):
+    cache = ws.path("cache")
+    expected = bag((d, len(t.encode()), len(library(WORD_BPE, t))) for d, t in plain(odd_docs))
+    for _ in range(2):  # the second time everything is in the cache
+        got = counts.count_tokens(odd_docs, WORD_BPE, cache).drop("over_limit").collect()
+        assert bag(got) == expected
+        stored = spark.read.parquet(cache)
+        assert stored.count() == stored.select("digest").distinct().count()
+
+
+def test_classifier_separates(spark, ws):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    rows = quality.scored(docs, labels, ws).join(labels, "doc_id").where("held_out").collect()
+    right = sum(r["predicted"] == r["quality"] for r in rows)
+    assert right / len(rows) > 0.95 and all(0 <= r["score"] <= 1 for r in rows)
+
+
+def test_classifier_without_positives(spark, ws, odd_docs):
+    labels = spark.createDataFrame([(1, 0), (None, 1)], "doc_id long, quality int")
+    assert len(quality.scored(odd_docs, labels, ws).collect()) == odd_docs.count()
+
+
+def test_lm_scores(ws, odd_docs):
+    rows = plain(odd_docs)
+    tokens = [[*t.encode().lower().split(), b"\n"] for _, t in rows]
+    train = [w for (d, _), w in zip(rows, tokens) if zlib.crc32(str(d if d is not None else "").encode()) % 10]
+    one, two = collections.Counter(x for w in train for x in w), collections.Counter(p for w in train for p in zip(w, w[1:]))
+    n, v = sum(one.values()), len(one)
+    p = {w: (one[w] + 0.1) / (n + 0.1 * (v + 1)) for ws_ in tokens for w in ws_}
+    kept = collections.Counter()
+    for (a, _), k in two.items():
+        kept[a] += (k - 0.75) / one[a] if k >= 2 else 0
+
+    def bigram(a, b):
+        if min(one[a], one[b]) < 2:
+            return math.log10(p[b])
+        if two[a, b] >= 2:
+            return math.log10((two[a, b] - 0.75) / one[a] + (1 - kept[a]) * p[b])
+        return math.log10(1 - kept[a]) + math.log10(p[b])
+
+    expected = sorted((len(w), sum(x in one for x in w), sum(math.log10(p[x]) for x in w), math.log10(p[w[0]]) + sum(map(bigram, w, w[1:]))) for w in tokens)
+    got = sorted((r["n_tokens"], r["n_known"], r["base_score"], r["score"]) for r in lm.score_documents(odd_docs, ws).collect())
+    for a, b in zip(expected, got, strict=True):
+        assert a[:2] == b[:2] and abs(a[2] - b[2]) < 1e-6 * a[0] and abs(a[3] - b[3]) < 0.03 * a[0]
+
+
+def test_elias_fano():
+    rng = np.random.default_rng(1)
+    for n, universe in ((0, 10), (1, 1), (5, 1000), (1000, 1 << 44), (5000, 6000), (3000, 3000 * 900)):
+        values = np.unique(rng.integers(0, universe, n)).astype(np.uint64)
+        ef = EliasFano.from_arrays(unpacked(np.frombuffer(packed(EliasFano.of(values, universe).arrays()), np.uint8)))
+        place = {int(x): i for i, x in enumerate(values)}
+        asked = np.concatenate([values, rng.integers(0, universe, 500).astype(np.uint64)])
+        assert ef.find(asked).tolist() == [place.get(int(x), -1) for x in asked]
+        assert not len(values) or (ef.access(np.arange(len(values))) == values).all()
