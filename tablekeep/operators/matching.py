@@ -3,15 +3,13 @@
 Two ways to join, picked by measuring the increment:
 
 * it fits the broadcast bound: the target is only streamed past a hash table and never shuffled;
-* it does not: both sides are shuffled, on the key alone if no key is common, else on ``(key, salt)``. The salt is 0 for ordinary keys. NULL keys, which match
-  nothing, and keys too common for one reducer are spread over many, and the other side's few rows for such a common key
-  are repeated once per salt. No key, NULL included, can then fill a single task.
+* it does not: both sides are shuffled on the key, by semi, anti and left joins with the target (or the increment) on the
+  left, which are the types that AQE splits where a key is common. NULL keys match nothing, so they are not joined at all.
 """
 
 from __future__ import annotations
 
 import logging
-import math
 from dataclasses import dataclass
 from functools import reduce
 
@@ -20,13 +18,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (
     AtomicType,
     BinaryType,
-    BooleanType,
     DataType,
-    DateType,
-    DecimalType,
-    DoubleType,
     FloatType,
-    IntegralType,
     StringType,
     StructType,
 )
@@ -36,10 +29,6 @@ from tablekeep.session import col, quote, settled
 log = logging.getLogger(__name__)
 
 BROADCAST_BYTES = 64 * 1024 * 1024
-MAX_HOT_KEYS = 1000
-TRACKED_KEYS = 10_000
-SALTS_PER_SHARE = 8
-SALTS_FOR_NULL = 64
 
 # Rough memory of a row, and of a value, beside the bytes of its text.
 ROW_OVERHEAD = 32
@@ -52,9 +41,6 @@ SOURCE_PREFIX = "s_"
 
 # Working columns, named so that no table column is likely to clash.
 KEY = "__key"
-SALT = "__salt"
-OTHER_SALT = "__other_salt"
-REPEATED = "__repeated"
 
 
 class AmbiguousMatchError(ValueError):
@@ -116,93 +102,6 @@ def warn_float_key(data_type: DataType, key: str) -> None:
         log.warning("key %s is a float: whole numbers above 2^24 collide", key)
 
 
-# ---- spreading common keys
-
-
-def _reducers(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-
-def _can_spread(data_type: DataType) -> bool:
-    kinds = (IntegralType, StringType, DateType, DecimalType, BooleanType, FloatType, DoubleType)
-    return isinstance(data_type, kinds)
-
-
-@dataclass(frozen=True)
-class Common:
-    """Keys that hold more than one reducer's share of the rows, and whether NULL does.
-
-    The keys are listed under the number of salts each is spread over. That number grows with the key's share, to a few
-    salts per reducer it would fill, so all keys together are given only a small multiple of the number of reducers.
-    """
-
-    keys: dict[int, list]
-    nulls: bool
-
-    def __bool__(self) -> bool:
-        return self.nulls or any(self.keys.values())
-
-    def without(self, other: Common) -> Common:
-        gone = {k for keys in other.keys.values() for k in keys}
-        return Common({n: [k for k in keys if k not in gone] for n, keys in self.keys.items()}, self.nulls)
-
-
-NONE_COMMON = Common({}, False)
-
-
-def common_keys(df: DataFrame, key: str, parts: int) -> Common:
-    """Find the common keys of ``df`` for ``parts`` reducers.
-
-    A frequency sketch takes one pass over the key column and no shuffle. It only steers the routing of rows: results do
-    not depend on its counts, only on every key it names being a key of ``df``, which holds.
-    """
-    spreadable = _can_spread(df.schema[key].dataType)
-    wanted = max(1, min(parts, MAX_HOT_KEYS))
-    top = F.expr(f"approx_top_k({KEY}, {wanted}, {TRACKED_KEYS}) FILTER (WHERE {KEY} IS NOT NULL)")
-    found = (
-        df.select(col(key).alias(KEY))
-        .agg(
-            F.count("*").alias("n"), F.count(KEY).alias("keyed"), (top if spreadable else F.lit(None)).alias("top")
-        )
-        .first()
-    )
-    share = max(1.0, found["n"] / parts)
-    by_salts: dict[int, list] = {}
-    for item in found["top"] or []:
-        if item["count"] > share:
-            salts = 1 << math.ceil(math.log2(SALTS_PER_SHARE * item["count"] / share))
-            by_salts.setdefault(salts, []).append(item["item"])
-    return Common(by_salts, found["n"] - found["keyed"] > share)
-
-
-def _salts_of(key: Column, common: Common) -> Column:
-    """How many salts a key is spread over; NULL for the keys that are not."""
-    out = F.when(F.lit(False), F.lit(0))
-    for salts, keys in sorted(common.keys.items(), reverse=True):
-        out = out.when(key.isin(keys), F.lit(salts))
-    return out
-
-
-def _salted(df: DataFrame, key: Column, common: Common, parts: int) -> DataFrame:
-    """Add the salt: spread for NULL and the common keys, else 0.
-
-    The spread comes from the row's content and its map task: the same on a retry, different for copies elsewhere.
-    """
-    content = [col(f.name) for f in df.schema.fields if isinstance(f.dataType, AtomicType)]
-    salts = F.when(key.isNull(), F.lit(SALTS_FOR_NULL * parts)).otherwise(_salts_of(key, common))
-    place = F.pmod(F.xxhash64(F.spark_partition_id(), *content), salts).cast("int")
-    return df.withColumn(SALT, F.when(salts.isNotNull(), place).otherwise(F.lit(0)))
-
-
-def _repeated(df: DataFrame, key: Column, common: Common) -> DataFrame:
-    """Repeat rows of the common keys once per salt, and mark the repeats; other rows keep their salt."""
-    if not common.keys:
-        return df.withColumn(REPEATED, F.lit(False))
-    salts = _salts_of(key, common)
-    repeats = F.when(salts.isNotNull(), F.sequence(F.lit(0), salts - 1)).otherwise(F.array(SALT))
-    return df.withColumn(REPEATED, salts.isNotNull()).withColumn(SALT, F.explode(repeats))
-
-
 # ---- NOT IN
 
 
@@ -229,18 +128,9 @@ def anti_not_in(
 
 def _anti(target: DataFrame, keys: DataFrame, key: str, seen: Profile, limit: int | None) -> DataFrame:
     spark = target.sparkSession
-    keys = keys.distinct()
     if fits_broadcast(spark, seen.size, limit):
-        return target.join(F.broadcast(keys), col(key) == F.col(KEY), "left_anti")
-    parts = _reducers(spark)
-    hot = common_keys(target, key, parts)
-    if not hot:
-        return target.join(keys, col(key) == F.col(KEY), "left_anti")
-    left = _salted(target, col(key), hot, parts)
-    right = _repeated(keys.withColumn(SALT, F.lit(0)), F.col(KEY), hot)
-    right = right.select(KEY, F.col(SALT).alias(OTHER_SALT))
-    joined = left.join(right, (col(key) == F.col(KEY)) & (F.col(SALT) == F.col(OTHER_SALT)), "left_anti")
-    return joined.drop(SALT)
+        return target.join(F.broadcast(keys.distinct()), col(key) == F.col(KEY), "left_anti")
+    return target.join(keys, col(key) == F.col(KEY), "left_anti")
 
 
 # ---- equal rows
@@ -273,13 +163,15 @@ def collapse_copies(df: DataFrame, key: str, broadcast_limit: int | None = None)
 # ---- merge match
 
 
-def reject_ambiguous(target: DataFrame, source: DataFrame, key: str, seen: Profile) -> None:
+def reject_ambiguous(
+    target: DataFrame, source: DataFrame, key: str, seen: Profile, broadcast_limit: int | None = None
+) -> None:
     """Raise when a key with several increment rows is present in the target; new keys may repeat."""
     if seen.most_copies < 2:
         return
     twice = source.where(col(key).isNotNull()).groupBy(col(key).alias(KEY)).count().where("count > 1").select(KEY)
     present = target.select(col(key).alias(KEY))
-    if fits_broadcast(target.sparkSession, seen.size):
+    if fits_broadcast(target.sparkSession, seen.size, broadcast_limit):
         clash = present.join(F.broadcast(twice), KEY, "left_semi").first()
     else:
         clash = twice.join(present.distinct(), KEY, "left_semi").first()
@@ -298,7 +190,7 @@ def match_rows(
     spark = target.sparkSession
     seen = seen or profile(source, key)
     warn_float_key(target.schema[key].dataType, key)
-    reject_ambiguous(target, source, key, seen)
+    reject_ambiguous(target, source, key, seen, broadcast_limit)
     t = target.select(F.lit(True).alias(IN_TARGET), *(col(c).alias(TARGET_PREFIX + c) for c in target.columns))
     s = source.select(F.lit(True).alias(IN_SOURCE), *(col(c).alias(SOURCE_PREFIX + c) for c in source.columns))
     t_key, s_key = col(TARGET_PREFIX + key), col(SOURCE_PREFIX + key)
@@ -312,40 +204,56 @@ def match_rows(
         new = s.join(F.broadcast(matched), s_key == F.col(KEY), "left_anti")
         paired = updated.unionByName(new, allowMissingColumns=True)
     else:
-        parts = _reducers(spark)
-        hot_target = common_keys(target, key, parts)
-        # A repeated increment key is in no target row by now, so spreading it splits no match.
-        hot_source = common_keys(source, key, parts) if seen.most_copies > 1 or seen.null_keys else NONE_COMMON
-        hot_source = hot_source.without(hot_target)
-        paired = _full_outer(t, s, t_key, s_key, hot_target, hot_source, parts)
+        paired = _by_shuffle(t, s, t_key, s_key, seen)
     flags = [F.coalesce(F.col(f), F.lit(False)).alias(f) for f in (IN_TARGET, IN_SOURCE)]
     return paired.select(*flags, *(col(c) for c in order if c not in (IN_TARGET, IN_SOURCE)))
 
 
-def _full_outer(
-    t: DataFrame, s: DataFrame, t_key: Column, s_key: Column, hot_target: Common, hot_source: Common, parts: int
-) -> DataFrame:
-    if not hot_target and not hot_source:
-        return t.join(s, t_key == s_key, "full_outer")
-    left = _salted(t, t_key, hot_target, parts)
-    right = _repeated(_salted(s, s_key, hot_source, parts), s_key, hot_target).withColumnRenamed(SALT, OTHER_SALT)
-    paired = left.join(right, (t_key == s_key) & (F.col(SALT) == F.col(OTHER_SALT)), "full_outer")
-    # A repeat left over is no new row: its key is common in the target and met it under another salt.
-    return paired.where(F.col(IN_TARGET).isNotNull() | ~F.col(REPEATED))
+def _by_shuffle(t: DataFrame, s: DataFrame, t_key: Column, s_key: Column, seen: Profile) -> DataFrame:
+    """The match without a full outer join, which is the one type that AQE cannot split.
+
+    AQE splits the left side of these joins where both sides come straight from their exchanges. An increment of unique
+    keys is like that. One with repeated keys (which are in no target row, or it was refused) is cut down to the keys of
+    the target first, and what the joins read is settled.
+    """
+    present = t.where(t_key.isNotNull()).select(t_key.alias(KEY)).distinct()
+    matched = keyed = s.where(s_key.isNotNull())
+    if seen.most_copies > 1:
+        present = settled(present)
+        matched = settled(keyed.join(present, s_key == F.col(KEY), "left_semi"))
+    updated = t.where(t_key.isNotNull()).join(matched, t_key == s_key, "left")
+    new = keyed.join(present, s_key == F.col(KEY), "left_anti")
+    for rows in (t.where(t_key.isNull()), new, s.where(s_key.isNull())):
+        updated = updated.unionByName(rows, allowMissingColumns=True)
+    return updated
 
 
 def merged_rows(
-    target: DataFrame, source: DataFrame, key: str, broadcast_limit: int | None = None, seen: Profile | None = None
+    target: DataFrame,
+    source: DataFrame,
+    key: str,
+    broadcast_limit: int | None = None,
+    seen: Profile | None = None,
+    order_by: list[str] | None = None,
 ) -> DataFrame:
-    """The target after a merge: matched rows take every column of the increment, by name; new rows are added."""
+    """The target after a merge: matched rows take every column of the increment, by name; new rows are added.
+
+    With ``order_by``, a matched row is only taken over if it is not below the target's in these columns, ties broken by
+    the remaining ones, as in ``latest_per_key``: then the order in which increments come does not matter.
+    """
     missing = [c for c in target.columns if c not in source.columns]
     if missing:
         raise ValueError(f"source lacks target columns {missing}")
     aligned = source.select(*(col(f.name).cast(f.dataType).alias(f.name) for f in target.schema.fields))
     pairs = match_rows(target, aligned, key, broadcast_limit, seen)
+    wins = F.col(IN_SOURCE)
+    if order_by is not None:
+        order = latest_order(target.columns, key, order_by)
+        old, now = (F.struct(*(col(prefix + c) for c in order)) for prefix in (TARGET_PREFIX, SOURCE_PREFIX))
+        wins = wins & (~F.col(IN_TARGET) | (now >= old))
     return pairs.select(
         *(
-            F.when(F.col(IN_SOURCE), col(SOURCE_PREFIX + c)).otherwise(col(TARGET_PREFIX + c)).alias(c)
+            F.when(wins, col(SOURCE_PREFIX + c)).otherwise(col(TARGET_PREFIX + c)).alias(c)
             for c in target.columns
         )
     )
@@ -369,16 +277,20 @@ def merge_counts(target: DataFrame, source: DataFrame, key: str, broadcast_limit
     return sides.agg(of("both", "n_updated"), of("source", "n_inserted"), of("target", "n_kept"))
 
 
+def latest_order(columns: list[str], key: str, order_by: list[str]) -> list[str]:
+    """The columns that decide which row of a key is the latest: ``order_by``, then all others but the key."""
+    return [*order_by, *(c for c in columns if c not in order_by and c != key)]
+
+
 def latest_per_key(df: DataFrame, key: str, order_by: list[str]) -> DataFrame:
     """The last row of each key by ``order_by``, ties broken by the remaining columns; NULL keys are all kept.
 
     A maximum over whole rows: each task sends one row per key, so a hot key is reduced before the shuffle.
     """
-    rest = [c for c in df.columns if c not in order_by and c != key]
     best = (
         df.where(col(key).isNotNull())
         .groupBy(col(key))
-        .agg(F.max(F.struct(*(col(c) for c in [*order_by, *rest]))).alias("best"))
+        .agg(F.max(F.struct(*(col(c) for c in latest_order(df.columns, key, order_by)))).alias("best"))
     )
     picked = best.select(*(col(c) if c == key else F.col(f"best.{quote(c)}").alias(c) for c in df.columns))
     return picked.union(df.where(col(key).isNull()))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import logging
 from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -160,31 +160,54 @@ def partition_columns(spark: SparkSession, table: str) -> list[str]:
     return [c.name for c in spark.catalog.listColumns(qualified(table)) if c.isPartition]
 
 
+def _described(spark: SparkSession, table: str) -> tuple[list[Row], dict[str, str]]:
+    """The column lines and the detail lines of DESCRIBE EXTENDED, told apart by section, as names may clash."""
+    lines = spark.sql(f"DESCRIBE TABLE EXTENDED {qualified(table)}").collect()
+    heads = [i for i, r in enumerate(lines) if r["col_name"].startswith("#") or not r["col_name"]]
+    details = next(i for i, r in enumerate(lines) if r["col_name"] == "# Detailed Table Information")
+    return lines[: heads[0]], {r["col_name"]: r["data_type"] for r in lines[details + 1 :] if r["col_name"]}
+
+
 def describe_table(spark: SparkSession, table: str) -> DataFrame:
     """Columns with types, and the ``Provider`` line, of DESCRIBE EXTENDED."""
-    lines = spark.sql(f"DESCRIBE TABLE EXTENDED {qualified(table)}")
-    columns = spark.table(qualified(table)).columns
-    wanted = F.col("col_name").isin([*columns, "Provider"]) & ~F.col("data_type").isin("", "data_type")
-    return lines.where(wanted).select("col_name", "data_type")
+    columns, details = _described(spark, table)
+    rows = [(r["col_name"], r["data_type"]) for r in columns] + [("Provider", details["Provider"])]
+    return spark.createDataFrame(rows, "col_name string, data_type string")
 
 
 def provider_of(spark: SparkSession, table: str) -> str:
-    lines = spark.sql(f"DESCRIBE TABLE EXTENDED {qualified(table)}")
-    return lines.where("col_name = 'Provider'").first()["data_type"].lower()
+    return _described(spark, table)[1]["Provider"].lower()
 
 
 def location_of(spark: SparkSession, table: str) -> str:
-    lines = spark.sql(f"DESCRIBE TABLE EXTENDED {qualified(table)}")
-    return lines.where("col_name = 'Location'").first()["data_type"]
+    return _described(spark, table)[1]["Location"]
+
+
+def is_external(spark: SparkSession, table: str) -> bool:
+    return _described(spark, table)[1].get("Type") == "EXTERNAL"
+
+
+def comment_of(spark: SparkSession, table: str) -> str | None:
+    return _described(spark, table)[1].get("Comment")
 
 
 def show_ddl(spark: SparkSession, table: str) -> str:
     return spark.sql(f"SHOW CREATE TABLE {qualified(table)}").first()[0]
 
 
-def own_properties(spark: SparkSession, table: str) -> dict[str, str]:
+def settable_properties(spark: SparkSession, table: str) -> dict[str, str]:
+    """All table properties but those that the catalog keeps for itself."""
     rows = spark.sql(f"SHOW TBLPROPERTIES {qualified(table)}").collect()
-    return {r["key"]: r["value"] for r in rows if r["key"].startswith(OWN_PROPERTY)}
+    return {r["key"]: r["value"] for r in rows if not r["key"].startswith(("spark.sql.", "transient_", "option."))}
+
+
+def own_properties(spark: SparkSession, table: str) -> dict[str, str]:
+    return {k: v for k, v in settable_properties(spark, table).items() if k.startswith(OWN_PROPERTY)}
+
+
+def set_comment(spark: SparkSession, table: str, comment: str | None) -> None:
+    if comment:
+        spark.sql(f"COMMENT ON TABLE {qualified(table)} IS {text_literal(comment)}")
 
 
 def set_properties(spark: SparkSession, table: str, properties: dict[str, str]) -> None:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import logging
 import time
+import uuid
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -11,15 +12,19 @@ from pyspark.sql import functions as F
 
 from tablekeep.operators.tables import (
     OWN_PROPERTY,
+    comment_of,
     create_table_like,
     create_typed_table,
     drop_table,
     insert_rows,
+    is_external,
     location_of,
     own_properties,
     partition_columns,
     provider_of,
+    set_comment,
     set_properties,
+    settable_properties,
     table_exists,
 )
 from tablekeep.session import col, qualified
@@ -36,7 +41,7 @@ READY = OWN_PROPERTY + "ready"
 TARGET_FILE_BYTES = 256 * 1024 * 1024
 
 # Formats whose tables have row-level changes, file compaction and revision removal as SQL commands of their own.
-LAKE_FORMATS = {"delta", "iceberg"}
+LAKE_FORMATS = {"delta"}
 
 
 def is_lake_table(spark: SparkSession, table: str) -> bool:
@@ -82,16 +87,29 @@ def rebuild(spark: SparkSession, table: str, rows: DataFrame, properties: dict[s
 
     Properties are set on the copy before the renames, so they go live together with its rows.
     """
+    refuse_sink_log(spark, table)
     drop_table(spark, table + NEW)
-    create_table_like(spark, table + NEW, table)
+    create_table_like(spark, table + NEW, table, location=_beside(spark, table))
     insert_rows(rows, table + NEW)
     _keep_properties(spark, table, table + NEW, properties)
     publish(spark, table, table + NEW)
 
 
+def _beside(spark: SparkSession, table: str) -> str | None:
+    """Where the copy of an external table goes, so that it stays external: a new folder beside the present one."""
+    return f"{location_of(spark, table).rstrip('/')}_{uuid.uuid4().hex[:8]}" if is_external(spark, table) else None
+
+
+def refuse_sink_log(spark: SparkSession, table: str) -> None:
+    if has_sink_log(spark, table):
+        raise ValueError(f"{table} is a streaming sink with a file log; write it through ingest_replaceable to change its files")
+
+
 def _keep_properties(spark: SparkSession, table: str, copy: str, extra: dict[str, str] | None = None) -> None:
-    kept = {k: v for k, v in own_properties(spark, table).items() if k != SUPERSEDED_AT}
+    """All properties and the comment go over to the copy."""
+    kept = {k: v for k, v in settable_properties(spark, table).items() if k != SUPERSEDED_AT}
     set_properties(spark, copy, {**kept, **(extra or {})})
+    set_comment(spark, copy, comment_of(spark, table))
 
 
 def overwrite_partitions(spark: SparkSession, table: str, rows: DataFrame) -> None:
@@ -140,16 +158,21 @@ def purge_superseded(spark: SparkSession, table: str, retain_hours: float = 168)
 def convert_format(spark: SparkSession, table: str, provider: str = "orc", partition_by: list[str] | None = None) -> None:
     """Turn a table into another format under the same name: one scan and write, no shuffle, then the swap.
 
-    A lake format converts a Parquet table in place by its own command, without a rewrite.
+    Partitioning stays as it is unless ``partition_by`` names another (an empty list: none). A lake format converts a Parquet table in place by its own command, without a rewrite.
     """
     recover(spark, table)
     if provider.lower() == "delta" and provider_of(spark, table) == "parquet" and not partition_by:
         spark.sql(f"CONVERT TO DELTA {qualified(table)}")
         return
+    refuse_sink_log(spark, table)
+    if is_external(spark, table):
+        raise ValueError(f"{table} is external: convert a managed copy of it")
     drop_table(spark, table + NEW)
     rows = spark.table(qualified(table))
+    if partition_by is None:
+        partition_by = partition_columns(spark, table)
     # Partition columns come last in a table.
-    order = [c for c in rows.columns if c not in (partition_by or [])] + (partition_by or [])
+    order = [c for c in rows.columns if c not in partition_by] + partition_by
     rows = rows.select(*map(col, order))
     create_typed_table(spark, table + NEW, rows.schema, provider, partition_by=partition_by)
     insert_rows(rows, table + NEW)
@@ -167,8 +190,7 @@ def compact_files(spark: SparkSession, table: str, file_bytes: int = TARGET_FILE
     if is_lake_table(spark, table):
         spark.sql(f"OPTIMIZE {qualified(table)}")
         return True
-    if has_sink_log(spark, table):
-        raise ValueError(f"{table} is a streaming sink with a file log; write it through ingest_replaceable to compact it")
+    refuse_sink_log(spark, table)
     parts = partition_columns(spark, table)
     files = file_inventory(spark.table(qualified(table)))
     files = files.withColumn("dir", F.regexp_replace("file_path", "/[^/]*$", ""))

@@ -15,6 +15,7 @@ from tablekeep.operators.matching import (
     Profile,
     anti_not_in,
     collapse_copies,
+    latest_order,
     match_rows,
     merged_rows,
     profile,
@@ -26,9 +27,6 @@ from tablekeep.operators.tables import check_positions, partition_columns, set_p
 from tablekeep.operators.upkeep import is_lake_table, overwrite_partitions, rebuild, recover
 from tablekeep.session import col, qualified, quote
 
-# More partitions than this are no small part of a table: it is rebuilt.
-MAX_TOUCHED = 500
-
 
 def rewritten_rows(target: DataFrame, source: DataFrame, key: str, broadcast_limit: int | None = None) -> DataFrame:
     """``target WHERE key NOT IN (source keys) UNION source``: equal rows collapse, columns pair by position.
@@ -62,29 +60,39 @@ def upsert_merge(
     broadcast_limit: int | None = None,
     properties: dict[str, str] | None = None,
     touched_only: bool = False,
+    order_by: list[str] | None = None,
 ) -> None:
     """Merge an increment into a table: matched rows are updated in all columns, the others inserted.
 
     A lake table is changed by its own MERGE, which rewrites only the files it must. Any other table is rebuilt in one
     pass and published; ``properties`` then go live with the new rows. With ``touched_only``, a partitioned table has only
-    the partitions rewritten that the increment reaches, where that is safe (see ``_touched_partitions``).
+    the partitions rewritten that the increment reaches, where that is safe (see ``_touched_partitions``). With ``order_by``
+    a row older than the table's is not taken over (see ``merged_rows``).
     """
     recover(spark, table)
     target = spark.table(qualified(table))
     if is_lake_table(spark, table):
         reject_ambiguous(target, source, key, profile(source, key))
         on = source.alias("s")[quote(key)] == target[quote(key)]
-        source.alias("s").mergeInto(qualified(table), on).whenMatched().updateAll().whenNotMatched().insertAll().merge()
+        wins = None
+        if order_by is not None:
+            order = latest_order(target.columns, key, order_by)
+            now, old = (F.struct(*(side[quote(c)] for c in order)) for side in (source.alias("s"), target))
+            wins = now >= old
+        merge = source.alias("s").mergeInto(qualified(table), on)
+        merge.whenMatched(wins).updateAll().whenNotMatched().insertAll().merge()
+        # Not one transaction with the merge, but merging the same rows again changes nothing.
+        set_properties(spark, table, properties or {})
         return
     seen = profile(source, key)
     parts = partition_columns(spark, table)
     touched = _touched_partitions(target, source, key, parts, seen, broadcast_limit) if touched_only and parts else None
     if touched is None:
-        rebuild(spark, table, merged_rows(target, source, key, broadcast_limit, seen), properties)
+        rebuild(spark, table, merged_rows(target, source, key, broadcast_limit, seen, order_by), properties)
         return
     if touched:
         reached = target.where(_in_partitions(parts, touched))
-        overwrite_partitions(spark, table, merged_rows(reached, source, key, broadcast_limit, seen))
+        overwrite_partitions(spark, table, merged_rows(reached, source, key, broadcast_limit, seen, order_by))
     set_properties(spark, table, properties or {})
 
 
@@ -94,7 +102,8 @@ def _touched_partitions(
     """Partitions an increment reaches, or None when the whole table has to be rebuilt.
 
     Overwriting partitions is not one transaction, so it must be safe to repeat after a failure halfway: the keys of the
-    increment are set and unique, and no row moves to another partition. Only the key and partition columns are read.
+    increment are set and unique, and no row moves to another partition. Only the key and partition columns are read. What
+    comes back is a row per partition of the table, which the catalog lists in the driver anyway.
     """
     if seen.null_keys or seen.most_copies > 1:
         return None
@@ -108,10 +117,9 @@ def _touched_partitions(
         pairs.withColumn("moved", F.col(IN_TARGET) & ~same)
         .groupBy(*(col(SOURCE_PREFIX + p).alias(p) for p in parts))
         .agg(F.max("moved").alias("moved"))
-        .limit(MAX_TOUCHED + 1)
         .collect()
     )
-    if len(reached) > MAX_TOUCHED or any(r["moved"] for r in reached):
+    if any(r["moved"] for r in reached):
         return None
     return reached
 

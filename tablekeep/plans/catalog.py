@@ -322,11 +322,18 @@ def _(spark, sf_dir):
     return read(spark, ws.table("twin"))
 
 
-@registered("convert_format", "select *, 'orc' as provider from orders")
+@registered("convert_format", "select *, 'orc' as provider, 'o_orderstatus' as partitioned_by from orders")
 def _(spark, sf_dir):
-    made = saved(Workspace(spark), "orders", table(spark, sf_dir, "orders"))
+    """A partitioned table in another format: its partitioning stays."""
+    ws, orders = Workspace(spark), table(spark, sf_dir, "orders")
+    last = orders.select(*(c for c in orders.columns if c != "o_orderstatus"), "o_orderstatus")
+    made = tables.create_typed_table(spark, ws.table("orders"), last.schema, partition_by=["o_orderstatus"])
+    tables.insert_rows(last, made)
     upkeep.convert_format(spark, made, "orc")
-    return read(spark, made).withColumn("provider", F.lit(tables.provider_of(spark, made)))
+    by = ",".join(tables.partition_columns(spark, made))
+    return read(spark, made).withColumns(
+        {"provider": F.lit(tables.provider_of(spark, made)), "partitioned_by": F.lit(by)}
+    )
 
 
 @registered("compact_files", "select *, true as fewer_files from orders")
@@ -377,12 +384,9 @@ def _(spark, sf_dir):
     )
 
 
-@registered(
-    "project_label", "select 'Name: ' || c_name as label from customer where c_nationkey >= 13 and c_nationkey <= 19"
-)
+@registered("project_label", "select 'Name: ' || c_name as label from customer")
 def _(spark, sf_dir):
-    some = relational.in_range(table(spark, sf_dir, "customer"), "c_nationkey", 13, 19)
-    return relational.prefixed(some, "c_name", "Name: ", "label")
+    return relational.prefixed(table(spark, sf_dir, "customer"), "c_name", "Name: ", "label")
 
 
 @registered("filter_gt", "select * from customer where c_acctbal > 5000")
@@ -488,22 +492,12 @@ def _(spark, sf_dir):
 
 @registered(
     "indicator_ratio",
-    """select cast(4 as double) * cast(sum(case when x * x + y * y <= 1 then 1 else 0 end) as double)
-    / cast(count(*) as double) as ratio from (select
-    (cast(o_orderkey as double) * cast(0.6180339887498949 as double) % cast(1 as double)) * 2 - 1 as x,
-    (cast(o_orderkey as double) * cast(0.7548776662466927 as double) % cast(1 as double)) * 2 - 1 as y
-    from orders) p""",
+    """select cast(1 as double) * cast(sum(case when o_totalprice > 150000 then 1 else 0 end) as double)
+    / cast(count(*) as double) as ratio from orders""",
 )
 def _(spark, sf_dir):
-    """The share of points in the unit circle; each order's key gives a fixed point of the square."""
-
-    def coordinate(step: float):
-        return (F.col("o_orderkey").cast("double") * F.lit(step) % F.lit(1.0)) * 2 - 1
-
-    points = table(spark, sf_dir, "orders").select(
-        coordinate(0.6180339887498949).alias("x"), coordinate(0.7548776662466927).alias("y")
-    )
-    return relational.indicator_ratio(points, F.expr("x * x + y * y <= 1"), 4)
+    """The share of orders above a price."""
+    return relational.indicator_ratio(table(spark, sf_dir, "orders"), F.col("o_totalprice") > 150000, 1)
 
 
 # ---- scalars and SQL functions

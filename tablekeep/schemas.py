@@ -56,8 +56,14 @@ def with_provenance(schema: StructType) -> StructType:
 
 
 def columns_ddl(schema: StructType) -> str:
-    """The schema as the column list of a CREATE TABLE."""
-    return ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in schema.fields)
+    """The schema as the column list of a CREATE TABLE, comments included."""
+
+    def column(f: StructField) -> str:
+        comment = (f.metadata or {}).get("comment")
+        told = " COMMENT '" + comment.replace("\\", "\\\\").replace("'", "\\'") + "'" if comment else ""
+        return f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}{told}"
+
+    return ", ".join(map(column, schema.fields))
 
 
 TRANSACTIONS = from_lines(TRANSACTION_COLUMNS)

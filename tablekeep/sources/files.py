@@ -15,8 +15,6 @@ from tablekeep.session import col
 JSON_TIMESTAMPS = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
 
 # The size rule of the generated range.
-POINTS_PER_SLICE = 100_000
-MAX_POINTS = 2**31 - 1
 
 BLANKS = " \t\n\r\f\v"
 
@@ -102,10 +100,6 @@ def generate_range(spark: SparkSession, first: int, last: int, partitions: int |
     return spark.range(first, last + 1, 1, partitions)
 
 
-def range_size(slices: int) -> int:
-    return min(POINTS_PER_SLICE * slices, MAX_POINTS)
-
-
 def file_inventory(df: DataFrame) -> DataFrame:
     """The data files behind a file-based DataFrame, with bytes and rows of each.
 

@@ -102,7 +102,8 @@ def ingest_upsert(
 ) -> None:
     """Merge new raw rows into an existing table, one merge per micro-batch.
 
-    Within a batch the last row of a key by ``order_by`` counts. The id of the last batch merged is a property of the
+    The last row of a key by ``order_by`` counts, within a batch and against the live row, so the result does not depend on
+    how files are cut into batches or in which order they come. The id of the last batch merged is a property of the
     table and goes live with its rows, so a batch replayed after a failure is not merged, or even read, again.
     Each merge rebuilds the table, so let a run take all it finds as one batch, or partition the table and set
     ``touched_only``.
@@ -118,7 +119,7 @@ def ingest_upsert(
         batch.persist()
         try:
             rows = latest_per_key(batch, key, order_by)
-            upsert_merge(inner, table, rows, key, broadcast_limit, {mark: str(batch_id)}, touched_only)
+            upsert_merge(inner, table, rows, key, broadcast_limit, {mark: str(batch_id)}, touched_only, order_by)
         finally:
             batch.unpersist()
 

@@ -67,7 +67,7 @@ def main(repeats: int, sf_dir: str) -> None:
         print(f"--- {'skewed' if skewed else 'plain'}: {target.count()} rows; increments {small.count()}, {large.count()}")
         timed("merge, small increment", lambda: matching.merged_rows(target, small, "o_orderkey"))
         timed("merge, small increment, full outer join", lambda: plain_full_outer(target, small))
-        timed("merge, large increment, salted", lambda: matching.merged_rows(target, large, "o_orderkey", 0))
+        timed("merge, large increment, shuffled", lambda: matching.merged_rows(target, large, "o_orderkey", 0))
         timed("merge, large increment, full outer join", lambda: plain_full_outer(target, large))
         timed("rewrite, small increment", lambda: rewritten_rows(target, small, "o_orderkey"))
         timed("rewrite, small increment, NOT IN + UNION", lambda: plain_rewrite(target, small))

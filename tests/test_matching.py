@@ -13,8 +13,8 @@ from tablekeep.operators.upsert import rewritten_rows
 
 SCHEMA = "id bigint, v string"
 
-# None: the usual bound, so small increments are broadcast. 0: nothing is, and Spark may not either, so the salted
-# shuffle runs.
+# None: the usual bound, so small increments are broadcast. 0: nothing is, and Spark may not either, so the
+# shuffled form runs.
 LIMITS = pytest.mark.parametrize("limit", [None, 0], ids=["broadcast", "shuffled"])
 
 
@@ -212,16 +212,47 @@ def test_broadcast_form_does_not_shuffle_the_target(spark):
     assert "BroadcastHashJoin LeftAnti" in plan and "Exchange hashpartitioning(id" not in plan
 
 
-def test_shuffled_form_does_not_broadcast(spark):
+@pytest.mark.parametrize("limit", [0])
+def test_shuffled_form_uses_joins_that_can_be_split(spark, limit):
     t = spark.range(1000).select("id", F.lit("t").alias("v"))
     s = spark.range(50).select("id", F.lit("s").alias("v"))
-    plan = plan_of(matching.merged_rows(t, s, "id", 0))
-    assert "SortMergeJoin FullOuter" in plan and "BroadcastExchange" not in plan
-    assert matching.SALT not in plan
-    hot = t.union(spark.range(1000).select(F.lit(7).cast("bigint"), F.lit("t")))
-    plan = plan_of(matching.merged_rows(hot, s, "id", 0))
-    assert "SortMergeJoin FullOuter" in plan and "BroadcastExchange" not in plan
-    assert matching.SALT in plan
+    plan = plan_of(matching.merged_rows(t, s, "id", limit))
+    assert "SortMergeJoin LeftOuter" in plan and "FullOuter" not in plan and "BroadcastExchange" not in plan
+
+
+@pytest.mark.parametrize("key", ["id", "timestamp_seconds(id)"], ids=["long", "timestamp"])
+def test_a_common_key_is_split_by_aqe(spark, tmp_path, key):
+    """Two thirds of the target under one key: the final plan of the join splits it."""
+    hot = spark.range(0, 300_000, 1, 16).select(F.expr(f"case when id % 3 > 0 then {key.replace('id', '7')} else {key} end").alias("id"), F.sha2(F.col("id").cast("string"), 256).alias("v"))
+    s = spark.range(1000).select(F.expr(key).alias("id"), F.lit("s").alias("v"))
+    hot.write.parquet(f"{tmp_path}/t")
+    t = spark.read.parquet(f"{tmp_path}/t")
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256k", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256k"}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        merged = matching.merged_rows(t, s, "id", 0)
+        assert merged.groupBy("v").count().where("v = 's'").first()["count"] == merged.where("v = 's'").count() >= 200_000
+        merged.collect()
+        assert "skew=true" in plan_of(merged)
+    finally:
+        for k in conf:
+            spark.conf.unset(k)
+
+
+def test_many_common_keys(spark):
+    """1,200 keys, each far above a reducer's share of 2,000 reducers."""
+    t = spark.range(60_000).select((F.col("id") % 1200).alias("id"), F.lit("t").alias("v"))
+    s = spark.range(600, 1800).select("id", F.lit("s").alias("v"))
+    got = matching.merged_rows(t, s, "id", 0).groupBy("v").count().collect()
+    assert {r["v"]: r["count"] for r in got} == {"t": 30_000, "s": 30_600}
+
+
+@LIMITS
+def test_older_rows_do_not_win_where_an_order_is_given(spark, limit):
+    t, s = frame(spark, [(1, "m"), (2, "m"), (None, "n")]), frame(spark, [(1, "a"), (2, "z"), (3, "a"), (None, "a")])
+    out = matching.merged_rows(t, s, "id", limit, order_by=["v"])
+    assert bag(out) == {(1, "m"): 1, (2, "z"): 1, (3, "a"): 1, (None, "n"): 1, (None, "a"): 1}
 
 
 def test_broadcasts_off_is_obeyed(spark):
@@ -235,20 +266,6 @@ def test_broadcasts_off_is_obeyed(spark):
     assert not matching.fits_broadcast(spark, matching.BROADCAST_BYTES + 1)
 
 
-@pytest.mark.parametrize("tasks, text", [(16, "cast(id as string)"), (512, "'copy'")], ids=["rows", "copies"])
-def test_common_keys_are_found_and_spread(spark, tasks, text):
-    t = spark.range(0, 60_000, 1, tasks).select(
-        F.expr("case when id % 3 = 0 then 7 when id % 3 = 1 then null else id end").alias("id"), F.expr(text).alias("v")
-    )
-    common = matching.common_keys(t, "id", 64)
-    assert common == matching.Common({256: [7]}, True)
-    salted = matching._salted(t, F.col("id"), common, 64)
-    reducers = F.pmod(F.hash("id", F.col(matching.SALT)), F.lit(64)).alias("r")
-    loads = [r["count"] for r in salted.groupBy(reducers).count().collect()]
-    # A third of the rows under one key and a third under NULL: still no reducer gets three times its share.
-    assert len(loads) == 64 and max(loads) < 3 * 60_000 / 64
-
-
 def test_profile(spark):
     seen = matching.profile(frame(spark, [(1, "aa"), (1, None), (None, "b")]), "id")
     assert (seen.rows, seen.null_keys, seen.most_copies) == (3, 1, 2)

@@ -114,12 +114,3 @@ def test_remembered_schema(spark, ws, people):
 
 def test_range(spark):
     assert [r.id for r in files.generate_range(spark, 1, 5, 2).collect()] == [1, 2, 3, 4, 5]
-    assert files.range_size(2) == 200_000
-    assert files.range_size(1_000_000) == 2**31 - 1
-
-
-def test_ratio_of_random_points_is_near_pi(spark):
-    points = files.generate_range(spark, 1, files.range_size(2), 2).select(
-        (F.rand(1) * 2 - 1).alias("x"), (F.rand(2) * 2 - 1).alias("y")
-    )
-    assert abs(relational.indicator_ratio(points, F.expr("x * x + y * y <= 1"), 4).first()["ratio"] - 3.1416) < 0.05

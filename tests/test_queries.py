@@ -9,9 +9,11 @@ import pytest
 from conftest import SF_DIR
 
 import __spark_entry__ as contract
+from tablekeep.plans import catalog
 
-QUERIES = contract.queries()
-SQL = contract.oracle_sql()
+# The training-data queries have tests of their own, which go where their subpackage goes.
+QUERIES = catalog.QUERIES
+SQL = catalog.ORACLES
 
 
 @pytest.fixture(scope="module")
@@ -39,6 +41,7 @@ def test_matches_sql(spark, con, key):
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(contract.queries()) and set(SQL) <= set(contract.oracle_sql())
 
 
 def test_entry_runs(spark):

@@ -148,7 +148,7 @@ def test_merge_restart_after_a_failed_batch(spark, ws, raw, monkeypatch, after):
     assert bag(spark.table(target)) == expected
 
 
-def test_merge_takes_the_last_row_of_a_batch_and_later_batches_win(spark, ws, raw):
+def test_merge_takes_the_last_row_whatever_batch_it_comes_in(spark, ws, raw):
     target = tables.create_typed_table(spark, ws.table("t"), schema(spark))
     tables.insert_rows(spark.createDataFrame([(1, "a", 0)], SCHEMA), target)
 
@@ -158,10 +158,12 @@ def test_merge_takes_the_last_row_of_a_batch_and_later_batches_win(spark, ws, ra
 
     raw([(1, "late", 9), (1, "early", 3), (2, "x", 1)])
     assert run() == {(1, "late", 9): 1, (2, "x", 1): 1}
-    raw([(2, "y", 0)])
-    assert run() == {(1, "late", 9): 1, (2, "y", 0): 1}
+    raw([(2, "old", 0)])
+    assert run() == {(1, "late", 9): 1, (2, "x", 1): 1}
+    raw([(2, "y", 2)])
+    assert run() == {(1, "late", 9): 1, (2, "y", 2): 1}
     assert upkeep.purge_superseded(spark, target, 0)
-    assert run() == {(1, "late", 9): 1, (2, "y", 0): 1}
+    assert run() == {(1, "late", 9): 1, (2, "y", 2): 1}
 
 
 def test_merge_stream_equals_one_batch_merge(spark, ws, raw):
@@ -188,3 +190,15 @@ def test_stream_drops_nothing_on_bad_lines(spark, ws):
     ingest.ingest_append(spark, ws.path("raw"), ws.table("bronze"), ws.path("cp"), schema(spark))
     got = spark.table(ws.table("bronze"))
     assert got.count() == 2 and got.where(F.col("id").isNull()).count() == 1
+
+
+@pytest.mark.parametrize("max_files", [None, 1, 2])
+def test_merge_does_not_depend_on_the_batch_cut(spark, ws, raw, max_files):
+    target = tables.create_typed_table(spark, ws.table("t"), schema(spark))
+    tables.insert_rows(spark.createDataFrame([(1, "a", 0), (3, "kept", 8)], SCHEMA), target)
+    for rows in ([(1, "new", 5)], [(1, "old", 3), (2, "x", 1)], [(3, "late", 7), (2, "w", 0)], [(4, "n", 1)]):
+        raw(rows)
+    ingest.ingest_upsert(
+        spark, ws.path("raw"), target, ws.path("cp"), schema(spark), "id", ["at"], max_files=max_files
+    )
+    assert bag(spark.table(target)) == {(1, "new", 5): 1, (2, "x", 1): 1, (3, "kept", 8): 1, (4, "n", 1): 1}

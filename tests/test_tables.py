@@ -322,3 +322,31 @@ def test_workspace_close(spark):
     area.close()
     with pytest.raises(AnalysisException):
         spark.table(made)
+
+
+def test_lookups_are_not_fooled_by_column_names(spark, ws):
+    made = tables.create_typed_table(
+        spark, ws.table("odd"), spark.createDataFrame([], "Location string, Provider string, p int").schema, partition_by=["p"]
+    )
+    assert tables.provider_of(spark, made) == "parquet"
+    assert tables.location_of(spark, made).endswith("odd")
+    assert [r["col_name"] for r in tables.describe_table(spark, made).collect()] == ["Location", "Provider", "p", "Provider"]
+
+
+def test_conversion_and_rebuild_keep_the_table(spark, ws):
+    name = ws.table("kept")
+    spark.sql(f"create table {name} (id bigint comment 'the key', p int) using parquet partitioned by (p) comment 'told' tblproperties ('mine' = 'x')")
+    tables.insert_rows(spark.range(6).selectExpr("id", "cast(id % 2 as int) as p"), name)
+    upkeep.convert_format(spark, name, "orc")
+    upsert_merge(spark, name, spark.sql("select 9L as id, 1 as p"), "id")
+    assert tables.partition_columns(spark, name) == ["p"] and tables.provider_of(spark, name) == "orc"
+    assert tables.settable_properties(spark, name)["mine"] == "x" and tables.comment_of(spark, name) == "told"
+    assert spark.table(name).schema["id"].metadata.get("comment") == "the key"
+    assert spark.table(name).count() == 7
+
+
+def test_a_merge_keeps_an_external_table_external(spark, ws):
+    spark.range(5).write.parquet(ws.path("outside"))
+    name = tables.create_external_table(spark, ws.table("ext"), spark.range(1).schema, ws.path("outside"), "parquet")
+    upsert_merge(spark, name, spark.range(4, 7), "id")
+    assert tables.is_external(spark, name) and spark.table(name).count() == 7
