@@ -21,7 +21,7 @@ from tablekeep.llm.common import doc_texts
 from tablekeep.llm.tokens import WordCounter, in_groups
 
 CACHE_SCHEMA = "digest binary, n_tokens long, tokenizer string"
-GROUP_TEXTS = 1000
+GROUP_TEXTS = 200
 
 
 def tokenizer_version(path: str) -> str:
@@ -62,7 +62,7 @@ def add_misses(docs: DataFrame, tokenizer: str, cache: str) -> None:
         counter = WordCounter(tokenizer)
         for batch in batches:
             digests, texts = batch.column("digest"), batch.column("content")
-            counts = [n for group in in_groups(texts.to_pylist(), GROUP_TEXTS) for n in counter.counts(group)]
+            counts = [n for group in in_groups((t.as_py() for t in texts), GROUP_TEXTS) for n in counter.counts(group)]
             yield pa.RecordBatch.from_arrays([digests, pa.array(counts, pa.int64())], ["digest", "n_tokens"])
 
     fresh = misses.mapInArrow(encode, "digest binary, n_tokens long")

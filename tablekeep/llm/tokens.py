@@ -22,7 +22,7 @@ _OTHER_SPACE = re.compile("[\x1c-\x1f\x85\xa0 ᠎ -​    -⁠　﻿
 # The pattern that byte-level vocabularies cut text with (a fixed value).
 _BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
-CACHED_CHUNKS = 1_000_000
+CACHED_CHUNKS = 300_000
 
 
 def _load(path: str) -> tuple[Tokenizer, list[str]]:
