@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablekeep.llm.common import doc_texts
-from tablekeep.llm.tokens import WordCounter, in_groups
+from tablekeep.llm.tokens import in_groups, word_counter
 
 CACHE_SCHEMA = "digest binary, n_tokens long, tokenizer string"
 GROUP_TEXTS = 200
@@ -59,7 +59,7 @@ def add_misses(docs: DataFrame, tokenizer: str, cache: str) -> None:
     misses = distinct.join(cached_counts(spark, cache, version).select("digest"), "digest", "left_anti")
 
     def encode(batches):
-        counter = WordCounter(tokenizer)
+        counter = word_counter(tokenizer)
         for batch in batches:
             digests, texts = batch.column("digest"), batch.column("content")
             counts = [n for group in in_groups((t.as_py() for t in texts), GROUP_TEXTS) for n in counter.counts(group)]

@@ -7,8 +7,10 @@ library whole.
 
 from __future__ import annotations
 
+import os
 import re
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import tiktoken
@@ -26,6 +28,8 @@ CACHED_CHUNKS = 300_000
 
 
 def _load(path: str) -> tuple[Tokenizer, list[str]]:
+    # Spark's tasks are the parallelism; threads within one would each keep memory of their own.
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
     tokenizer = Tokenizer.from_file(path)
     tokenizer.no_truncation()
     tokenizer.no_padding()
@@ -86,6 +90,12 @@ class WordCounter:
         ]
 
 
+@lru_cache(maxsize=1)
+def word_counter(path: str) -> WordCounter:
+    """One per Python process, so that tasks that follow each other share the vocabulary and the words known."""
+    return WordCounter(path)
+
+
 def in_groups(items: Iterable, size: int) -> Iterator[list]:
     group = []
     for item in items:
