@@ -14,8 +14,6 @@ from tablekeep.session import col
 # Writing and reading JSON with default options would cut microseconds off zone-less timestamps.
 JSON_TIMESTAMPS = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
 
-# The size rule of the generated range.
-
 BLANKS = " \t\n\r\f\v"
 
 
