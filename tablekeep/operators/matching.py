@@ -97,6 +97,14 @@ def fits_broadcast(spark: SparkSession, size: int | None, limit: int | None = No
     return size is not None and size <= (BROADCAST_BYTES if limit is None else limit)
 
 
+def same_case(table: DataFrame, names: list[str]) -> list[str]:
+    """``names`` as the columns of ``table`` are written, where they differ in case alone; a case-sensitive session is obeyed."""
+    if str(table.sparkSession.conf.get("spark.sql.caseSensitive")).lower() == "true":
+        return names
+    written = {c.lower(): c for c in table.columns}
+    return [written.get(n.lower(), n) for n in names]
+
+
 def warn_float_key(data_type: DataType, key: str) -> None:
     if isinstance(data_type, FloatType):
         log.warning("key %s is a float: whole numbers above 2^24 collide", key)

@@ -20,6 +20,7 @@ from tablekeep.operators.matching import (
     merged_rows,
     profile,
     reject_ambiguous,
+    same_case,
     warn_float_key,
 )
 from tablekeep.operators.relational import union_distinct
@@ -34,6 +35,7 @@ def rewritten_rows(target: DataFrame, source: DataFrame, key: str, broadcast_lim
     SQL's rules on NULL keys hold, harsh as they are: a NULL key in the source drops every target row, and a target row
     with a NULL key is dropped by any non-empty source. ``merged_rows`` keeps both.
     """
+    [key], source = same_case(target, [key]), source.toDF(*same_case(target, source.columns))
     check_positions(target.schema, source.schema)
     warn_float_key(target.schema[key].dataType, key)
     kept = anti_not_in(target, source, key, broadcast_limit=broadcast_limit)
@@ -65,12 +67,15 @@ def upsert_merge(
     """Merge an increment into a table: matched rows are updated in all columns, the others inserted.
 
     A lake table is changed by its own MERGE, which rewrites only the files it must. Any other table is rebuilt in one
-    pass and published; ``properties`` then go live with the new rows. With ``touched_only``, a partitioned table has only
+    pass and published; names are matched whatever their case; ``properties`` then go live with the new rows. With ``touched_only``, a partitioned table has only
     the partitions rewritten that the increment reaches, where that is safe (see ``_touched_partitions``). With ``order_by``
     a row older than the table's is not taken over (see ``merged_rows``).
     """
     recover(spark, table)
     target = spark.table(qualified(table))
+    [key], source = same_case(target, [key]), source.toDF(*same_case(target, source.columns))
+    if order_by is not None:
+        order_by = same_case(target, order_by)
     if is_lake_table(spark, table):
         reject_ambiguous(target, source, key, profile(source, key))
         on = source.alias("s")[quote(key)] == target[quote(key)]

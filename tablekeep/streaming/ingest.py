@@ -8,19 +8,27 @@ from __future__ import annotations
 import json
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StringType, StructType
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
-from tablekeep.operators.matching import latest_per_key
+from tablekeep.operators.matching import latest_per_key, same_case
 from tablekeep.operators.relational import with_provenance
 from tablekeep.operators.tables import OWN_PROPERTY, create_typed_table, own_properties, table_exists
 from tablekeep.operators.upkeep import recover
 from tablekeep.operators.upsert import upsert_merge
 from tablekeep.schemas import with_provenance as provenance_schema
-from tablekeep.session import qualified
+from tablekeep.session import col, qualified
 from tablekeep.sources.files import JSON_TIMESTAMPS
 
 BATCH_ID = "batch_id"
 
+# Name ending of the table beside a merge stream's that holds the lines which did not parse.
+REJECTED = "_REJECTED"
+
+# Working columns, named so that no raw column is likely to clash.
+LINE = "__line"
+FROM_FILE = "__source_file"
+
 
 def read_raw_stream(
     spark: SparkSession,
@@ -29,9 +37,17 @@ def read_raw_stream(
     fmt: str = "json",
     max_files: int | None = None,
     max_bytes: str | None = None,
+    corrupt_column: str | None = None,
 ) -> DataFrame:
-    """New files anywhere under ``raw_dir``; ``max_files`` or ``max_bytes`` bound one micro-batch."""
+    """New files anywhere under ``raw_dir``; ``max_files`` or ``max_bytes`` bound one micro-batch.
+
+    ``corrupt_column`` keeps lines that do not parse as text in an extra column.
+    """
+    if corrupt_column:
+        schema = StructType([*schema.fields, StructField(corrupt_column, StringType(), True)])
     reader = spark.readStream.format(fmt).schema(schema).option("recursiveFileLookup", "true").options(**JSON_TIMESTAMPS)
+    if corrupt_column:
+        reader = reader.option("columnNameOfCorruptRecord", corrupt_column)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     if max_bytes:
@@ -74,14 +90,7 @@ def ingest_replaceable(
         create_typed_table(spark, table, columns, partition_by=[BATCH_ID])
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        inner = batch.sparkSession
-        stream = stream_id(inner, checkpoint)
-        view = "batch_" + stream.replace("-", "_")
-        batch.createOrReplaceTempView(view)
-        inner.sql(
-            f"INSERT OVERWRITE TABLE {qualified(table)} PARTITION ({BATCH_ID} = '{stream}-{batch_id}') "
-            f"SELECT * FROM {view}"
-        )
+        _overwrite_batch(batch, table, stream_id(batch.sparkSession, checkpoint), batch_id)
 
     stream = with_provenance(read_raw_stream(spark, raw_dir, schema, max_files=max_files, max_bytes=max_bytes))
     _run_batches(spark, stream, checkpoint, table, write)
@@ -105,6 +114,8 @@ def ingest_upsert(
     The last row of a key by ``order_by`` counts, within a batch and against the live row, so the result does not depend on
     how files are cut into batches or in which order they come. The id of the last batch merged is a property of the
     table and goes live with its rows, so a batch replayed after a failure is not merged, or even read, again.
+    Lines of which not every field parses are not merged: they go, with their file, to ``<table>_REJECTED``, a partition per
+    batch that has any, written before the merge and by overwriting, so a replay adds none twice.
     Each merge rebuilds the table, so let a run take all it finds as one batch, or partition the table and set
     ``touched_only``.
     """
@@ -118,15 +129,41 @@ def ingest_upsert(
             return
         batch.persist()
         try:
-            rows = latest_per_key(batch, key, order_by)
+            _put_aside(batch, table + REJECTED, stream_id(inner, checkpoint), batch_id)
+            live = inner.table(qualified(table))
+            parsed = batch.where(F.col(LINE).isNull()).select(*map(col, schema.fieldNames()))
+            parsed = parsed.toDF(*same_case(live, parsed.columns))
+            rows = latest_per_key(parsed, *same_case(live, [key]), same_case(live, order_by))
             upsert_merge(inner, table, rows, key, broadcast_limit, {mark: str(batch_id)}, touched_only, order_by)
         finally:
             batch.unpersist()
 
-    stream = read_raw_stream(spark, raw_dir, schema, max_files=max_files, max_bytes=max_bytes)
+    stream = read_raw_stream(spark, raw_dir, schema, max_files=max_files, max_bytes=max_bytes, corrupt_column=LINE)
+    stream = stream.select("*", F.col("_metadata.file_path").alias(FROM_FILE))
     _run_batches(spark, stream, checkpoint, table, merge)
 
 
+def _put_aside(batch: DataFrame, rejected: str, stream: str, batch_id: int) -> None:
+    """Store the lines of a batch that did not parse, if there are any; the table is made on first use."""
+    bad = batch.where(F.col(LINE).isNotNull()).select(F.col(LINE).alias("line"), F.col(FROM_FILE).alias("source_file"))
+    if bad.isEmpty():
+        return
+    spark = batch.sparkSession
+    if not table_exists(spark, rejected):
+        columns = StructType([StructField(c, StringType(), True) for c in ("line", "source_file", BATCH_ID)])
+        create_typed_table(spark, rejected, columns, partition_by=[BATCH_ID])
+    _overwrite_batch(bad, rejected, stream, batch_id)
+
+
+def _overwrite_batch(rows: DataFrame, table: str, stream: str, batch_id: int) -> None:
+    """Write a batch as a partition of its own, in place of what an earlier try left there."""
+    view = "batch_" + stream.replace("-", "_")
+    rows.createOrReplaceTempView(view)
+    rows.sparkSession.sql(
+        f"INSERT OVERWRITE TABLE {qualified(table)} PARTITION ({BATCH_ID} = '{stream}-{batch_id}') SELECT * FROM {view}"
+    )
+
+
 def stream_id(spark: SparkSession, checkpoint: str) -> str:
     """The id a query keeps in its checkpoint for life; a new checkpoint counts its batches from 0 under a new id."""
     return json.loads(spark.read.text(checkpoint.rstrip("/") + "/metadata").first()["value"])["id"]

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tablekeep.operators import tables, upkeep
+from tablekeep.operators.upsert import upsert_merge, upsert_rewrite
 from tablekeep.schemas import BRONZE_TRANSACTIONS, TRANSACTIONS
 from tablekeep.session import qualified
 from tablekeep.sources.landing import land_increment
@@ -192,6 +193,37 @@ def test_stream_drops_nothing_on_bad_lines(spark, ws):
     assert got.count() == 2 and got.where(F.col("id").isNull()).count() == 1
 
 
+def test_merge_puts_bad_lines_aside_once(spark, ws, monkeypatch):
+    target = tables.create_typed_table(spark, ws.table("t"), schema(spark))
+    tables.insert_rows(spark.createDataFrame([(1, "a", 0)], SCHEMA), target)
+    bad = ["no json", '{"id": "x", "v": "b", "at": 1}']
+    lines = ['{"id": 1, "v": "A", "at": 1}', '{"id": 2}', *bad]
+    spark.createDataFrame([(x,) for x in lines], "value string").write.text(ws.path("raw", "x"))
+
+    def run():
+        ingest.ingest_upsert(spark, ws.path("raw"), target, ws.path("cp"), schema(spark), "ID", ["AT"])
+
+    failing_once(monkeypatch, ingest, "upsert_merge", False)
+    with pytest.raises(Exception, match="once"):
+        run()
+    for _ in range(2):
+        run()
+        spark.catalog.refreshTable(qualified(target))
+        assert bag(spark.table(target)) == {(1, "A", 1): 1, (2, None, None): 1}
+        aside = spark.table(target + ingest.REJECTED)
+        assert sorted(r.line for r in aside.collect()) == sorted(bad)
+        assert aside.where("source_file like '%/raw/x/%'").count() == 2
+
+
+@pytest.mark.parametrize("upsert", [upsert_merge, upsert_rewrite])
+def test_names_are_matched_whatever_their_case(spark, ws, upsert):
+    target = tables.create_typed_table(spark, ws.table("t"), schema(spark))
+    tables.insert_rows(spark.createDataFrame([(1, "a", 0), (2, "b", 0)], SCHEMA), target)
+    upsert(spark, target, spark.createDataFrame([(2, "B", 1), (3, "C", 1)], "ID bigint, V string, At bigint"), "Id")
+    assert spark.table(target).columns == ["id", "v", "at"]
+    assert bag(spark.table(target)) == {(1, "a", 0): 1, (2, "B", 1): 1, (3, "C", 1): 1}
+
+
 @pytest.mark.parametrize("max_files", [None, 1, 2])
 def test_merge_does_not_depend_on_the_batch_cut(spark, ws, raw, max_files):
     target = tables.create_typed_table(spark, ws.table("t"), schema(spark))
