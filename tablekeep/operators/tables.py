@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import logging
 from contextlib import contextmanager
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 from tablekeep.functions.scalars import sanitize_identifier
+from tablekeep.operators.matching import fits_broadcast
 from tablekeep.schemas import columns_ddl
 from tablekeep.session import col, qualified, quote, text_literal
 
@@ -25,6 +27,9 @@ HIVE_PARQUET = (
 # Table properties with this prefix are ours and move along when a table is rebuilt.
 OWN_PROPERTY = "tablekeep."
 
+# Memory that a row of partition values may take on a broadcast side.
+PARTITION_ROW_BYTES = 1024
+
 
 # ---- namespaces
 
@@ -160,6 +165,34 @@ def partition_columns(spark: SparkSession, table: str) -> list[str]:
     return [c.name for c in spark.catalog.listColumns(qualified(table)) if c.isPartition]
 
 
+def in_partitions(parts: list[str], wanted: list[Row]) -> Column:
+    """A condition on each partition column alone, so that other partitions are not even listed for the scan.
+
+    Of several columns it also lets through other combinations of their values; ``only_partitions`` does not.
+    """
+
+    def one(p: str) -> Column:
+        values = {r[p] for r in wanted}
+        some = col(p).isin(list(values - {None})) if values - {None} else F.lit(False)
+        return some | col(p).isNull() if None in values else some
+
+    return reduce(lambda a, b: a & b, map(one, parts))
+
+
+def only_partitions(df: DataFrame, parts: list[str], wanted: list[Row], extra: str | None = None) -> DataFrame:
+    """The rows of the given partitions, with the column ``extra`` (a long) of ``wanted``, if named, added to them."""
+    spark, reached = df.sparkSession, df.where(in_partitions(parts, wanted))
+    if len(parts) == 1 and extra is None:
+        return reached
+    by = [f"__p{i}" for i in range(len(parts))]
+    kinds = [StructField(b, df.schema[p].dataType) for p, b in zip(parts, by)] + ([StructField(extra, LongType())] if extra else [])
+    listed = spark.createDataFrame([tuple(r[c] for c in (parts + [extra] if extra else parts)) for r in wanted], StructType(kinds))
+    if fits_broadcast(spark, len(wanted) * PARTITION_ROW_BYTES):
+        listed = F.broadcast(listed)
+    same = [col(p).eqNullSafe(F.col(b)) for p, b in zip(parts, by)]
+    return reached.join(listed, same, "inner" if extra else "left_semi").drop(*by)
+
+
 def _described(spark: SparkSession, table: str) -> tuple[list[Row], dict[str, str]]:
     """The column lines and the detail lines of DESCRIBE EXTENDED, told apart by section, as names may clash."""
     lines = spark.sql(f"DESCRIBE TABLE EXTENDED {qualified(table)}").collect()

@@ -7,7 +7,7 @@ import time
 import uuid
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from tablekeep.operators.tables import (
@@ -16,9 +16,11 @@ from tablekeep.operators.tables import (
     create_table_like,
     create_typed_table,
     drop_table,
+    in_partitions,
     insert_rows,
     is_external,
     location_of,
+    only_partitions,
     own_properties,
     partition_columns,
     provider_of,
@@ -28,7 +30,6 @@ from tablekeep.operators.tables import (
     table_exists,
 )
 from tablekeep.session import col, qualified
-from tablekeep.sources.files import file_inventory
 
 log = logging.getLogger(__name__)
 
@@ -39,6 +40,8 @@ NEW = "_NEW"
 SUPERSEDED_AT = OWN_PROPERTY + "superseded_at"
 READY = OWN_PROPERTY + "ready"
 TARGET_FILE_BYTES = 256 * 1024 * 1024
+# The column that says how many files a partition should be in.
+FILES = "__files"
 
 # Formats whose tables have row-level changes, file compaction and revision removal as SQL commands of their own.
 LAKE_FORMATS = {"delta"}
@@ -112,14 +115,18 @@ def _keep_properties(spark: SparkSession, table: str, copy: str, extra: dict[str
     set_comment(spark, copy, comment_of(spark, table))
 
 
-def overwrite_partitions(spark: SparkSession, table: str, rows: DataFrame) -> None:
+def overwrite_partitions(spark: SparkSession, table: str, rows: DataFrame, laid_out: bool = False) -> None:
     """Replace the partitions that occur in ``rows`` by ``rows``, which may be read from the table itself.
 
-    They are written beside the table first; only then are the partitions of the live table overwritten.
+    They are written beside the table first; only then are the partitions of the live table overwritten. Rows that are
+    ``laid_out`` come as their files should be; others are brought together by partition.
     """
     drop_table(spark, table + NEW)
     create_table_like(spark, table + NEW, table)
-    insert_rows(rows, table + NEW)
+    if laid_out:
+        rows.write.insertInto(qualified(table + NEW))
+    else:
+        insert_rows(rows, table + NEW)
     # From here on a failure is put right by writing again from the staged rows.
     set_properties(spark, table + NEW, {READY: "true"})
     _overwrite_from_staged(spark, table)
@@ -129,8 +136,10 @@ def _overwrite_from_staged(spark: SparkSession, table: str) -> None:
     # Which partitions an overwrite replaces is a session setting; a session beside the caller's leaves that alone.
     replacing = spark.newSession()
     replacing.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    staged = replacing.table(qualified(table + NEW))
-    staged.hint("rebalance", *map(col, partition_columns(spark, table))).write.insertInto(qualified(table), overwrite=True)
+    # Staged files have their layout already: each is read whole by one task and written as one file, without a shuffle.
+    replacing.conf.set("spark.sql.files.maxPartitionBytes", "1t")
+    replacing.conf.set("spark.sql.files.openCostInBytes", "1t")
+    replacing.table(qualified(table + NEW)).write.insertInto(qualified(table), overwrite=True)
     spark.catalog.refreshTable(qualified(table))
     drop_table(spark, table + NEW)
 
@@ -181,10 +190,11 @@ def convert_format(spark: SparkSession, table: str, provider: str = "orc", parti
 
 
 def compact_files(spark: SparkSession, table: str, file_bytes: int = TARGET_FILE_BYTES) -> bool:
-    """Rewrite a table of many small files as files of about ``file_bytes``; False when that would save none.
+    """Rewrite many small files as files of ``file_bytes`` to twice that; False when that would save none.
 
-    Nothing is shuffled: a scan that packs small files into splits of the wanted size feeds one output file per split.
-    Only a partitioned table needs its rows brought together by partition.
+    Of a partitioned table only the partitions with more files than they need are read and overwritten, in place. Any
+    other table is rebuilt without a shuffle: a scan that packs small files into splits of the wanted size feeds one
+    output file per split. Repeated calls come to an end, as each rewrite leaves fewer files.
     """
     recover(spark, table)
     if is_lake_table(spark, table):
@@ -192,30 +202,51 @@ def compact_files(spark: SparkSession, table: str, file_bytes: int = TARGET_FILE
         return True
     refuse_sink_log(spark, table)
     parts = partition_columns(spark, table)
-    files = file_inventory(spark.table(qualified(table)))
-    files = files.withColumn("dir", F.regexp_replace("file_path", "/[^/]*$", ""))
-    folders = files.groupBy("dir").agg(F.count("*").alias("n"), F.sum("file_size").alias("b"))
-    need = F.greatest(F.lit(1), F.ceil(F.col("b") / F.lit(file_bytes)))
-    found = folders.agg(F.sum("n").alias("n"), F.sum(need).alias("need")).first()
-    if found["n"] is None or found["n"] <= found["need"]:
+    ragged = _ragged(spark.table(qualified(table)), parts, file_bytes)
+    if not ragged:
         return False
+    if parts:
+        overwrite_partitions(spark, table, _laid_out(spark, table, parts, ragged), laid_out=True)
+        return True
     # The packing size is a session setting; a session beside the caller's leaves the caller's alone.
     packing = spark.newSession()
     packing.conf.set("spark.sql.files.maxPartitionBytes", str(file_bytes))
     packing.conf.set("spark.sql.files.minPartitionNum", "1")
     packing.conf.set("spark.sql.files.openCostInBytes", "0")
-    packing.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(file_bytes))
     drop_table(spark, table + NEW)
-    create_table_like(spark, table + NEW, table)
-    rows = packing.table(qualified(table))
-    if parts:
-        rows = rows.hint("rebalance", *map(col, parts))
-    rows.write.insertInto(qualified(table + NEW))
+    create_table_like(spark, table + NEW, table, location=_beside(spark, table))
+    packing.table(qualified(table)).write.insertInto(qualified(table + NEW))
     _keep_properties(spark, table, table + NEW)
     publish(spark, table, table + NEW)
     return True
 
 
+def _ragged(live: DataFrame, parts: list[str], file_bytes: int) -> list[Row]:
+    """Partition values, and how many files they should be in, where there are more than needed: at most a row per partition.
+
+    Only partition values and hidden metadata columns are read.
+    """
+    by = [f"p{i}" for i in range(len(parts))]
+    path, size = F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("size")
+    listed = live.select(*(col(p).alias(b) for p, b in zip(parts, by)), path, size).distinct()
+    sizes = listed.groupBy(*by).agg(F.count("*").alias("n"), F.sum("size").alias("bytes"))
+    more = sizes.where(F.col("n") > F.greatest(F.lit(1), F.ceil(F.col("bytes") / F.lit(file_bytes))))
+    files = F.greatest(F.lit(1), F.floor(F.col("bytes") / F.lit(file_bytes))).alias(FILES)
+    return more.select(*(F.col(b).alias(p) for p, b in zip(parts, by)), files).collect()
+
+
+def _laid_out(spark: SparkSession, table: str, parts: list[str], ragged: list[Row]) -> DataFrame:
+    """The rows of the named partitions, each dealt evenly over as many tasks as it should have files."""
+    live = spark.table(qualified(table))
+    # Filtered before the ids, which no filter is pushed through. A scan gives its rows the same ids whenever it is
+    # repeated, so a lost task deals them out as before.
+    numbered = live.where(in_partitions(parts, ragged)).withColumn("__row", F.monotonically_increasing_id())
+    dealt = only_partitions(numbered, parts, ragged, FILES)
+    dealt = dealt.withColumn("__file", F.pmod("__row", FILES))
+    tasks = sum(r[FILES] for r in ragged)
+    return dealt.repartition(tasks, *map(col, parts), "__file").select(*map(col, live.columns))
+
+
 def has_sink_log(spark: SparkSession, table: str) -> bool:
     """Whether a streaming file sink keeps its log in the table's folder: readers trust it, a swap would lose it."""
     try:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from tablekeep.operators.matching import (
@@ -24,9 +24,9 @@ from tablekeep.operators.matching import (
     warn_float_key,
 )
 from tablekeep.operators.relational import union_distinct
-from tablekeep.operators.tables import check_positions, partition_columns, set_properties
+from tablekeep.operators.tables import check_positions, only_partitions, partition_columns, set_properties
 from tablekeep.operators.upkeep import is_lake_table, overwrite_partitions, rebuild, recover
-from tablekeep.session import col, qualified, quote
+from tablekeep.session import col, qualified, quote, settled
 
 
 def rewritten_rows(target: DataFrame, source: DataFrame, key: str, broadcast_limit: int | None = None) -> DataFrame:
@@ -50,7 +50,7 @@ def upsert_rewrite(
 ) -> None:
     """Rebuild a table by the rewrite rule and publish it; the former state stays as ``<table>_OLD``."""
     recover(spark, table)
-    rows = rewritten_rows(spark.table(qualified(table)), source, key, broadcast_limit)
+    rows = rewritten_rows(spark.table(qualified(table)), settled(source), key, broadcast_limit)
     rebuild(spark, table, rows)
 
 
@@ -73,7 +73,8 @@ def upsert_merge(
     """
     recover(spark, table)
     target = spark.table(qualified(table))
-    [key], source = same_case(target, [key]), source.toDF(*same_case(target, source.columns))
+    # Settled, as it is measured and joined several times.
+    [key], source = same_case(target, [key]), settled(source.toDF(*same_case(target, source.columns)))
     if order_by is not None:
         order_by = same_case(target, order_by)
     if is_lake_table(spark, table):
@@ -96,7 +97,7 @@ def upsert_merge(
         rebuild(spark, table, merged_rows(target, source, key, broadcast_limit, seen, order_by), properties)
         return
     if touched:
-        reached = target.where(_in_partitions(parts, touched))
+        reached = only_partitions(target, parts, touched)
         overwrite_partitions(spark, table, merged_rows(reached, source, key, broadcast_limit, seen, order_by))
     set_properties(spark, table, properties or {})
 
@@ -127,13 +128,3 @@ def _touched_partitions(
     if any(r["moved"] for r in reached):
         return None
     return reached
-
-
-def _in_partitions(parts: list[str], wanted: list[Row]) -> Column:
-    """A condition on partition columns alone, so that the other partitions are not even listed for the scan."""
-    if len(parts) == 1:
-        values = [r[parts[0]] for r in wanted if r[parts[0]] is not None]
-        some = col(parts[0]).isin(values) if values else F.lit(False)
-        return some | col(parts[0]).isNull() if len(values) < len(wanted) else some
-    every = (reduce(lambda a, b: a & b, (col(p).eqNullSafe(F.lit(r[p])) for p in parts)) for r in wanted)
-    return reduce(lambda a, b: a | b, every)

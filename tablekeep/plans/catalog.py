@@ -62,6 +62,8 @@ from ({MERGED_SQL}) m group by o_orderstatus
 
 # The moment that parts the events into the first landing and the increment.
 EVENTS_CUT = "2024-01-28 00:00:00"
+# And one before it, for a third landing.
+EVENTS_MIDDLE = "2024-01-15 00:00:00"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -622,12 +624,38 @@ def _(spark, sf_dir):
     return _ingest_events(spark, sf_dir, 2, 3, replaceable=True).select(*EVENT_COLUMNS)
 
 
+@registered(
+    "stream_compact",
+    f"select {', '.join(EVENT_COLUMNS)}, true as fewer_files, false as compacted_again from events",
+)
+def _(spark, sf_dir):
+    """Two increments, a compaction across their batches (a second one has nothing to do), and a third increment."""
+    ws, events = Workspace(spark), table(spark, sf_dir, "events")
+    bronze, raw = ws.table("bronze"), ws.path("raw")
+    early, last = event_landings(events)
+    middle = F.to_timestamp_ntz(F.lit(EVENTS_MIDDLE))
+
+    def run(part: DataFrame, name: str) -> None:
+        landing.land_increment(spark, jobs.write_json(part, ws.path("source", name)), raw, name)
+        ingest.ingest_replaceable(spark, raw, bronze, ws.path("checkpoint"), events.schema)
+
+    run(early.where(F.col("ts") < middle), "increment_0")
+    run(early.where(F.col("ts") >= middle), "increment_1")
+    before = files.file_inventory(read(spark, bronze)).count()
+    upkeep.compact_files(spark, bronze)
+    after, again = files.file_inventory(read(spark, bronze)).count(), upkeep.compact_files(spark, bronze)
+    run(last, "increment_2")
+    return read(spark, bronze).select(*EVENT_COLUMNS, F.lit(after < before).alias("fewer_files"), F.lit(again).alias("compacted_again"))
+
+
 @registered("stream_upsert", MERGED_TOTALS_SQL)
 def _(spark, sf_dir):
+    """The increment, and then, late, the former state of the orders it changes, which is older by the order columns."""
     ws, orders = Workspace(spark), table(spark, sf_dir, "orders")
     live, raw = saved(ws, "orders", orders), ws.path("raw")
-    landing.land_increment(spark, jobs.write_json(order_increment(orders), ws.path("source")), raw, "increment")
-    for _ in range(2):
+    former = orders.where((F.col("o_orderpriority") == "1-URGENT") & (F.col("o_orderstatus") == "O"))
+    for name, rows in (("increment", order_increment(orders)), ("late", former)):
+        landing.land_increment(spark, jobs.write_json(rows, ws.path("source", name)), raw, name)
         ingest.ingest_upsert(
             spark, raw, live, ws.path("checkpoint"), orders.schema, "o_orderkey", ["o_orderdate", "o_totalprice"]
         )

@@ -43,12 +43,17 @@ def shared_dir(spark: SparkSession) -> str:
         return named
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-    return tempfile.mkdtemp(prefix="tablekeep-")
+    made = tempfile.mkdtemp(prefix="tablekeep-")
+    atexit.register(_remove_local, made)
+    return made
 
 
 def settled(df: DataFrame) -> DataFrame:
-    """``df`` written once to the checkpoint folder, where the session names one, so that it is not computed again."""
-    return df.checkpoint() if df.sparkSession.conf.get("spark.checkpoint.dir", None) else df
+    """``df`` written once to the checkpoint folder, so that it is not computed again and all its uses agree."""
+    spark = df.sparkSession
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(shared_dir(spark))
+    return df.checkpoint()
 
 
 class Workspace:

@@ -9,18 +9,19 @@ import json
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import DateType, StringType, StructField, StructType
 
 from tablekeep.operators.matching import latest_per_key, same_case
 from tablekeep.operators.relational import with_provenance
-from tablekeep.operators.tables import OWN_PROPERTY, create_typed_table, own_properties, table_exists
-from tablekeep.operators.upkeep import recover
+from tablekeep.operators.tables import OWN_PROPERTY, create_typed_table, own_properties, set_properties, table_exists
+from tablekeep.operators.upkeep import overwrite_partitions, recover
 from tablekeep.operators.upsert import upsert_merge
 from tablekeep.schemas import with_provenance as provenance_schema
 from tablekeep.session import col, qualified
 from tablekeep.sources.files import JSON_TIMESTAMPS
 
 BATCH_ID = "batch_id"
+LOAD_DATE = "load_date"
 
 # Name ending of the table beside a merge stream's that holds the lines which did not parse.
 REJECTED = "_REJECTED"
@@ -82,15 +83,27 @@ def ingest_replaceable(
 ) -> None:
     """As ``ingest_append``, into a table that may also be compacted or swapped.
 
-    Every micro-batch is a partition of its own, written by overwriting that partition. A batch replayed after a
-    failure, even one that failed halfway through its commit, replaces its own rows and no others.
+    The table is partitioned by load date, so files of many batches can be compacted into one, and has the batch as a
+    column. The batch begun last is a property of the table: one found there is replayed after a failure, and replaces
+    the rows that it left in its date's partition, even if it failed halfway through its commit. Any other is appended.
     """
     if not table_exists(spark, table):
-        columns = provenance_schema(schema).add(BATCH_ID, StringType(), True)
-        create_typed_table(spark, table, columns, partition_by=[BATCH_ID])
+        columns = provenance_schema(schema).add(BATCH_ID, StringType(), True).add(LOAD_DATE, DateType(), True)
+        create_typed_table(spark, table, columns, partition_by=[LOAD_DATE])
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        _overwrite_batch(batch, table, stream_id(batch.sparkSession, checkpoint), batch_id)
+        inner, stream = batch.sparkSession, stream_id(batch.sparkSession, checkpoint)
+        recover(inner, table)
+        inner.catalog.refreshTable(qualified(table))
+        begun, name = OWN_PROPERTY + "begun." + stream, f"{stream}-{batch_id}"
+        # A replayed batch has the load time of its first try, hence its date.
+        rows = batch.withColumns({BATCH_ID: F.lit(name), LOAD_DATE: F.to_date("processing_time")})
+        if own_properties(inner, table).get(begun) != str(batch_id):
+            set_properties(inner, table, {begun: str(batch_id)})
+            rows.write.insertInto(qualified(table))
+        elif (some := rows.select(LOAD_DATE).first()) is not None:
+            of_date = inner.table(qualified(table)).where(F.col(LOAD_DATE) == F.lit(some[LOAD_DATE]))
+            overwrite_partitions(inner, table, of_date.where(F.col(BATCH_ID) != name).union(rows))
 
     stream = with_provenance(read_raw_stream(spark, raw_dir, schema, max_files=max_files, max_bytes=max_bytes))
     _run_batches(spark, stream, checkpoint, table, write)

@@ -10,6 +10,7 @@ from tablekeep.operators import tables, upkeep
 from tablekeep.operators.upsert import upsert_merge, upsert_rewrite
 from tablekeep.schemas import BRONZE_TRANSACTIONS, TRANSACTIONS
 from tablekeep.session import qualified
+from tablekeep.sources.files import file_inventory
 from tablekeep.sources.landing import land_increment
 from tablekeep.streaming import ingest
 
@@ -102,6 +103,62 @@ def test_replaceable_bronze_survives_compaction(spark, ws, raw):
     assert bag(run()) == collections.Counter(rows)
 
 
+def test_bronze_is_compacted_across_increments(spark, ws, raw):
+    bronze, rows = ws.table("bronze"), [(i, f"v{i}", i) for i in range(50)]
+
+    def run(i):
+        raw(rows[i * 10 : i * 10 + 10])
+        ingest.ingest_replaceable(spark, ws.path("raw"), bronze, ws.path("cp"), schema(spark))
+
+    for i in range(4):
+        run(i)
+    before = file_inventory(spark.table(bronze)).count()
+    assert upkeep.compact_files(spark, bronze) and file_inventory(spark.table(bronze)).count() < before
+    assert not upkeep.compact_files(spark, bronze)
+    assert bag(spark.table(bronze).select("id", "v", "at")) == collections.Counter(rows[:40])
+    run(4)
+    assert bag(spark.table(bronze).select("id", "v", "at")) == collections.Counter(rows)
+    assert spark.table(bronze).select(ingest.BATCH_ID).distinct().count() == 5
+
+
+@pytest.mark.parametrize("compacted", [False, True])
+def test_replayed_bronze_batch_replaces_its_own_rows(spark, ws, raw, monkeypatch, compacted):
+    """A batch that wrote its rows and failed before its commit, with a compaction before it is tried again."""
+    bronze = ws.table("bronze")
+
+    def run():
+        ingest.ingest_replaceable(spark, ws.path("raw"), bronze, ws.path("cp"), schema(spark))
+
+    raw([(1, "a", 1)])
+    run()
+    raw([(2, "b", 2), (2, "b", 2)])
+    with monkeypatch.context() as patched:
+        patched.setattr(ingest, "set_properties", failing_after_write(ingest.set_properties, spark, bronze))
+        with pytest.raises(Exception, match="once"):
+            run()
+    spark.catalog.refreshTable(qualified(bronze))
+    assert spark.table(bronze).where("id = 9").count() == 1  # the half that was written
+    if compacted:
+        upkeep.compact_files(spark, bronze)
+    for _ in range(2):
+        run()
+        assert bag(spark.table(bronze).select("id", "v", "at")) == {(1, "a", 1): 1, (2, "b", 2): 2}
+
+
+def failing_after_write(original, spark, table):
+    """Mark the batch as begun, leave a row of it behind, and fail."""
+
+    def wrapped(inner, name, properties):
+        original(inner, name, properties)
+        [(mark, number)] = properties.items()
+        batch = f"{mark.rsplit('.', 1)[1]}-{number}"
+        left = inner.table(qualified(table)).limit(1).withColumns({"id": F.lit(9).cast("long"), ingest.BATCH_ID: F.lit(batch)})
+        left.write.insertInto(qualified(table))
+        raise Failure("once")
+
+    return wrapped
+
+
 def test_replaceable_bronze_with_a_new_checkpoint_keeps_the_old_rows(spark, ws, raw):
     bronze = ws.table("bronze")
     raw([(1, "a", 1)])

@@ -5,12 +5,13 @@ import collections
 import loans
 import pytest
 from pyspark.errors import AnalysisException
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 from test_queries import plan_of
 
 from tablekeep.operators import relational, tables, upkeep
 from tablekeep.operators.matching import merged_rows
-from tablekeep.operators.upsert import _in_partitions, upsert_merge, upsert_rewrite
+from tablekeep.operators.upsert import upsert_merge, upsert_rewrite
 from tablekeep.schemas import BRONZE_TRANSACTIONS, TRANSACTIONS
 from tablekeep.session import Workspace, qualified, shared_dir
 from tablekeep.sources import files
@@ -235,7 +236,7 @@ def test_half_overwritten_partitions_are_finished(spark, parted, monkeypatch):
 def test_touched_merge_reads_and_writes_few_partitions(spark, ws):
     df = spark.range(1000).selectExpr("id", "'t' as v", "cast(id % 50 as int) as p")
     live = filled(ws, "t", df, partition_by=["p"])
-    plan = plan_of(read(spark, live).where(_in_partitions(["p"], [{"p": 3}, {"p": 4}])))
+    plan = plan_of(read(spark, live).where(tables.in_partitions(["p"], [{"p": 3}, {"p": 4}])))
     assert "PartitionFilters: [p#" in plan and "IN (3,4)" in plan
     upsert_merge(spark, live, df.where("id < 0"), "id", touched_only=True)
     assert read(spark, live).count() == 1000
@@ -288,6 +289,56 @@ def test_compaction_of_a_partitioned_table(spark, ws):
     assert upkeep.compact_files(spark, live)
     assert n_files(spark, live) == 3
     assert bag(read(spark, live)) == bag(df)
+    assert not upkeep.compact_files(spark, live)
+
+
+def test_compaction_rewrites_only_ragged_partitions(spark, ws):
+    """A null partition value and two columns among them; a full partition is cut into files of the wanted size."""
+    schema = spark.createDataFrame([], "id bigint, v string, p int, q string").schema
+    live = tables.create_typed_table(spark, ws.table("t"), schema, partition_by=["p", "q"])
+    rows = spark.range(0, 60_000, 1, 12).selectExpr("id", "cast(rand(3) as string) as v", "cast(nullif(id % 2, 0) as int) as p", "'x' as q")
+    rows.write.insertInto(qualified(live))
+    spark.sql("select 7L as id, 'v' as v, 5 as p, 'y' as q").write.insertInto(qualified(live))
+    expected = bag(read(spark, live))
+    single = [r.file_path for r in files.file_inventory(read(spark, live).where("p = 5")).collect()]
+    size = sum(r.file_size for r in files.file_inventory(read(spark, live).where("p = 1")).collect())
+    ragged = [Row(p=p, q="x", __files=3) for p in (1, None)]
+    assert "PartitionFilters: [isnotnull(q" in plan_of(upkeep._laid_out(spark, live, ["p", "q"], ragged))
+    assert upkeep.compact_files(spark, live, size // 3)
+    assert [r.file_path for r in files.file_inventory(read(spark, live).where("p = 5")).collect()] == single
+    for condition in ("p = 1", "p is null"):
+        found = files.file_inventory(read(spark, live).where(condition)).collect()
+        assert 2 <= len(found) <= 3 and max(r.n_rows for r in found) < 1.1 * 30_000 * 2 / 3
+    assert bag(read(spark, live)) == expected
+    assert not upkeep.compact_files(spark, live, size // 3)
+
+
+def test_compaction_keeps_an_external_table_external(spark, ws):
+    spark.range(0, 90, 1, 9).write.parquet(ws.path("outside"))
+    name = tables.create_external_table(spark, ws.table("ext"), spark.range(1).schema, ws.path("outside"), "parquet")
+    assert upkeep.compact_files(spark, name)
+    assert tables.is_external(spark, name) and n_files(spark, name) == 1 and spark.table(name).count() == 90
+
+
+def test_a_condition_on_thousands_of_partitions(spark):
+    wanted = [Row(p=i, q=None if i % 2 else str(i)) for i in range(5000)]
+    given = spark.range(10_000).selectExpr("cast(id as int) as p", "if(id % 2 = 1, null, cast(id as string)) as q")
+    assert tables.only_partitions(given, ["p", "q"], wanted).count() == 5000
+    assert tables.only_partitions(given, ["p", "q"], wanted[:3] + [Row(p=9, q="9")]).count() == 3
+
+
+@pytest.mark.parametrize("upsert", [upsert_merge, upsert_rewrite])
+def test_an_increment_is_computed_once(spark, ws, upsert):
+    live = filled(ws, "t", spark.range(10).selectExpr("id", "'a' as v"))
+    computed = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(i):
+        computed.add(1)
+        return str(i)
+
+    upsert(spark, live, spark.range(5, 15, 1, 2).select("id", counted("id").alias("v")), "id")
+    assert computed.value == 10 and read(spark, live).count() == 15
 
 
 def test_show_create_is_runnable(spark, story):
