@@ -1,12 +1,16 @@
 """Language-model scores from an Elias-Fano n-gram trie.
 
 Level one holds every word of the training texts: its 64-bit hash in an Elias-Fano sequence, its count, a quantised
-backoff weight, and a monotone pointer to its successors. Level two holds, for each word, the words that followed it at
-least twice, as one Elias-Fano sequence of (context, word id), and a quantised smoothed probability each. A query finds
-the two words in level one, takes the context's pointers, and searches for the successor between them.
+backoff weight, and a monotone pointer to its successors. Level two holds, for each word, the words that followed it, as
+one Elias-Fano sequence of (context, word id), and a quantised smoothed probability each. Level three holds, for each
+bigram, the words that followed it, by their ranks among the successors of the bigram's second word; ranks of one context
+are made to follow those of the context before, so that they too are one Elias-Fano sequence. A query finds the words in
+level one, takes the context's pointers, and searches for the successor between them.
 
-The model is a bigram with absolute discounting, interpolated with the unigram model: p(w|c) = (n - D)/c(c) + b(c) p(w),
-where b(c) is what the kept bigrams of c leave over, so p sums to one. p(w) is the base model.
+The model has absolute discounting and is interpolated with the level below: p(w|c) = (n - D)/c(c) + b(c) p(w|shorter c),
+where b(c) is what the kept n-grams of c leave over, so p sums to one. p(w) is the base model. An n-gram with an unknown
+word is not looked up. The whole model holds every bigram and trigram of the training texts; otherwise it is a bigram
+of those seen ``LEAST_BIGRAM`` times.
 
 Levels are built in buckets of hash values by Spark tasks, counted from all training texts. They reach the executors as
 files (fetched once per executor by Spark) and are memory-mapped from there, so a level is never in the driver or in the
@@ -23,7 +27,7 @@ import fcntl
 import os
 import uuid
 from collections.abc import Iterable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import lru_cache
 
 import numpy as np
@@ -95,6 +99,7 @@ def _merged(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
 
 
 PARTS = "bucket int, keys binary, counts binary"
+PARTS_SCHEMA = pa.schema([("bucket", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())])
 
 
 def _part_batch(rows: list[tuple[int, bytes, bytes]]) -> pa.RecordBatch:
@@ -265,11 +270,11 @@ def _located(tokens: list[list[bytes]], vocabulary: Vocabulary):
     return ids[flat], counts[flat], np.concatenate([[0], np.cumsum(lengths)[:-1]]), lengths
 
 
-def _pairs(ids: np.ndarray, counts: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _pairs(ids: np.ndarray, counts: np.ndarray, begins: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
     """Positions of second words of bigrams that the model may hold, and their keys (context id, word id)."""
     second = np.ones(len(ids), bool)
     second[begins] = False
-    often = counts >= LEAST_BIGRAM
+    often = counts >= least
     second[1:] &= often[1:] & often[:-1]
     at = np.flatnonzero(second)
     return at, (ids[at - 1].astype(np.uint64) << np.uint64(32)) | ids[at].astype(np.uint64)
@@ -286,12 +291,23 @@ def log_of(codes: np.ndarray) -> np.ndarray:
 
 @dataclass(frozen=True)
 class Trie:
+    """Levels one and two, with how many bigrams come before each bucket of level two, and level three if there is one."""
+
     vocabulary: Vocabulary
     successors: Shipped
-
-    def look_up(self, keys: np.ndarray, log_p: np.ndarray) -> np.ndarray:
-        """log10 p of each (context, word), given the unigram log10 p of its word."""
-        v, blocks, out = self.vocabulary, _mapped(self.successors), log_p.copy()
+    least: int
+    before: tuple[int, ...]
+    bigrams: int
+    widest: int
+    thirds: Shipped | None = None
+    thirds_buckets: int = 1
+
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Of each (context, word): the bigram's number and its rank in the context (-1: absent), the code of its log10 p
+        (0 where absent), and the code of the context's backoff weight."""
+        v, blocks = self.vocabulary, _mapped(self.successors)
+        number, rank = np.full(len(keys), -1, np.int64), np.full(len(keys), -1, np.int64)
+        p, weight = np.zeros(len(keys), np.uint8), np.zeros(len(keys), np.uint8)
         context, word = (keys >> np.uint64(32)).astype(np.int64), (keys & np.uint64(0xFFFFFFFF)).astype(np.int64)
         bucket = np.searchsorted(np.array(v.before), context, side="right") - 1
         order = np.argsort(bucket, kind="stable")
@@ -305,30 +321,70 @@ class Trie:
             local = context[part] - v.before[b]
             begin, end = pointers.access(local).astype(np.int64), pointers.access(local + 1).astype(np.int64)
             found = words.find(local.astype(np.uint64) * np.uint64(v.words) + word[part].astype(np.uint64), begin, end)
-            out[part] = np.where(found >= 0, log_of(codes[np.maximum(found, 0)]), log_p[part] + log_of(backoff[local]))
-        return out
+            weight[part] = backoff[local]
+            there, found, begin = part[found >= 0], found[found >= 0], begin[found >= 0]
+            number[there], rank[there], p[there] = self.before[b] + found, found - begin, codes[found]
+        return number, rank, p, weight
+
+    def find_thirds(self, context: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of each (bigram number, rank of the next word): whether level three holds it, the code of its log10 p, and the
+        code of the bigram's backoff weight."""
+        blocks, width = _mapped(self.thirds), _width(self.bigrams, self.thirds_buckets)
+        known, p, weight = np.zeros(len(context), bool), np.zeros(len(context), np.uint8), np.zeros(len(context), np.uint8)
+        bucket = context // width
+        order = np.argsort(bucket, kind="stable")
+        for part in np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1):
+            if not len(part) or int(bucket[part[0]]) not in blocks:
+                continue
+            b = int(bucket[part[0]])
+            arrays = blocks[b]
+            pointers, ranks = EliasFano.from_arrays(arrays[:5]), EliasFano.from_arrays(arrays[5:10])
+            backoff, codes, universe = arrays[10:]
+            local = context[part] - b * width
+            weight[part] = backoff[local]
+            part, local = part[rank[part] >= 0], local[rank[part] >= 0]
+            begin, end = pointers.access(local).astype(np.int64), pointers.access(local + 1).astype(np.int64)
+            base = np.where(begin > 0, ranks.access(np.maximum(begin - 1, 0)).astype(np.int64) + 1, 0)
+            found = ranks.find(np.minimum(base + rank[part], universe[0] - 1), begin, end)
+            known[part], p[part] = found >= 0, codes[np.maximum(found, 0)]
+        return known, p, weight
 
+    def located(self, ids: np.ndarray, counts: np.ndarray, begins: np.ndarray):
+        """Of tokens in a row: the positions of second words of bigrams, and what ``find`` says of each."""
+        at, keys = _pairs(ids, counts, begins, self.least)
+        distinct, place = np.unique(keys, return_inverse=True)
+        return at, *(x[place] for x in self.find(distinct))
 
-def build_trie(texts: DataFrame, vocabulary: Vocabulary, ws: Workspace) -> Trie:
-    """Count all bigrams of often-seen words, keep those seen twice, and write level two.
 
-    Bigrams are counted per task before the shuffle and spread by a mix of both words, so no context, however common, is
-    in one task before only its repeated bigrams are left.
-    """
-    buckets = partitions(texts.sparkSession)
+def _width(bigrams: int, buckets: int) -> int:
+    """Bigrams per bucket of level three."""
+    return max(1, -(-bigrams // buckets))
+
+
+def _triples(at: np.ndarray, number: np.ndarray) -> np.ndarray:
+    """The places in ``at`` of bigrams right after a bigram that the model holds: with that one they are a trigram."""
+    return np.flatnonzero((np.diff(at) == 1) & (number[:-1] >= 0)) + 1
+
+
+def _spread(keys: np.ndarray, buckets: int) -> np.ndarray:
+    return bucket_of((keys ^ (keys >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15), buckets)
+
 
-    def mixed(keys):
-        return bucket_of((keys ^ (keys >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15), buckets)
+def _counted(texts: DataFrame, keys_of, buckets: int, least: int, bucket_of_keys) -> DataFrame:
+    """``PARTS`` of the keys that ``keys_of(tokens)`` gives, seen ``least`` times or more, by ``bucket_of_keys``.
+
+    Keys are counted per task before the shuffle and spread by a mix of all their bits, so no context, however common, is
+    in one task before each of its n-grams is there once.
+    """
 
     def flushed(held):
         keys, counts = np.unique(np.concatenate(held), return_counts=True)
-        return _part_batch(list(_split(keys, counts, mixed(keys))))
+        return _part_batch(list(_split(keys, counts, _spread(keys, buckets))))
 
     def count(batches):
         held, n = [], 0
         for _, tokens in _grouped(batches):
-            ids, counts, begins, _ = _located(tokens, vocabulary)
-            held.append(_pairs(ids, counts, begins)[1])
+            held.append(keys_of(tokens))
             n += len(held[-1])
             if n >= FLUSH_PAIRS:
                 yield flushed(held)
@@ -336,18 +392,29 @@ def build_trie(texts: DataFrame, vocabulary: Vocabulary, ws: Workspace) -> Trie:
         if n:
             yield flushed(held)
 
-    def repeated(table: pa.Table) -> pa.Table:
+    def once(table: pa.Table) -> pa.Table:
         keys, counts = _merged(table)
-        keys, counts = keys[counts >= LEAST_BIGRAM], counts[counts >= LEAST_BIGRAM]
-        context = (keys >> np.uint64(32)).astype(np.int64)
-        bucket = np.searchsorted(np.array(vocabulary.before), context, side="right") - 1
-        return pa.table({"bucket": pa.array(bucket, pa.int32()), "key": pa.array(keys.view(np.int64)), "n": pa.array(counts)})
+        keys, counts = keys[counts >= least], counts[counts >= least]
+        rows = list(_split(keys, counts, bucket_of_keys(keys)))
+        return pa.Table.from_batches([_part_batch(rows)] if rows else [], PARTS_SCHEMA)
+
+    return texts.mapInArrow(count, PARTS).groupBy("bucket").applyInArrow(once, PARTS)
+
+
+def build_trie(texts: DataFrame, vocabulary: Vocabulary, ws: Workspace, least: int) -> Trie:
+    """Count all bigrams of words seen ``least`` times, keep those seen as often, and write level two."""
+    buckets = partitions(texts.sparkSession)
+
+    def keys_of(tokens):
+        ids, counts, begins, _ = _located(tokens, vocabulary)
+        return _pairs(ids, counts, begins, least)[1]
+
+    def bucket_of_context(keys):
+        return np.searchsorted(np.array(vocabulary.before), (keys >> np.uint64(32)).astype(np.int64), side="right") - 1
 
     def level(table: pa.Table) -> pa.Table:
         bucket = table.column("bucket")[0].as_py()
-        keys, n = table.column("key").to_numpy().view(np.uint64), table.column("n").to_numpy()
-        order = np.argsort(keys)
-        keys, n = keys[order], n[order]
+        keys, n = _merged(table)
         context, word = (keys >> np.uint64(32)).astype(np.int64), (keys & np.uint64(0xFFFFFFFF)).astype(np.int64)
         first = vocabulary.before[bucket]
         last = vocabulary.before[bucket + 1] if bucket + 1 < vocabulary.buckets else vocabulary.words
@@ -355,7 +422,8 @@ def build_trie(texts: DataFrame, vocabulary: Vocabulary, ws: Workspace) -> Trie:
         share = (n - DISCOUNT) / vocabulary.counts_of(context)
         left = 1.0 - np.bincount(local, share, last - first)
         p = share + left[local] * 10 ** vocabulary.log_p(vocabulary.counts_of(word))
-        pointers = np.concatenate([[0], np.cumsum(np.bincount(local, minlength=last - first))])
+        each = np.bincount(local, minlength=last - first)
+        pointers = np.concatenate([[0], np.cumsum(each)])
         universe = (last - first) * vocabulary.words
         block = packed(
             [
@@ -365,20 +433,78 @@ def build_trie(texts: DataFrame, vocabulary: Vocabulary, ws: Workspace) -> Trie:
                 quantised(np.log10(p)),
             ]
         )
+        return pa.table({"bucket": pa.array([bucket], pa.int32()), "bigrams": [len(keys)], "widest": [int(each.max())], "block": [block]})
+
+    counted = _counted(texts, keys_of, buckets, least, bucket_of_context)
+    rows = counted.groupBy("bucket").applyInArrow(level, "bucket int, bigrams long, widest long, block binary")
+    level_two, written = ship(rows, ws, "successors")
+    sizes = {r["bucket"]: (r["bigrams"], r["widest"]) for r in written.select("bucket", "bigrams", "widest").collect()}
+    each = [sizes.get(b, (0, 0)) for b in range(vocabulary.buckets)]
+    before = np.concatenate([[0], np.cumsum([n for n, _ in each])])
+    return Trie(vocabulary, level_two, least, tuple(before[:-1].tolist()), int(before[-1]), max(w for _, w in each))
+
+
+def with_thirds(texts: DataFrame, trie: Trie, ws: Workspace) -> Trie:
+    """Count all trigrams and write level three.
+
+    A key is the number of the context bigram, the rank of the next word, and the code of the next word's log10 p by
+    level two, from which the trigram's own is interpolated.
+    """
+    buckets = partitions(texts.sparkSession)
+    width = _width(trie.bigrams, buckets)
+    wide = max(1, trie.widest.bit_length())
+    if trie.bigrams.bit_length() + wide + 8 > 64:
+        raise ValueError("too many bigrams for 64-bit trigram keys")
+    above, rank_bits, code_bits = np.uint64(wide + 8), np.uint64((1 << wide) - 1), np.uint64(CODES - 1)
+
+    def keys_of(tokens):
+        ids, counts, begins, _ = _located(tokens, trie.vocabulary)
+        at, number, rank, p, _ = trie.located(ids, counts, begins)
+        k = _triples(at, number)
+        return (number[k - 1].astype(np.uint64) << above) | (rank[k].astype(np.uint64) << np.uint64(8)) | p[k].astype(np.uint64)
+
+    def bucket_of_context(keys):
+        return (keys >> above).astype(np.int64) // width
+
+    def level(table: pa.Table) -> pa.Table:
+        bucket = table.column("bucket")[0].as_py()
+        keys, n = _merged(table)
+        first, last = bucket * width, min((bucket + 1) * width, trie.bigrams)
+        local = (keys >> above).astype(np.int64) - first
+        rank, shorter = ((keys >> np.uint64(8)) & rank_bits).astype(np.int64), (keys & code_bits).astype(np.uint8)
+        share = (n - DISCOUNT) / np.bincount(local, n, last - first)[local]
+        left = 1.0 - np.bincount(local, share, last - first)
+        p = share + left[local] * 10 ** log_of(shorter)
+        pointers = np.concatenate([[0], np.cumsum(np.bincount(local, minlength=last - first))])
+        # Ranks of a context begin one above the last of the context before.
+        ends = np.flatnonzero(np.diff(local, append=-1))
+        tops = np.cumsum(rank[ends] + 1)
+        ranks = rank + np.repeat(tops - rank[ends] - 1, np.diff(ends, prepend=-1))
+        universe = int(tops[-1]) + 1
+        block = packed(
+            [
+                *EliasFano.of(pointers, len(keys) + 1).arrays(),
+                *EliasFano.of(ranks, universe).arrays(),
+                quantised(np.log10(np.maximum(left, 1e-12))),
+                quantised(np.log10(p)),
+                np.array([universe], np.int64),
+            ]
+        )
         return pa.table({"bucket": pa.array([bucket], pa.int32()), "block": [block]})
 
-    counted = texts.mapInArrow(count, PARTS).groupBy("bucket").applyInArrow(repeated, "bucket int, key long, n long")
+    counted = _counted(texts, keys_of, buckets, 1, bucket_of_context)
     rows = counted.groupBy("bucket").applyInArrow(level, "bucket int, block binary")
-    return Trie(vocabulary, ship(rows, ws, "successors")[0])
+    return replace(trie, thirds=ship(rows, ws, "thirds")[0], thirds_buckets=buckets)
 
 
 # ---- scores
 
 
-def train(docs: DataFrame, ws: Workspace) -> Trie:
+def train(docs: DataFrame, ws: Workspace, whole: bool = False) -> Trie:
     """The model of all documents that are not held out."""
     texts = doc_texts(docs).where(~held_out())
-    return build_trie(texts, count_words(texts, ws), ws)
+    trie = build_trie(texts, count_words(texts, ws), ws, 1 if whole else LEAST_BIGRAM)
+    return with_thirds(texts, trie, ws) if whole else trie
 
 
 SCORES = "doc_id long, n_tokens long, n_known long, base_score double, score double"
@@ -392,10 +518,12 @@ def scores(docs: DataFrame, trie: Trie) -> DataFrame:
             ids, counts, begins, lengths = _located(tokens, trie.vocabulary)
             base = trie.vocabulary.log_p(counts)
             score = base.copy()
-            at, keys = _pairs(ids, counts, begins)
-            if len(keys):
-                distinct, first, place = np.unique(keys, return_index=True, return_inverse=True)
-                score[at] = trie.look_up(distinct, base[at[first]])[place]
+            at, number, rank, p, weight = trie.located(ids, counts, begins)
+            score[at] = np.where(number >= 0, log_of(p), base[at] + log_of(weight))
+            if trie.thirds:
+                k = _triples(at, number)
+                known, p, weight = trie.find_thirds(number[k - 1], rank[k])
+                score[at[k]] = np.where(known, log_of(p), score[at[k]] + log_of(weight))
             columns = [
                 pa.array(doc_ids, pa.int64()),
                 pa.array(lengths, pa.int64()),
@@ -408,8 +536,8 @@ def scores(docs: DataFrame, trie: Trie) -> DataFrame:
     return doc_texts(docs).mapInArrow(of, SCORES)
 
 
-def score_documents(docs: DataFrame, ws: Workspace) -> DataFrame:
+def score_documents(docs: DataFrame, ws: Workspace, whole: bool = False) -> DataFrame:
     """Train on the documents that are not held out, and score all of them by the base model and by the trie."""
-    trie = train(docs, ws)
+    trie = train(docs, ws, whole)
     total = F.lit(trie.vocabulary.tokens).cast("long").alias("train_tokens")
     return scores(docs, trie).select("doc_id", held_out().alias("held_out"), "n_tokens", "n_known", total, "base_score", "score")

@@ -137,4 +137,4 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered
 def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lm.score_documents(table(spark, sf_dir, "documents"), Workspace(spark))
+    return lm.score_documents(table(spark, sf_dir, "documents"), Workspace(spark), whole=True)

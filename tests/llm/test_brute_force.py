@@ -275,6 +275,37 @@ def test_lm_scores(ws, odd_docs):
         assert a[:2] == b[:2] and abs(a[2] - b[2]) < 1e-6 * a[0] and abs(a[3] - b[3]) < 0.03 * a[0]
 
 
+def test_whole_lm_scores(ws, odd_docs):
+    rows = plain(odd_docs)
+    tokens = [[*t.encode().lower().split(), b"\n"] for _, t in rows]
+    train = [w for (d, _), w in zip(rows, tokens) if zlib.crc32(str(d if d is not None else "").encode()) % 10]
+    n_of = [collections.Counter(w[i : i + k] for w in map(tuple, train) for i in range(len(w) - k + 1)) for k in (1, 2, 3)]
+    total, v = sum(n_of[0].values()), len(n_of[0])
+    assert any(n == 1 for n in n_of[1].values()) and any(n == 1 for n in n_of[2].values())
+    followed = [collections.Counter(g[:-1] for g in n) for n in n_of]
+    seen = collections.Counter()
+    for n in n_of[1:]:
+        for g, k in n.items():
+            seen[g[:-1]] += k
+
+    def p(g):
+        if len(g) == 1:
+            return (n_of[0][g] + 0.1) / (total + 0.1 * (v + 1))
+        if not all(n_of[0][(w,)] for w in g):
+            return p(g[1:] if not n_of[0][g[:1]] and len(g) == 3 else g[-1:])
+        context = g[:-1]
+        if not seen[context]:
+            return p(g[1:])
+        return (max(n_of[len(g) - 1][g] - 0.75, 0) + 0.75 * followed[len(g) - 1][context] * p(g[1:])) / seen[context]
+
+    expected = sorted((len(w), sum((x,) in n_of[0] for x in w), sum(math.log10(p(tuple(w[max(0, i - 2) : i + 1]))) for i in range(len(w)))) for w in tokens)
+    found = lm.score_documents(odd_docs, ws, whole=True).collect()
+    got = sorted((r["n_tokens"], r["n_known"], r["score"]) for r in found)
+    for a, b in zip(expected, got, strict=True):
+        assert a[:2] == b[:2] and abs(a[2] - b[2]) < 0.05 * a[0]
+    assert sum(abs(a[2] - b[2]) for a, b in zip(expected, got)) < 0.02 * sum(a[0] for a in expected)
+
+
 def test_elias_fano():
     rng = np.random.default_rng(1)
     for n, universe in ((0, 10), (1, 1), (5, 1000), (1000, 1 << 44), (5000, 6000), (3000, 3000 * 900)):
