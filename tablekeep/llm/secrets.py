@@ -42,10 +42,14 @@ ACCESS = Rule("access", "AKIA", "[A-Z0-9]+", 16)
 HEX = Rule("hex", "", "[0-9a-f]{24,}")
 BASE = (ASSIGN, ACCESS, HEX)
 
-# Spans that this method adds to the base ones.
+# Spans that this method adds to the base ones. A private key goes to its END line, whatever stands between (short of five
+# dashes); without an END line, on over all that bodies are made of: base64, header lines, line ends in escaped form. As
+# such a match may end in four dashes of the next header, one of them is enough for the next match.
+PRIVATE = "BEGIN ([A-Z]+ ){0,3}PRIVATE KEY-----"
 ADDED = (
     Rule("github", "gh[opsu]_", "[A-Za-z0-9]+", 36),
-    Rule("private_key", "-----BEGIN ", "([A-Z]+ ){0,3}PRIVATE KEY-----"),
+    Rule("private_key", "-----" + PRIVATE, "(-{0,4}[\x00-,.-\xff])*-----END ([A-Z]+ ){0,3}PRIVATE KEY-----"),
+    Rule("private_key", "-{1,5}" + PRIVATE, "(-{0,4}[A-Za-z0-9+/=:,\\\\ \t\r\n])*-{0,4}"),
 )
 RULES = BASE + ADDED
 
@@ -88,7 +92,21 @@ class Scanner:
                 covered = stop
                 if self.heads[rule] is None or stop - self._head_end(rule, data, start) >= self.rules[rule].least:
                     found.append((start, stop, rule))
-        return sorted(found, key=lambda s: (s[0], s[2]))
+        return self._joined(sorted(found, key=lambda s: (s[0], s[2])))
+
+    def _joined(self, found: list[Span]) -> list[Span]:
+        """Spans that overlap and come from different rules of one kind as one."""
+        out: list[Span] = []
+        latest: dict[str, int] = {}
+        for start, stop, rule in found:
+            kind = self.rules[rule].kind
+            at = latest.get(kind)
+            if at is not None and start < out[at][1]:
+                out[at] = (out[at][0], max(stop, out[at][1]), out[at][2])
+            else:
+                latest[kind] = len(out)
+                out.append((start, stop, rule))
+        return out
 
     def _start(self, rule: int, data: bytes, lowest: int, stop: int) -> int | None:
         dfa, best = self.back[rule], None

@@ -199,6 +199,26 @@ def test_secrets(odd_docs):
     assert secrets.redacted("é token=abcdef123 x") == "é [REDACTED] x"
 
 
+def test_private_keys_go_whole(spark):
+    lines = ["MIIEpAIBAAKCAQEA7+/x" * 3, "Qk9EWQ" * 10 + "=="]
+    head, end = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+    extra = "Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,0123456789ABCDEF\n"
+    bodies = ["\n".join(lines), "\r\n".join(lines), "\\n".join(lines), " ".join(lines), extra + "\n" + "\n".join(lines)]
+    for body in bodies:
+        for sep in ("\n", " ", "\\n"):
+            key = head + sep + body + sep + end
+            assert secrets.redacted(f"é before {key}. After, too") == "é before [REDACTED]. After, too"
+            assert secrets.listed(secrets.text_spans(key)).count("private_key") == 1
+            assert secrets.redacted(f"{key}\nbetween\n{key}\nafter") == "[REDACTED]\nbetween\n[REDACTED]\nafter"
+            assert secrets.redacted(f"{head}{sep}{body}") == "[REDACTED]"
+            assert secrets.redacted(f"{head}{sep}{body}\n{key}\nafter") == "[REDACTED]\nafter"
+            assert secrets.redacted(f"{head}{sep}{body}\n{head}{sep}{body}.") == "[REDACTED][REDACTED]."
+    quoted = f"> {head}\n> {lines[0]}\n> {lines[1]}\n> {end}\nafter"
+    assert secrets.redacted(quoted) == "> [REDACTED]\nafter"
+    rows = secrets.redact(spark.createDataFrame([(1, f"a {head}\n{bodies[0]}\n{end} b", 0)], "doc_id long, text string, n_chars long")).collect()
+    assert [tuple(r) for r in rows] == [(1, "a [REDACTED] b", 14)]
+
+
 def test_automaton_agrees_with_re():
     patterns = ["a(b|c)*d", "(?i:xy)z{2,3}", "[0-9]+\\.", "q?r"]
     dfa = compile_rules(patterns)
