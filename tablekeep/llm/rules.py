@@ -1,7 +1,9 @@
 """Quality rules by compression bands: zstandard ratios over whole documents and fixed chunks.
 
 Text that repeats itself compresses far better than prose of its length, noise far worse. How well prose compresses
-depends on its length, so each band of lengths has its own limits. Chunks find a long document that is only in part so.
+depends on its length, so each band of lengths has its own limits. Chunks find a long document that is only in part so;
+the last chunk is the last ``CHUNK_BYTES`` bytes, so that none are left over. A shorter text is a chunk of its own length,
+and meets the limits of that length as a whole.
 
 Defined cases: a null text has no words; a text under 50 words fails; texts are measured whole; rows are independent, so
 repeated rows and null ``doc_id`` give equal rows; an empty table gives an empty table; other columns are ignored.
@@ -46,8 +48,9 @@ BANDS = (
 LEVEL = 3
 CHUNK_BYTES = 4096
 CHUNK_LOW, CHUNK_HIGH = 0.25, 0.80
-# A document fails when more than this share of its full chunks does.
-CHUNK_SHARE = 0.4
+# A document fails when more than this share of its chunks does. Of the clean documents of sf0.1 (label 1, from 4096 bytes:
+# 560 with 1,368 chunks, the last ones among them) no chunk is out of limits; all have ratios of 0.443 to 0.483.
+CHUNK_SHARE = 0.05
 LEAST_WORDS = 50
 REPEAT_PERCENT = 50
 
@@ -88,12 +91,14 @@ def measured(text: str) -> tuple[int, ...]:
 
 
 def compressed(data: bytes, compressor: zstandard.ZstdCompressor) -> tuple[float, int, int, int]:
-    """The whole text's ratio, and how many full chunks are under, over, and there."""
+    """The whole text's ratio, and how many chunks are under, over, and there."""
     if not data:
         return 0.0, 0, 0, 0
     ratio = len(compressor.compress(data)) / len(data)
-    full = range(0, len(data) - CHUNK_BYTES + 1, CHUNK_BYTES)
-    ratios = [len(compressor.compress(data[at : at + CHUNK_BYTES])) / CHUNK_BYTES for at in full]
+    begins = [*range(0, len(data) - CHUNK_BYTES + 1, CHUNK_BYTES)]
+    if begins and len(data) % CHUNK_BYTES:
+        begins.append(len(data) - CHUNK_BYTES)
+    ratios = [len(compressor.compress(data[at : at + CHUNK_BYTES])) / CHUNK_BYTES for at in begins]
     return ratio, sum(r < CHUNK_LOW for r in ratios), sum(r > CHUNK_HIGH for r in ratios), len(ratios)
 
 

@@ -240,6 +240,24 @@ def test_quality_rules(odd_docs):
         assert not (r["kept"] and r["base_failed"])
 
 
+def test_chunks_reach_the_end_of_a_text(spark):
+    rng = np.random.default_rng(3)
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    clean = docs.join(labels, "doc_id").where("quality = 1").orderBy("doc_id")
+    prose = " ".join(r["text"] for r in clean.collect()).encode().decode("ascii", "ignore")
+    noise = "".join(map(chr, rng.integers(33, 127, 4095)))
+    sentence = "This very sentence is said again and again. "
+    long_junk = prose[:61_000] + (sentence * 2000)[:78_000] + prose[61_000:122_000]
+    texts = [prose[:8191], prose[:4096] + noise, prose[:8192] + noise, long_junk, prose[:120_000]]
+    assert len(prose) >= 122_000
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: (r["kept"], r["n_chunks"]) for r in rules.judged(rows).collect()}
+    assert [got[i][0] for i in range(5)] == [True, False, False, False, True] and [got[i][1] for i in range(3)] == [2, 2, 3]
+    kept = rules.judged(docs).join(labels, "doc_id").where("quality = 1 and not base_failed and not kept")
+    assert kept.count() == 0
+
+
 def brute_measures(text):
     w = re.findall(r"[^\x20\x09-\x0D]+", text)
     windows = collections.Counter(tuple(w[i : i + 3]) for i in range(len(w) - 2))
