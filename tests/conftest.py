@@ -15,7 +15,8 @@ DATA = os.path.join(ROOT, "tests", "data")
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     warehouse = str(tmp_path_factory.mktemp("warehouse"))
-    return local_session("8", conf={"spark.sql.warehouse.dir": warehouse})
+    kept = {"spark.sql.ui.retainedExecutions": "300"}
+    return local_session("8", conf={"spark.sql.warehouse.dir": warehouse, **kept})
 
 
 @pytest.fixture

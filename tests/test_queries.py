@@ -33,14 +33,21 @@ def plan_of(df) -> str:
 
 @contextlib.contextmanager
 def executed_plans(spark):
-    """The final plans of all that Spark executes in the block: writes, merges and streams too."""
-    store = spark._jsparkSession.sharedState().statusStore()
-    before, plans = store.executionsCount(), []
+    """The final plans of all that Spark executes in the block: writes, merges and streams too.
+
+    Executions are told apart by their ids, which only grow: Spark forgets the oldest ones (conftest.py says how many it
+    keeps, far more than one query has), so their number says nothing.
+    """
+    store, plans = spark._jsparkSession.sharedState().statusStore(), []
+
+    def executions():
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+        found = store.executionsList()
+        return [found.apply(i) for i in range(found.size())]
+
+    last = max((e.executionId() for e in executions()), default=-1)
     yield plans
-    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
-    found = store.executionsList()
-    seen = [found.apply(i) for i in range(found.size())]
-    plans += [e.physicalPlanDescription() for e in seen[max(0, len(seen) - (store.executionsCount() - before)) :]]
+    plans += [e.physicalPlanDescription() for e in executions() if e.executionId() > last]
 
 
 BANNED = ("CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "BatchEvalPython", "ArrowEvalPython", "MapInPandas")
@@ -102,3 +109,12 @@ def test_filters_reach_the_scan(spark):
 def test_aggregates_are_partial_before_the_exchange(spark):
     plan = plan_of(QUERIES["sum_by_key"](spark, SF_DIR))
     assert "partial_sum" in plan and plan.count("Exchange") >= 1
+
+
+def test_plans_are_found_after_more_executions_than_spark_keeps(spark, ws):
+    kept = int(spark.conf.get("spark.sql.ui.retainedExecutions"))
+    for _ in range(kept + 20):
+        spark.sql("SHOW DATABASES").collect()
+    with executed_plans(spark) as plans:
+        spark.range(5).write.parquet(ws.path("five"))
+    assert len(plans) == 1 and "Range" in plans[0]
