@@ -6,7 +6,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablekeep.llm import chat, counts, decontaminate, lm, packing, quality, rules, secrets, sharding, simhash
+from tablekeep.llm import (
+    chat,
+    counts,
+    decontaminate,
+    lm,
+    negatives,
+    packing,
+    quality,
+    rules,
+    secrets,
+    sharding,
+    simhash,
+    warc,
+    whitening,
+)
 from tablekeep.llm.common import table
 from tablekeep.session import Workspace
 
@@ -138,3 +152,60 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered
 def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score_documents(table(spark, sf_dir, "documents"), Workspace(spark), whole=True)
+
+
+@registered
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label").cast("long") + 1) % 10).otherwise(F.col("label").cast("long"))
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", moved.alias("label"))
+    return negatives.mine(rows, F.col("vec_id") % 100 == 0, Workspace(spark))
+
+
+ORACLES["op11_hard_negatives"] = """
+with given as (
+  select row_number() over () as r, vec_id, case when vec_id % 7 = 0 then (label::bigint + 1) % 10 else label end as label,
+    list_transform(embedding, lambda x: floor(256 * x::double)::bigint) as v
+  from embeddings
+  where vec_id is not null and label is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), parts as (
+  select r, generate_subscripts(v, 1) as i, unnest(v) as x from given
+), scored as (
+  select a.r as ar, b.r as br, sum(a.x * b.x)::bigint as s
+  from parts a join given g on g.r = a.r and g.vec_id % 100 = 0 join parts b on a.i = b.i and a.r <> b.r group by a.r, b.r
+), pairs as (
+  select s.ar, a.vec_id as anchor_id, b.vec_id, s.s, a.label = b.label as same
+  from scored s join given a on a.r = s.ar join given b on b.r = s.br
+), positive as (
+  select *, row_number() over (partition by ar order by s desc, vec_id) as place from pairs where same
+  qualify place <= 5
+)
+select p.anchor_id, p.vec_id as positive_id,
+  row_number() over (partition by p.ar, p.place order by n.s desc, n.vec_id)::int as rank,
+  n.vec_id as negative_id, p.s as positive_score, n.s as negative_score
+from positive p join pairs n on p.ar = n.ar and not n.same and 30 * p.s <= 100 * n.s and 100 * n.s <= 90 * p.s
+qualify rank <= 10
+"""
+
+
+@registered
+def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archived(table(spark, sf_dir, "pages"), Workspace(spark))
+
+
+ORACLES["op12_warc"] = """
+with p as (
+  select page_id, strlen(coalesce(html, '')) as size, sha256(coalesce(html, '')) as digest from pages
+), f as (
+  select *, min(page_id) over (partition by digest) as first from p
+)
+select page_id, size::bigint as payload_bytes, digest as payload_digest,
+  case when size < 100 or first is null or page_id is not distinct from first then 'response' else 'revisit' end as record_type,
+  case when size < 100 or page_id is not distinct from first then null else first end as refers_to
+from f
+"""
+
+
+@registered
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"), Workspace(spark))

@@ -8,7 +8,7 @@ from conftest import SF_DIR
 
 from tablekeep.llm import queries
 
-TABLES = ("documents", "benchmark", "labels", "conversations")
+TABLES = ("documents", "benchmark", "labels", "conversations", "embeddings", "pages")
 SMALL = os.path.join(os.path.dirname(SF_DIR), "sf0.001")
 
 
