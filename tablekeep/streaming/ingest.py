@@ -92,21 +92,26 @@ def ingest_replaceable(
         create_typed_table(spark, table, columns, partition_by=[LOAD_DATE])
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        inner, stream = batch.sparkSession, stream_id(batch.sparkSession, checkpoint)
-        recover(inner, table)
-        inner.catalog.refreshTable(qualified(table))
-        begun, name = OWN_PROPERTY + "begun." + stream, f"{stream}-{batch_id}"
-        # A replayed batch has the load time of its first try, hence its date.
-        rows = batch.withColumns({BATCH_ID: F.lit(name), LOAD_DATE: F.to_date("processing_time")})
-        if own_properties(inner, table).get(begun) != str(batch_id):
-            set_properties(inner, table, {begun: str(batch_id)})
-            rows.write.insertInto(qualified(table))
-        elif (some := rows.select(LOAD_DATE).first()) is not None:
-            of_date = inner.table(qualified(table)).where(F.col(LOAD_DATE) == F.lit(some[LOAD_DATE]))
-            overwrite_partitions(inner, table, of_date.where(F.col(BATCH_ID) != name).union(rows))
+        write_replaceable(batch, batch_id, table, checkpoint)
 
     stream = with_provenance(read_raw_stream(spark, raw_dir, schema, max_files=max_files, max_bytes=max_bytes))
-    _run_batches(spark, stream, checkpoint, table, write)
+    run_batches(spark, stream, checkpoint, table, write)
+
+
+def write_replaceable(batch: DataFrame, batch_id: int, table: str, checkpoint: str) -> None:
+    """Append a batch to a table partitioned by load date, in place of what an earlier try of it left there."""
+    inner, stream = batch.sparkSession, stream_id(batch.sparkSession, checkpoint)
+    recover(inner, table)
+    inner.catalog.refreshTable(qualified(table))
+    begun, name = OWN_PROPERTY + "begun." + stream, f"{stream}-{batch_id}"
+    # A replayed batch has the load time of its first try, hence its date.
+    rows = batch.withColumns({BATCH_ID: F.lit(name), LOAD_DATE: F.to_date("processing_time")})
+    if own_properties(inner, table).get(begun) != str(batch_id):
+        set_properties(inner, table, {begun: str(batch_id)})
+        rows.write.insertInto(qualified(table))
+    elif (some := rows.select(LOAD_DATE).first()) is not None:
+        of_date = inner.table(qualified(table)).where(F.col(LOAD_DATE) == F.lit(some[LOAD_DATE]))
+        overwrite_partitions(inner, table, of_date.where(F.col(BATCH_ID) != name).union(rows))
 
 
 def ingest_upsert(
@@ -153,7 +158,7 @@ def ingest_upsert(
 
     stream = read_raw_stream(spark, raw_dir, schema, max_files=max_files, max_bytes=max_bytes, corrupt_column=LINE)
     stream = stream.select("*", F.col("_metadata.file_path").alias(FROM_FILE))
-    _run_batches(spark, stream, checkpoint, table, merge)
+    run_batches(spark, stream, checkpoint, table, merge)
 
 
 def _put_aside(batch: DataFrame, rejected: str, stream: str, batch_id: int) -> None:
@@ -165,10 +170,10 @@ def _put_aside(batch: DataFrame, rejected: str, stream: str, batch_id: int) -> N
     if not table_exists(spark, rejected):
         columns = StructType([StructField(c, StringType(), True) for c in ("line", "source_file", BATCH_ID)])
         create_typed_table(spark, rejected, columns, partition_by=[BATCH_ID])
-    _overwrite_batch(bad, rejected, stream, batch_id)
+    overwrite_batch(bad, rejected, stream, batch_id)
 
 
-def _overwrite_batch(rows: DataFrame, table: str, stream: str, batch_id: int) -> None:
+def overwrite_batch(rows: DataFrame, table: str, stream: str, batch_id: int) -> None:
     """Write a batch as a partition of its own, in place of what an earlier try left there."""
     view = "batch_" + stream.replace("-", "_")
     rows.createOrReplaceTempView(view)
@@ -182,7 +187,8 @@ def stream_id(spark: SparkSession, checkpoint: str) -> str:
     return json.loads(spark.read.text(checkpoint.rstrip("/") + "/metadata").first()["value"])["id"]
 
 
-def _run_batches(spark: SparkSession, stream: DataFrame, checkpoint: str, table: str, write) -> None:
+def run_batches(spark: SparkSession, stream: DataFrame, checkpoint: str, table: str, write) -> None:
+    """Run ``write(batch, batch_id)`` for all that is there now."""
     query = (
         stream.writeStream.option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
@@ -191,4 +197,5 @@ def _run_batches(spark: SparkSession, stream: DataFrame, checkpoint: str, table:
     )
     query.awaitTermination()
     # The batches ran in a cloned session; this one would still list the former files.
-    spark.catalog.refreshTable(qualified(table))
+    if table_exists(spark, table):
+        spark.catalog.refreshTable(qualified(table))
