@@ -1,10 +1,12 @@
 """Key matching between a large target and an increment: NOT IN and the merge match.
 
-Two ways to join, picked by measuring the increment:
+Three ways to join, picked by measuring the increment:
 
 * it fits the broadcast bound: the target is only streamed past a hash table and never shuffled;
 * it does not: both sides are shuffled on the key, by semi, anti and left joins with the target (or the increment) on the
-  left, which are the types that AQE splits where a key is common. NULL keys match nothing, so they are not joined at all.
+  left, which are the types that AQE splits where a key is common. NULL keys match nothing, so they are not joined at all;
+* it does not, and the target is stored in buckets of the key (``co_located``): the increment alone is shuffled, to the
+  target's buckets, and one full outer join per bucket gives rows that lie as the target's files do.
 """
 
 from __future__ import annotations
@@ -188,12 +190,18 @@ def reject_ambiguous(
 
 
 def match_rows(
-    target: DataFrame, source: DataFrame, key: str, broadcast_limit: int | None = None, seen: Profile | None = None
+    target: DataFrame,
+    source: DataFrame,
+    key: str,
+    broadcast_limit: int | None = None,
+    seen: Profile | None = None,
+    co_located: bool = False,
 ) -> DataFrame:
     """Pair target and increment rows by key: every target row with its match if any, then the unmatched increment rows.
 
     Gives ``in_target``, ``in_source`` and both sides' columns as ``t_<name>`` and ``s_<name>``. Equality decides, so a
     NULL key matches nothing on either side. An increment that would pair twice with a target row is refused.
+    ``co_located`` says that the target is a scan of a table in buckets of the key alone.
     """
     spark = target.sparkSession
     seen = seen or profile(source, key)
@@ -211,6 +219,9 @@ def match_rows(
         matched = target.select(col(key).alias(KEY)).join(F.broadcast(wanted), KEY, "left_semi").distinct()
         new = s.join(F.broadcast(matched), s_key == F.col(KEY), "left_anti")
         paired = updated.unionByName(new, allowMissingColumns=True)
+    elif co_located:
+        # The increment's repeated keys are new ones (or it was refused), so no row pairs twice here either.
+        paired = t.join(s.hint("merge"), t_key == s_key, "full_outer")
     else:
         paired = _by_shuffle(t, s, t_key, s_key, seen)
     flags = [F.coalesce(F.col(f), F.lit(False)).alias(f) for f in (IN_TARGET, IN_SOURCE)]
@@ -243,6 +254,7 @@ def merged_rows(
     broadcast_limit: int | None = None,
     seen: Profile | None = None,
     order_by: list[str] | None = None,
+    co_located: bool = False,
 ) -> DataFrame:
     """The target after a merge: matched rows take every column of the increment, by name; new rows are added.
 
@@ -253,7 +265,7 @@ def merged_rows(
     if missing:
         raise ValueError(f"source lacks target columns {missing}")
     aligned = source.select(*(col(f.name).cast(f.dataType).alias(f.name) for f in target.schema.fields))
-    pairs = match_rows(target, aligned, key, broadcast_limit, seen)
+    pairs = match_rows(target, aligned, key, broadcast_limit, seen, co_located)
     wins = F.col(IN_SOURCE)
     if order_by is not None:
         order = latest_order(target.columns, key, order_by)

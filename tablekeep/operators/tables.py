@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import json
 import logging
+import re
 from contextlib import contextmanager
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
@@ -26,11 +29,22 @@ HIVE_PARQUET = (
 
 # Table properties with this prefix are ours and move along when a table is rebuilt.
 OWN_PROPERTY = "tablekeep."
+# Entries of the list of revisions (see ``operators.revisions``).
+REVISION = OWN_PROPERTY + "revision."
 
 # Memory that a row of partition values may take on a broadcast side.
 PARTITION_ROW_BYTES = 1024
 
 
+
+@dataclass(frozen=True)
+class Buckets:
+    """``CLUSTERED BY (columns) INTO number BUCKETS``."""
+
+    columns: tuple[str, ...]
+    number: int
+
+
 # ---- namespaces
 
 
@@ -96,9 +110,12 @@ def create_typed_table(
     provider: str = "parquet",
     properties: dict[str, str] | None = None,
     partition_by: list[str] | None = None,
+    buckets: Buckets | None = None,
 ) -> str:
-    """A managed table with explicit columns in a chosen format, unpartitioned unless asked."""
+    """A managed table with explicit columns in a chosen format, unpartitioned and unbucketed unless asked."""
     parts = f" PARTITIONED BY ({', '.join(map(quote, partition_by))})" if partition_by else ""
+    if buckets:
+        parts += f" CLUSTERED BY ({', '.join(map(quote, buckets.columns))}) INTO {buckets.number} BUCKETS"
     props = _pairs("TBLPROPERTIES", properties)
     spark.sql(f"CREATE TABLE {qualified(table)} ({columns_ddl(schema)}) USING {provider}{parts}{props}")
     return table
@@ -138,13 +155,18 @@ def check_positions(target: StructType, source: StructType) -> None:
             log.warning("column %d: %s fills %s by position", i + 1, b.name, a.name)
 
 
-def insert_rows(df: DataFrame, table: str) -> None:
-    """Append by position. Rows of a partitioned table are first brought together by partition, hot ones split."""
+def insert_rows(df: DataFrame, table: str, laid_out: bool = False) -> None:
+    """Append by position. Rows of a partitioned or bucketed table are first brought together by partition and bucket, hot
+    ones split, unless they are ``laid_out`` already."""
     spark = df.sparkSession
-    check_positions(spark.table(qualified(table)).schema, df.schema)
-    parts = partition_columns(spark, table)
-    if parts:
-        df = df.hint("rebalance", *map(col, parts))
+    schema, buckets = spark.table(qualified(table)).schema, buckets_of(spark, table)
+    check_positions(schema, df.schema)
+    # Paired by position, so the layout's columns are looked up in the table.
+    place = dict(zip(schema.names, df.columns))
+    by = [place[c] for c in [*partition_columns(spark, table), *(buckets.columns if buckets else ())]]
+    if by and not laid_out:
+        # As many parts as buckets: Spark deals rows out as it does into buckets, so a part is a bucket's file.
+        df = df.hint("rebalance", *([buckets.number] if buckets else []), *map(col, by))
     df.write.insertInto(qualified(table))
     spark.catalog.refreshTable(qualified(table))
 
@@ -165,6 +187,15 @@ def partition_columns(spark: SparkSession, table: str) -> list[str]:
     return [c.name for c in spark.catalog.listColumns(qualified(table)) if c.isPartition]
 
 
+def buckets_of(spark: SparkSession, table: str) -> Buckets | None:
+    """The bucketing of a table, or None; a table has one only if the number of buckets is told."""
+    details = _described(spark, table)[1]
+    if not details.get("Num Buckets", "-1").strip().isdigit():
+        return None
+    columns = tuple(c.replace("``", "`") for c in re.findall("`((?:[^`]|``)*)`", details["Bucket Columns"]))
+    return Buckets(columns, int(details["Num Buckets"])) if columns and int(details["Num Buckets"]) > 0 else None
+
+
 def in_partitions(parts: list[str], wanted: list[Row]) -> Column:
     """A condition on each partition column alone, so that other partitions are not even listed for the scan.
 
@@ -235,7 +266,12 @@ def settable_properties(spark: SparkSession, table: str) -> dict[str, str]:
 
 
 def own_properties(spark: SparkSession, table: str) -> dict[str, str]:
-    return {k: v for k, v in settable_properties(spark, table).items() if k.startswith(OWN_PROPERTY)}
+    """Our properties; where the live state is in the list of revisions, as its entry has them."""
+    found = settable_properties(spark, table)
+    own = {k: v for k, v in found.items() if k.startswith(OWN_PROPERTY) and not k.startswith(REVISION)}
+    listed = [json.loads(v) for k, v in found.items() if k.startswith(REVISION)]
+    at = location_of(spark, table) if listed else None
+    return next(({**own, **r["marks"]} for r in listed if r["folder"] == at), own)
 
 
 def set_comment(spark: SparkSession, table: str, comment: str | None) -> None:
@@ -248,6 +284,11 @@ def set_properties(spark: SparkSession, table: str, properties: dict[str, str])
         spark.sql(f"ALTER TABLE {qualified(table)} SET{_pairs('TBLPROPERTIES', properties)}")
 
 
+def remove_properties(spark: SparkSession, table: str, names: list[str]) -> None:
+    if names:
+        spark.sql(f"ALTER TABLE {qualified(table)} UNSET TBLPROPERTIES IF EXISTS ({', '.join(map(text_literal, names))})")
+
+
 def spot_check(df: DataFrame, key: str) -> DataFrame:
     """After a load: rows, rows with NULL key, and distinct keys, in one pass."""
     n, keyed = F.count("*"), F.count(col(key))

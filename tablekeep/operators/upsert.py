@@ -15,6 +15,7 @@ from tablekeep.operators.matching import (
     Profile,
     anti_not_in,
     collapse_copies,
+    fits_broadcast,
     latest_order,
     match_rows,
     merged_rows,
@@ -24,8 +25,9 @@ from tablekeep.operators.matching import (
     warn_float_key,
 )
 from tablekeep.operators.relational import union_distinct
+from tablekeep.operators.revisions import set_marks
 from tablekeep.operators.tables import check_positions, only_partitions, partition_columns, set_properties
-from tablekeep.operators.upkeep import is_lake_table, overwrite_partitions, rebuild, recover
+from tablekeep.operators.upkeep import evenly_bucketed, is_lake_table, overwrite_partitions, rebuild, recover
 from tablekeep.session import col, qualified, quote, settled
 
 
@@ -68,8 +70,9 @@ def upsert_merge(
 
     A lake table is changed by its own MERGE, which rewrites only the files it must. Any other table is rebuilt in one
     pass and published; names are matched whatever their case; ``properties`` then go live with the new rows. With ``touched_only``, a partitioned table has only
-    the partitions rewritten that the increment reaches, where that is safe (see ``_touched_partitions``). With ``order_by``
-    a row older than the table's is not taken over (see ``merged_rows``).
+    the partitions rewritten that the increment reaches, where that is safe (see ``_touched_partitions``). A large
+    increment is brought to the buckets of a table that is bucketed by the key, whose rows then stay where they lie. With
+    ``order_by`` a row older than the table's is not taken over (see ``merged_rows``).
     """
     recover(spark, table)
     target = spark.table(qualified(table))
@@ -94,12 +97,14 @@ def upsert_merge(
     parts = partition_columns(spark, table)
     touched = _touched_partitions(target, source, key, parts, seen, broadcast_limit) if touched_only and parts else None
     if touched is None:
-        rebuild(spark, table, merged_rows(target, source, key, broadcast_limit, seen, order_by), properties)
+        by_bucket = not parts and not fits_broadcast(spark, seen.size, broadcast_limit) and evenly_bucketed(spark, table, key)
+        rows = merged_rows(target, source, key, broadcast_limit, seen, order_by, by_bucket)
+        rebuild(spark, table, rows, properties, laid_out=by_bucket)
         return
     if touched:
         reached = only_partitions(target, parts, touched)
         overwrite_partitions(spark, table, merged_rows(reached, source, key, broadcast_limit, seen, order_by))
-    set_properties(spark, table, properties or {})
+    set_marks(spark, table, properties or {})
 
 
 def _touched_partitions(

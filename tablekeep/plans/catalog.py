@@ -14,12 +14,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
 from tablekeep.functions import scalars
-from tablekeep.operators import matching, relational, tables, upkeep, upsert
+from tablekeep.operators import matching, relational, revisions, tables, upkeep, upsert
 from tablekeep.plans import jobs
 from tablekeep.schemas import all_strings
 from tablekeep.session import Workspace, qualified
 from tablekeep.sources import files, landing, views
-from tablekeep.streaming import ingest
+from tablekeep.streaming import evolving, ingest, totals
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -185,6 +185,23 @@ def _(spark, sf_dir):
     return found.groupBy(dataset("file_path").alias("file_name")).agg(F.sum("n_rows").alias("n_rows"))
 
 
+@registered(
+    "file_listing",
+    """select o_orderstatus, count(*) as n_rows, cast(1 as bigint) as n_files, true as has_bytes from orders
+    group by o_orderstatus""",
+)
+def _(spark, sf_dir):
+    """Files per partition by a listing, which gives no row per record, beside the rows by the inventory, which does."""
+    ws, orders = Workspace(spark), table(spark, sf_dir, "orders")
+    path = ws.path("orders")
+    orders.repartition("o_orderstatus").write.partitionBy("o_orderstatus").parquet(path)
+    listed = files.file_listing(spark, path, orders.select("o_orderstatus").schema)
+    per_part = listed.groupBy("o_orderstatus").agg(F.count("*").alias("n_files"), (F.sum("length") > 0).alias("has_bytes"))
+    held = files.file_inventory(spark.read.parquet(path))
+    status = F.regexp_extract("file_path", "o_orderstatus=([^/]*)/", 1).alias("o_orderstatus")
+    return held.groupBy(status).agg(F.sum("n_rows").alias("n_rows")).join(per_part, "o_orderstatus")
+
+
 @registered("land_raw_increment", "select event_id, ts, user_id, event_type, value, props from events")
 def _(spark, sf_dir):
     ws, events = Workspace(spark), table(spark, sf_dir, "events")
@@ -302,6 +319,40 @@ def _(spark, sf_dir):
     return read(spark, live).withColumn("old_left", F.lit(tables.table_exists(spark, live + upkeep.OLD)))
 
 
+def _rebuilt_twice(ws, sf_dir) -> str:
+    """Orders, with pending ones finished in a second revision and urgent ones left out of a third."""
+    orders = table(ws.spark, sf_dir, "orders")
+    live = saved(ws, "orders", orders)
+    status = F.when(F.col("o_orderstatus") == "P", "F").otherwise(F.col("o_orderstatus"))
+    finished = orders.withColumn("o_orderstatus", status)
+    upkeep.rebuild(ws.spark, live, finished)
+    upkeep.rebuild(ws.spark, live, finished.where("o_orderpriority <> '1-URGENT'"))
+    return live
+
+
+@registered(
+    "revision_list",
+    f"""select 1 as number, count(*) as n_rows, 'superseded' as state, true as counted from orders
+    union all select 2, count(*), 'superseded', true from ({REBUILT_SQL}) a
+    union all select 3, count(*), 'live', true from ({REBUILT_SQL}) b where o_orderpriority <> '1-URGENT'""",
+)
+def _(spark, sf_dir):
+    """Each revision as listed, and whether the rows in its folder are as many as its entry says."""
+    live = _rebuilt_twice(Workspace(spark), sf_dir)
+    listed = revisions.list_revisions(spark, live).select(F.col("number").cast("int").alias("number"), "n_rows", "state")
+    held = [revisions.read_revision(spark, live, n).agg(F.lit(n).alias("number"), F.count("*").alias("n")) for n in (1, 2, 3)]
+    counts = held[0].union(held[1]).union(held[2])
+    return listed.join(counts, "number").select("number", "n_rows", "state", (F.col("n") == F.col("n_rows")).alias("counted"))
+
+
+@registered("restore_revision", f"select *, 3 as n_revisions from ({REBUILT_SQL}) r")
+def _(spark, sf_dir):
+    """The second of three revisions, live again."""
+    live = _rebuilt_twice(Workspace(spark), sf_dir)
+    revisions.restore_revision(spark, live, 2)
+    return read(spark, live).withColumn("n_revisions", F.lit(len(revisions.revisions(spark, live))))
+
+
 @registered(
     "describe_provider",
     """select * from (values ('c_custkey', 'bigint'), ('c_name', 'string'), ('c_nationkey', 'int'),
@@ -344,9 +395,9 @@ def _(spark, sf_dir):
     orders = table(spark, sf_dir, "orders")
     many = max(8, 4 * orders.rdd.getNumPartitions())
     made = saved(Workspace(spark), "orders", orders.repartition(many, "o_orderkey"))
-    before = files.file_inventory(read(spark, made)).count()
+    before = files.file_listing(spark, tables.location_of(spark, made)).count()
     upkeep.compact_files(spark, made)
-    after = files.file_inventory(read(spark, made)).count()
+    after = files.file_listing(spark, tables.location_of(spark, made)).count()
     return read(spark, made).withColumn("fewer_files", F.lit(after < before))
 
 
@@ -565,6 +616,18 @@ def _(spark, sf_dir):
     return read(spark, live)
 
 
+@registered("upsert_merge_bucketed", f"select *, 8 as n_buckets from ({MERGED_SQL}) m")
+def _(spark, sf_dir):
+    """A merge into orders in buckets of their key: the increment comes to the buckets, whose rows do not move."""
+    orders = table(spark, sf_dir, "orders")
+    live = Workspace(spark).table("orders")
+    tables.create_typed_table(spark, live, orders.schema, buckets=tables.Buckets(("o_orderkey",), 8))
+    tables.insert_rows(orders, live)
+    # An increment of this size would be broadcast; the limit of 0 bytes treats it as a large one.
+    upsert.upsert_merge(spark, live, order_increment(orders), "o_orderkey", broadcast_limit=0)
+    return read(spark, live).withColumn("n_buckets", F.lit(tables.buckets_of(spark, live).number))
+
+
 @registered(
     "merge_counts",
     f"""select cast(sum(case when s.o_orderkey is not null and t.o_orderkey is not null then 1 else 0 end) as bigint)
@@ -641,13 +704,66 @@ def _(spark, sf_dir):
 
     run(early.where(F.col("ts") < middle), "increment_0")
     run(early.where(F.col("ts") >= middle), "increment_1")
-    before = files.file_inventory(read(spark, bronze)).count()
+    folder = tables.location_of(spark, bronze)
+    before = files.file_listing(spark, folder).count()
     upkeep.compact_files(spark, bronze)
-    after, again = files.file_inventory(read(spark, bronze)).count(), upkeep.compact_files(spark, bronze)
+    after, again = files.file_listing(spark, folder).count(), upkeep.compact_files(spark, bronze)
     run(last, "increment_2")
     return read(spark, bronze).select(*EVENT_COLUMNS, F.lit(after < before).alias("fewer_files"), F.lit(again).alias("compacted_again"))
 
 
+@registered(
+    "stream_ingest_evolving",
+    f"""select event_id, event_type, case when ts < timestamp '{EVENTS_MIDDLE}' then floor(value) else value end as value,
+    case when ts < timestamp '{EVENTS_MIDDLE}' then null else props end as props,
+    case when ts >= timestamp '{EVENTS_CUT}' then null else user_id end as user_id,
+    case when ts >= timestamp '{EVENTS_CUT}' then 'u' || user_id end as rescued_user, 'double' as value_type from events""",
+)
+def _(spark, sf_dir):
+    """Events without props and with whole values; then with both; then with user ids that are no numbers any more."""
+    ws, events = Workspace(spark), table(spark, sf_dir, "events")
+    bronze, raw = ws.table("bronze"), ws.path("raw")
+    early, late = event_landings(events)
+    middle = F.to_timestamp_ntz(F.lit(EVENTS_MIDDLE))
+    steps = (
+        early.where(F.col("ts") < middle).withColumn("value", F.floor("value").cast("bigint")).drop("props"),
+        early.where(F.col("ts") >= middle),
+        late.withColumn("user_id", F.concat(F.lit("u"), F.col("user_id").cast("string"))),
+    )
+    for i, part in enumerate(steps):
+        landing.land_increment(spark, jobs.write_json(part, ws.path("source", str(i))), raw, f"increment_{i}")
+        # Twice, as a job would run again: the second run finds nothing new.
+        for _ in range(2):
+            evolving.ingest_evolving(spark, raw, bronze, ws.path("checkpoint"), ws.path("schemas"))
+    rescued = F.get_json_object(evolving.RESCUED, "$.user_id").alias("rescued_user")
+    rows = read(spark, bronze)
+    return rows.select("event_id", "event_type", "value", "props", "user_id", rescued, F.typeof("value").alias("value_type"))
+
+
+@registered(
+    "stream_sum_by_key",
+    """select event_type, cast(sum(cast(value as decimal(18,2))) as double) as total, count(*) as n_rows
+    from events group by event_type""",
+)
+def _(spark, sf_dir):
+    """Totals kept batch by batch: two landings, a fold of the first batch, a late third landing, and a run without news."""
+    ws, events = Workspace(spark), table(spark, sf_dir, "events")
+    kept, raw = ws.table("totals"), ws.path("raw")
+    early, late = event_landings(events)
+    middle = F.to_timestamp_ntz(F.lit(EVENTS_MIDDLE))
+
+    def run() -> None:
+        totals.ingest_totals(spark, raw, kept, ws.path("checkpoint"), events.schema, "event_type", "value")
+
+    for name, part in (("a", early.where(F.col("ts") >= middle)), ("b", late), ("late", early.where(F.col("ts") < middle))):
+        landing.land_increment(spark, jobs.write_json(part, ws.path("source", name)), raw, name)
+        run()
+        totals.fold_totals(spark, kept, "event_type")
+    run()
+    now = totals.running_totals(spark, kept, "event_type")
+    return now.select("event_type", F.col(totals.TOTAL).cast("double").alias("total"), totals.ROWS)
+
+
 @registered("stream_upsert", MERGED_TOTALS_SQL)
 def _(spark, sf_dir):
     """The increment, and then, late, the former state of the orders it changes, which is older by the order columns."""

@@ -56,6 +56,20 @@ def settled(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def local_conf(spark: SparkSession, settings: dict[str, str]) -> SparkSession:
+    """A session beside the caller's with other settings, which leaves the caller's alone."""
+    other = spark.newSession()
+    for key, value in settings.items():
+        other.conf.set(key, value)
+    return other
+
+
+def delete_folder(spark: SparkSession, folder: str) -> None:
+    """Delete a folder with all that is in it, on whatever file system it lies; one that is not there is fine."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
 class Workspace:
     """A scratch area in the shared folder: files under ``path`` and tables in a database of its own."""
 
