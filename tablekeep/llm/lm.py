@@ -1,24 +1,29 @@
 """Language-model scores from an Elias-Fano n-gram trie.
 
-Level one holds every word of the training texts: its 64-bit hash in an Elias-Fano sequence, its count, a quantised
-backoff weight, and a monotone pointer to its successors. Level two holds, for each word, the words that followed it, as
-one Elias-Fano sequence of (context, word id), and a quantised smoothed probability each. Level three holds, for each
-bigram, the words that followed it, by their ranks among the successors of the bigram's second word; ranks of one context
-are made to follow those of the context before, so that they too are one Elias-Fano sequence. A query finds the words in
-level one, takes the context's pointers, and searches for the successor between them.
+Level one holds every word of the training texts: its 64-bit hash in an Elias-Fano sequence, its count, and a monotone
+sequence of how many tokens come before it. Level two holds, for each word, the words that followed it, as one Elias-Fano
+sequence of (context, word id) with monotone pointers, and a quantised smoothed probability each. Level three holds, for
+each bigram, the words that followed it, by their ranks among the successors of the bigram's second word; ranks of one
+context are made to follow those of the context before, so that they too are one Elias-Fano sequence. A query finds the
+words in level one, takes the context's pointers, and searches for the successor between them.
 
 The model has absolute discounting and is interpolated with the level below: p(w|c) = (n - D)/c(c) + b(c) p(w|shorter c),
-where b(c) is what the kept n-grams of c leave over, so p sums to one. p(w) is the base model. An n-gram with an unknown
-word is not looked up. The whole model holds every bigram and trigram of the training texts; otherwise it is a bigram
-of those seen ``LEAST_BIGRAM`` times.
+where b(c) is what the n-grams of c leave over, so p sums to one. p(w) is the base model. An n-gram with an unknown word is
+not looked up. Every bigram and trigram of the training texts is kept.
 
-Levels are built in buckets of hash values by Spark tasks, counted from all training texts. They reach the executors as
-files (fetched once per executor by Spark) and are memory-mapped from there, so a level is never in the driver or in the
-heap of a task.
+Only level one, which grows with the vocabulary, is at hand in every task: fetched once per executor and memory-mapped.
+Levels two and three are cut into units, and n-grams come to them: a text's task sends each of its trigrams to the unit that
+answers it, which sends back a sum per document. A unit is a stretch of the line of all training tokens in order of their
+ids. A word owns as much of that line as it has tokens, and a trigram's place in its middle word's stretch is given by a
+hash of its first word, so a common word lies in as many units as its share of the tokens asks for; its list of successors,
+at most the vocabulary, goes to each. A unit with more tokens than its share (a common pair) is copied, and documents are
+dealt over the copies. Each level is counted by one exchange, of n-grams counted per task before it.
 
 Defined cases: a null or empty text is its end token alone; repeated rows count as often as they occur; a null ``doc_id``
 hashes as empty text (held out); without training texts every score is 0; an empty table gives an empty table; other
-columns are ignored. Two words of one hash (about V squared / 2^65 such pairs) count as one.
+columns are ignored; a text of many megabytes ends the group of texts that its
+task holds at once. Two words of one hash (about V squared /
+2^65 such pairs) count as one. More than 2^32 - 1 distinct words raise ``OverflowError``.
 """
 
 from __future__ import annotations
@@ -27,7 +32,7 @@ import fcntl
 import os
 import uuid
 from collections.abc import Iterable, Iterator
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
@@ -35,7 +40,7 @@ import pyarrow as pa
 import pyarrow.parquet as pq
 import xxhash
 import zstandard
-from pyspark import SparkFiles
+from pyspark import SparkFiles, TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,11 +51,14 @@ from tablekeep.session import Workspace
 FOLDS = 10
 ADDED = 0.1
 DISCOUNT = 0.75
-LEAST_BIGRAM = 2
 END = b"\n"  # no word holds a line feed
 GROUP_WORDS = 400_000
+# The first word of a trigram that has none: of the second token of a text, or after an unknown word.
+NO_WORD = (1 << 32) - 1
 FLUSH_WORDS = 600_000
-FLUSH_PAIRS = 3_000_000
+FLUSH_NGRAMS = 2_000_000
+# Tokens of the documents that ask together.
+GROUP_ASKED = 1_000_000
 CODES = 256
 LOWEST_LOG = -12.0
 
@@ -179,6 +187,7 @@ class Vocabulary:
     level: Shipped
     buckets: int
     before: tuple[int, ...]
+    mass_before: tuple[int, ...]
     words: int
     tokens: int
 
@@ -192,7 +201,7 @@ class Vocabulary:
             if not len(part) or int(of[part[0]]) not in blocks:
                 continue
             bucket = int(of[part[0]])
-            *sequence, codes, table = blocks[bucket]
+            sequence, codes, table = blocks[bucket][:5], *blocks[bucket][5:7]
             at = EliasFano.from_arrays(sequence).find(hashes[part] - np.uint64(bucket_base(bucket, self.buckets)))
             known = at >= 0
             ids[part[known]] = self.before[bucket] + at[known]
@@ -204,14 +213,45 @@ class Vocabulary:
         bucket = np.searchsorted(np.array(self.before), ids, side="right") - 1
         for b in np.unique(bucket).tolist():
             some = np.flatnonzero(bucket == b)
-            *_, codes, table = blocks[b]
+            codes, table = blocks[b][5:7]
             out[some] = table[codes[ids[some] - self.before[b]]]
         return out
 
+    def stretches(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where each word's tokens begin on the line of all training tokens, and how many they are."""
+        blocks, begin = _mapped(self.level), np.zeros(len(ids), np.int64)
+        bucket = np.searchsorted(np.array(self.before), ids, side="right") - 1
+        for b in np.unique(bucket).tolist():
+            some = np.flatnonzero(bucket == b)
+            mass = EliasFano.from_arrays(blocks[b][7:12])
+            begin[some] = self.mass_before[b] + mass.access(ids[some] - self.before[b]).astype(np.int64)
+        return begin, self.counts_of(ids)
+
+    def home(self, ids: np.ndarray) -> np.ndarray:
+        """The unit in which a word's stretch begins."""
+        return self._unit(self.stretches(ids)[0])
+
+    def units_of(self, middle: np.ndarray, first: np.ndarray) -> np.ndarray:
+        """The units that answer for trigrams of these middle and first words."""
+        known, place = np.unique(middle, return_inverse=True)
+        begin, count = self.stretches(known)
+        return self._unit(begin[place] + (_share(first) * count[place]).astype(np.int64))
+
+    def _unit(self, point: np.ndarray) -> np.ndarray:
+        # In floating point, as the product may have more than 64 bits; alike wherever it is asked for.
+        return np.minimum((point * (self.buckets / max(1, self.tokens))).astype(np.int64), self.buckets - 1)
+
     def log_p(self, counts: np.ndarray) -> np.ndarray:
         return np.log10((counts + ADDED) / (self.tokens + ADDED * (self.words + 1)))
 
 
+def _share(ids: np.ndarray) -> np.ndarray:
+    """A number from 0 to 1 for each word, by a mix of the bits of its id."""
+    mixed = ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    mixed = (mixed ^ (mixed >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return (mixed >> np.uint64(11)).astype(np.float64) / float(1 << 53)
+
+
 def bucket_base(bucket: int, buckets: int) -> int:
     """The least hash of a bucket."""
     return (-(-(bucket << 32) // buckets)) << 32
@@ -245,19 +285,24 @@ def count_words(texts: DataFrame, ws: Workspace) -> Vocabulary:
         base, above = bucket_base(bucket, buckets), bucket_base(bucket + 1, buckets)
         distinct, codes = np.unique(counts, return_inverse=True)
         codes = codes.astype(np.uint16 if len(distinct) <= 65536 else np.uint32)
-        block = packed([*EliasFano.of(hashes - np.uint64(base), above - base).arrays(), codes, distinct])
-        return pa.table({"bucket": pa.array([bucket], pa.int32()), "words": [len(hashes)], "tokens": [int(counts.sum())], "block": [block]})
+        total = int(counts.sum())
+        mass = EliasFano.of(np.cumsum(counts) - counts, total + 1).arrays()
+        block = packed([*EliasFano.of(hashes - np.uint64(base), above - base).arrays(), codes, distinct, *mass])
+        return pa.table({"bucket": pa.array([bucket], pa.int32()), "words": [len(hashes)], "tokens": [total], "block": [block]})
 
     rows = texts.mapInArrow(count, PARTS).groupBy("bucket").applyInArrow(level, "bucket int, words long, tokens long, block binary")
     level_one, written = ship(rows, ws, "words")
     # A row per bucket, of which there are as many as shuffle partitions.
     sizes = {r["bucket"]: (r["words"], r["tokens"]) for r in written.select("bucket", "words", "tokens").collect()}
-    each = [sizes.get(b, (0, 0)) for b in range(buckets)]
-    before = np.concatenate([[0], np.cumsum([w for w, _ in each])])
-    return Vocabulary(level_one, buckets, tuple(before[:-1].tolist()), int(before[-1]), sum(t for _, t in each))
+    each = np.array([sizes.get(b, (0, 0)) for b in range(buckets)], np.int64).reshape(-1, 2)
+    words, tokens = (int(x) for x in each.sum(axis=0))
+    if words >= NO_WORD:
+        raise OverflowError("too many distinct words for 32-bit ids")
+    before, mass_before = (np.cumsum(x) - x for x in each.T)
+    return Vocabulary(level_one, buckets, tuple(before.tolist()), tuple(mass_before.tolist()), words, tokens)
 
 
-# ---- level two
+# ---- n-grams on their way to units
 
 
 def _located(tokens: list[list[bytes]], vocabulary: Vocabulary):
@@ -270,274 +315,427 @@ def _located(tokens: list[list[bytes]], vocabulary: Vocabulary):
     return ids[flat], counts[flat], np.concatenate([[0], np.cumsum(lengths)[:-1]]), lengths
 
 
-def _pairs(ids: np.ndarray, counts: np.ndarray, begins: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
-    """Positions of second words of bigrams that the model may hold, and their keys (context id, word id)."""
-    second = np.ones(len(ids), bool)
-    second[begins] = False
-    often = counts >= least
-    second[1:] &= often[1:] & often[:-1]
-    at = np.flatnonzero(second)
-    return at, (ids[at - 1].astype(np.uint64) << np.uint64(32)) | ids[at].astype(np.uint64)
-
+def _trigrams(ids: np.ndarray, begins: np.ndarray) -> np.ndarray:
+    """Of tokens in a row, the positions that a bigram of known words ends at."""
+    inner = np.ones(len(ids), bool)
+    inner[begins] = False
+    inner[1:] &= (ids[1:] >= 0) & (ids[:-1] >= 0)
+    return np.flatnonzero(inner)
+
+
+def _first_words(ids: np.ndarray, at: np.ndarray, begins: np.ndarray) -> np.ndarray:
+    """The word two before each position, ``NO_WORD`` where there is none or it is unknown."""
+    second = np.zeros(len(ids), bool)
+    second[np.minimum(begins + 1, len(ids) - 1)] = True
+    two_before = ids[np.maximum(at - 2, 0)]
+    return np.where(second[at] | (two_before < 0), NO_WORD, two_before)
+
+
+def _in_order(columns: list[np.ndarray], most: int) -> np.ndarray:
+    """The stable order of rows by these columns of numbers below ``most``; as one 64-bit key where they fit into it."""
+    bits = max(1, int(most).bit_length())
+    if bits * len(columns) > 64:
+        return np.lexsort(columns[::-1])
+    key = np.zeros(len(columns[0]), np.uint64)
+    for c in columns:
+        key = (key << np.uint64(bits)) | c.astype(np.uint64)
+    return np.argsort(key, kind="stable")
+
+
+def _runs(columns: list[np.ndarray]) -> np.ndarray:
+    """Where a row begins that differs from the one before."""
+    n = len(columns[0])
+    new = np.zeros(n, bool)
+    new[:1] = True
+    for c in columns:
+        new[1:] |= c[1:] != c[:-1]
+    return np.flatnonzero(new)
+
+
+def _distinct(columns: list[np.ndarray], counts: np.ndarray | None, most: int) -> tuple[list[np.ndarray], np.ndarray]:
+    """Rows once each, in order, with the sum of their counts (1 each if None)."""
+    if not len(columns[0]):
+        return columns, np.zeros(0, np.int64)
+    order = _in_order(columns, most)
+    columns = [c[order] for c in columns]
+    first = _runs(columns)
+    if counts is None:
+        total = np.diff(first, append=len(order))
+    else:
+        total = np.add.reduceat(counts[order], first)
+    return [c[first] for c in columns], total
+
+
+def _squeezed(columns: list[np.ndarray]) -> bytes:
+    """Columns of 32-bit numbers, by planes of bytes, the first one (in order) as differences."""
+    first, *rest = columns
+    planes = [np.diff(first, prepend=0), *rest]
+    data = b"".join(np.ascontiguousarray(c.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes() for c in planes)
+    return zstandard.ZstdCompressor(level=1).compress(data)
+
+
+def _spread_out(data: bytes, n: int, width: int) -> list[np.ndarray]:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(width, 4, n)
+    columns = [np.ascontiguousarray(planes[i].T).view("<u4").ravel().astype(np.int64) for i in range(width)]
+    return [np.cumsum(columns[0]), *columns[1:]]
+
+
+def _by_unit(units: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    order = np.argsort(units, kind="stable")
+    for part in np.split(order, np.flatnonzero(np.diff(units[order])) + 1):
+        if len(part):
+            yield int(units[part[0]]), part
 
-def quantised(logs: np.ndarray) -> np.ndarray:
-    """Base-ten logarithms from ``LOWEST_LOG`` to 0 as codes of a byte."""
-    return np.clip(np.round(logs / LOWEST_LOG * (CODES - 1)), 0, CODES - 1).astype(np.uint8)
 
+NGRAMS = "unit int, n int, data binary"
 
-def log_of(codes: np.ndarray) -> np.ndarray:
-    return codes.astype(np.float64) * (LOWEST_LOG / (CODES - 1))
 
+def _counted(texts: DataFrame, vocabulary: Vocabulary, width: int) -> DataFrame:
+    """``NGRAMS``: all n-grams of ``width`` words by the unit that holds them, middle (or first) word first, with counts.
 
-@dataclass(frozen=True)
-class Trie:
-    """Levels one and two, with how many bigrams come before each bucket of level two, and level three if there is one."""
+    They are counted per task before the shuffle, so no n-gram, however common, is there more than once per task and flush.
+    """
 
-    vocabulary: Vocabulary
-    successors: Shipped
-    least: int
-    before: tuple[int, ...]
-    bigrams: int
-    widest: int
-    thirds: Shipped | None = None
-    thirds_buckets: int = 1
-
-    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Of each (context, word): the bigram's number and its rank in the context (-1: absent), the code of its log10 p
-        (0 where absent), and the code of the context's backoff weight."""
-        v, blocks = self.vocabulary, _mapped(self.successors)
-        number, rank = np.full(len(keys), -1, np.int64), np.full(len(keys), -1, np.int64)
-        p, weight = np.zeros(len(keys), np.uint8), np.zeros(len(keys), np.uint8)
-        context, word = (keys >> np.uint64(32)).astype(np.int64), (keys & np.uint64(0xFFFFFFFF)).astype(np.int64)
-        bucket = np.searchsorted(np.array(v.before), context, side="right") - 1
-        order = np.argsort(bucket, kind="stable")
-        for part in np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1):
-            if not len(part) or int(bucket[part[0]]) not in blocks:
-                continue
-            b = int(bucket[part[0]])
-            arrays = blocks[b]
-            pointers, words = EliasFano.from_arrays(arrays[:5]), EliasFano.from_arrays(arrays[5:10])
-            backoff, codes = arrays[10:]
-            local = context[part] - v.before[b]
-            begin, end = pointers.access(local).astype(np.int64), pointers.access(local + 1).astype(np.int64)
-            found = words.find(local.astype(np.uint64) * np.uint64(v.words) + word[part].astype(np.uint64), begin, end)
-            weight[part] = backoff[local]
-            there, found, begin = part[found >= 0], found[found >= 0], begin[found >= 0]
-            number[there], rank[there], p[there] = self.before[b] + found, found - begin, codes[found]
-        return number, rank, p, weight
-
-    def find_thirds(self, context: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Of each (bigram number, rank of the next word): whether level three holds it, the code of its log10 p, and the
-        code of the bigram's backoff weight."""
-        blocks, width = _mapped(self.thirds), _width(self.bigrams, self.thirds_buckets)
-        known, p, weight = np.zeros(len(context), bool), np.zeros(len(context), np.uint8), np.zeros(len(context), np.uint8)
-        bucket = context // width
-        order = np.argsort(bucket, kind="stable")
-        for part in np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1):
-            if not len(part) or int(bucket[part[0]]) not in blocks:
-                continue
-            b = int(bucket[part[0]])
-            arrays = blocks[b]
-            pointers, ranks = EliasFano.from_arrays(arrays[:5]), EliasFano.from_arrays(arrays[5:10])
-            backoff, codes, universe = arrays[10:]
-            local = context[part] - b * width
-            weight[part] = backoff[local]
-            part, local = part[rank[part] >= 0], local[rank[part] >= 0]
-            begin, end = pointers.access(local).astype(np.int64), pointers.access(local + 1).astype(np.int64)
-            base = np.where(begin > 0, ranks.access(np.maximum(begin - 1, 0)).astype(np.int64) + 1, 0)
-            found = ranks.find(np.minimum(base + rank[part], universe[0] - 1), begin, end)
-            known[part], p[part] = found >= 0, codes[np.maximum(found, 0)]
-        return known, p, weight
+    def keys(tokens: list[list[bytes]]) -> list[np.ndarray]:
+        ids, _, begins, _ = _located(tokens, vocabulary)
+        at = _trigrams(ids, begins)
+        if width == 2:
+            return [ids[at - 1], ids[at]]
+        first = _first_words(ids, at, begins)
+        kept = first != NO_WORD
+        at = at[kept]
+        return [ids[at - 1], first[kept], ids[at]]
+
+    def flushed(held: list[list[np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        columns, counts = _distinct([np.concatenate(c) for c in zip(*held)], None, vocabulary.words)
+        units = vocabulary.home(columns[0]) if width == 2 else vocabulary.units_of(columns[0], columns[1])
+        rows = [(unit, len(part), _squeezed([*(c[part] for c in columns), counts[part]])) for unit, part in _by_unit(units)]
+        if rows:
+            unit, n, data = zip(*rows)
+            yield pa.RecordBatch.from_arrays([pa.array(unit, pa.int32()), pa.array(n, pa.int32()), pa.array(data)], ["unit", "n", "data"])
 
-    def located(self, ids: np.ndarray, counts: np.ndarray, begins: np.ndarray):
-        """Of tokens in a row: the positions of second words of bigrams, and what ``find`` says of each."""
-        at, keys = _pairs(ids, counts, begins, self.least)
-        distinct, place = np.unique(keys, return_inverse=True)
-        return at, *(x[place] for x in self.find(distinct))
+    def count(batches):
+        held, n = [], 0
+        for _, tokens in _grouped(batches):
+            held.append(keys(tokens))
+            n += len(held[-1][0])
+            if n >= FLUSH_NGRAMS:
+                yield from flushed(held)
+                held, n = [], 0
+        if n:
+            yield from flushed(held)
 
+    return texts.mapInArrow(count, NGRAMS)
 
-def _width(bigrams: int, buckets: int) -> int:
-    """Bigrams per bucket of level three."""
-    return max(1, -(-bigrams // buckets))
 
+def _together(table: pa.Table, width: int, most: int) -> tuple[list[np.ndarray], np.ndarray]:
+    """All n-grams of a unit once, in order, with their counts."""
+    parts = [_spread_out(d.as_py(), n.as_py(), width + 1) for n, d in zip(table.column("n"), table.column("data"))]
+    if not parts:
+        return [np.zeros(0, np.int64)] * width, np.zeros(0, np.int64)
+    *columns, counts = (np.concatenate(c) for c in zip(*parts))
+    return _distinct(columns, counts, most)
 
-def _triples(at: np.ndarray, number: np.ndarray) -> np.ndarray:
-    """The places in ``at`` of bigrams right after a bigram that the model holds: with that one they are a trigram."""
-    return np.flatnonzero((np.diff(at) == 1) & (number[:-1] >= 0)) + 1
 
+# ---- levels two and three
 
-def _spread(keys: np.ndarray, buckets: int) -> np.ndarray:
-    return bucket_of((keys ^ (keys >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15), buckets)
 
+def quantised(logs: np.ndarray) -> np.ndarray:
+    """Base-ten logarithms from ``LOWEST_LOG`` to 0 as codes of a byte."""
+    return np.clip(np.round(logs / LOWEST_LOG * (CODES - 1)), 0, CODES - 1).astype(np.uint8)
 
-def _counted(texts: DataFrame, keys_of, buckets: int, least: int, bucket_of_keys) -> DataFrame:
-    """``PARTS`` of the keys that ``keys_of(tokens)`` gives, seen ``least`` times or more, by ``bucket_of_keys``.
 
-    Keys are counted per task before the shuffle and spread by a mix of all their bits, so no context, however common, is
-    in one task before each of its n-grams is there once.
-    """
+def log_of(codes: np.ndarray) -> np.ndarray:
+    return codes.astype(np.float64) * (LOWEST_LOG / (CODES - 1))
 
-    def flushed(held):
-        keys, counts = np.unique(np.concatenate(held), return_counts=True)
-        return _part_batch(list(_split(keys, counts, _spread(keys, buckets))))
 
-    def count(batches):
-        held, n = [], 0
-        for _, tokens in _grouped(batches):
-            held.append(keys_of(tokens))
-            n += len(held[-1])
-            if n >= FLUSH_PAIRS:
-                yield flushed(held)
-                held, n = [], 0
-        if n:
-            yield flushed(held)
+@dataclass(frozen=True)
+class Successors:
+    """A stretch of level two: of the words ``first`` to ``last`` all that followed them."""
 
-    def once(table: pa.Table) -> pa.Table:
-        keys, counts = _merged(table)
-        keys, counts = keys[counts >= least], counts[counts >= least]
-        rows = list(_split(keys, counts, bucket_of_keys(keys)))
-        return pa.Table.from_batches([_part_batch(rows)] if rows else [], PARTS_SCHEMA)
+    first: int
+    last: int
+    words: int
+    pointers: EliasFano
+    successors: EliasFano
+    backoff: np.ndarray
+    codes: np.ndarray
+
+    @classmethod
+    def counted(cls, vocabulary: Vocabulary, context: np.ndarray, word: np.ndarray, n: np.ndarray) -> Successors:
+        first, last = int(context[0]), int(context[-1])
+        local, width = context - first, last - first + 1
+        share = (n - DISCOUNT) / np.bincount(local, n, width)[local]
+        left = 1.0 - np.bincount(local, share, width)
+        p = share + left[local] * 10 ** vocabulary.log_p(vocabulary.counts_of(word))
+        pointers = np.concatenate([[0], np.cumsum(np.bincount(local, minlength=width))])
+        v = vocabulary.words
+        placed = local.astype(np.uint64) * np.uint64(v) + word.astype(np.uint64)
+        return cls(
+            first,
+            last,
+            v,
+            EliasFano.of(pointers, len(word) + 1),
+            EliasFano.of(placed, width * v),
+            quantised(np.log10(np.maximum(left, 1e-12))),
+            quantised(np.log10(p)),
+        )
 
-    return texts.mapInArrow(count, PARTS).groupBy("bucket").applyInArrow(once, PARTS)
+    def block(self) -> bytes:
+        return packed([np.array([self.first, self.last, self.words]), *self.pointers.arrays(), *self.successors.arrays(), self.backoff, self.codes])
 
+    @classmethod
+    def of_block(cls, data: bytes) -> Successors:
+        head, *a = unpacked(np.frombuffer(data, np.uint8))
+        return cls(*(int(x) for x in head), EliasFano.from_arrays(a[:5]), EliasFano.from_arrays(a[5:10]), *a[10:])
 
-def build_trie(texts: DataFrame, vocabulary: Vocabulary, ws: Workspace, least: int) -> Trie:
-    """Count all bigrams of words seen ``least`` times, keep those seen as often, and write level two."""
-    buckets = partitions(texts.sparkSession)
+    def find(self, context: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of each (context, word): the rank among the context's successors (-1: absent), the code of its log10 p, and the
+        code of the context's backoff weight."""
+        local = context - self.first
+        begin, end = (self.pointers.access(x).astype(np.int64) for x in (local, local + 1))
+        found = self.successors.find(local.astype(np.uint64) * np.uint64(self.words) + word.astype(np.uint64), begin, end)
+        return np.where(found >= 0, found - begin, -1), self.codes[np.maximum(found, 0)], self.backoff[local]
 
-    def keys_of(tokens):
-        ids, counts, begins, _ = _located(tokens, vocabulary)
-        return _pairs(ids, counts, begins, least)[1]
 
-    def bucket_of_context(keys):
-        return np.searchsorted(np.array(vocabulary.before), (keys >> np.uint64(32)).astype(np.int64), side="right") - 1
+@dataclass(frozen=True)
+class Thirds:
+    """A unit's share of level three, for the middle words of one stretch of level two."""
 
-    def level(table: pa.Table) -> pa.Table:
-        bucket = table.column("bucket")[0].as_py()
-        keys, n = _merged(table)
-        context, word = (keys >> np.uint64(32)).astype(np.int64), (keys & np.uint64(0xFFFFFFFF)).astype(np.int64)
-        first = vocabulary.before[bucket]
-        last = vocabulary.before[bucket + 1] if bucket + 1 < vocabulary.buckets else vocabulary.words
-        local = context - first
-        share = (n - DISCOUNT) / vocabulary.counts_of(context)
-        left = 1.0 - np.bincount(local, share, last - first)
-        p = share + left[local] * 10 ** vocabulary.log_p(vocabulary.counts_of(word))
-        each = np.bincount(local, minlength=last - first)
-        pointers = np.concatenate([[0], np.cumsum(each)])
-        universe = (last - first) * vocabulary.words
-        block = packed(
-            [
-                *EliasFano.of(pointers, len(keys) + 1).arrays(),
-                *EliasFano.of(local.astype(np.uint64) * np.uint64(vocabulary.words) + word.astype(np.uint64), universe).arrays(),
-                quantised(np.log10(np.maximum(left, 1e-12))),
-                quantised(np.log10(p)),
-            ]
+    first: int
+    words: int
+    contexts: EliasFano
+    pointers: EliasFano
+    ranks: EliasFano
+    universe: int
+    backoff: np.ndarray
+    codes: np.ndarray
+
+    @classmethod
+    def counted(cls, two: Successors, middle: np.ndarray, first: np.ndarray, word: np.ndarray, n: np.ndarray) -> Thirds:
+        rank, shorter, _ = two.find(middle, word)
+        begins = _runs([middle, first]) if len(middle) else np.zeros(0, np.int64)
+        each = np.diff(begins, append=len(middle))
+        context = np.repeat(np.arange(len(begins)), each)
+        share = (n - DISCOUNT) / np.bincount(context, n, len(begins))[context]
+        left = 1.0 - np.bincount(context, share, len(begins))
+        p = share + left[context] * 10 ** log_of(shorter)
+        # Ranks of a context begin one above the last of the context before.
+        ends = begins + each - 1
+        tops = np.cumsum(rank[ends] + 1) if len(ends) else np.zeros(0, np.int64)
+        ranks = rank + np.repeat(tops - rank[ends] - 1, each)
+        universe = int(tops[-1]) + 1 if len(tops) else 1
+        placed = (middle[begins] - two.first).astype(np.uint64) * np.uint64(two.words) + first[begins].astype(np.uint64)
+        return cls(
+            two.first,
+            two.words,
+            EliasFano.of(placed, (two.last - two.first + 1) * two.words),
+            EliasFano.of(np.concatenate([begins, [len(middle)]]), len(middle) + 1),
+            EliasFano.of(ranks, universe),
+            universe,
+            quantised(np.log10(np.maximum(left, 1e-12))),
+            quantised(np.log10(p)),
         )
-        return pa.table({"bucket": pa.array([bucket], pa.int32()), "bigrams": [len(keys)], "widest": [int(each.max())], "block": [block]})
 
-    counted = _counted(texts, keys_of, buckets, least, bucket_of_context)
-    rows = counted.groupBy("bucket").applyInArrow(level, "bucket int, bigrams long, widest long, block binary")
-    level_two, written = ship(rows, ws, "successors")
-    sizes = {r["bucket"]: (r["bigrams"], r["widest"]) for r in written.select("bucket", "bigrams", "widest").collect()}
-    each = [sizes.get(b, (0, 0)) for b in range(vocabulary.buckets)]
-    before = np.concatenate([[0], np.cumsum([n for n, _ in each])])
-    return Trie(vocabulary, level_two, least, tuple(before[:-1].tolist()), int(before[-1]), max(w for _, w in each))
+    def block(self) -> bytes:
+        head = np.array([self.first, self.words, self.universe])
+        parts = [x for e in (self.contexts, self.pointers, self.ranks) for x in e.arrays()]
+        return packed([head, *parts, self.backoff, self.codes])
+
+    @classmethod
+    def of_block(cls, data: bytes) -> Thirds:
+        (first, words, universe), *a = unpacked(np.frombuffer(data, np.uint8))
+        sequences = [EliasFano.from_arrays(a[i : i + 5]) for i in (0, 5, 10)]
+        return cls(int(first), int(words), *sequences, int(universe), *a[15:])
+
+    def find(self, middle: np.ndarray, first: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of each trigram, its last word as a rank: whether the bigram before it has been seen as a context, the code of the
+        trigram's log10 p (or -1), and the code of the context's backoff weight."""
+        n, asked = len(middle), np.flatnonzero(first != NO_WORD)
+        seen, code, weight = np.zeros(n, bool), np.full(n, -1, np.int64), np.zeros(n, np.uint8)
+        placed = (middle[asked] - self.first).astype(np.uint64) * np.uint64(self.words) + first[asked].astype(np.uint64)
+        context = self.contexts.find(placed)
+        asked, context = asked[context >= 0], context[context >= 0]
+        seen[asked], weight[asked] = True, self.backoff[context]
+        asked, context = asked[rank[asked] >= 0], context[rank[asked] >= 0]
+        begin, end = (self.pointers.access(x).astype(np.int64) for x in (context, context + 1))
+        base = np.where(begin > 0, self.ranks.access(np.maximum(begin - 1, 0)).astype(np.int64) + 1, 0) if len(begin) else begin
+        found = self.ranks.find(np.minimum(base + rank[asked], self.universe - 1), begin, end)
+        code[asked[found >= 0]] = self.codes[found[found >= 0]]
+        return seen, code, weight
+
+
+LEVEL_TWO = "unit int, two binary"
+LEVELS = "unit int, tokens long, two binary, three binary"
+
+
+def _level_two(texts: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+    """``LEVEL_TWO``: per unit the stretch of the words that begin there, and in each further unit that the last of these
+    words reaches into, a stretch of that word alone."""
 
+    def level(table: pa.Table) -> pa.Table:
+        unit = table.column("unit")[0].as_py()
+        (context, word), n = _together(table, 2, vocabulary.words)
+        rows = [(unit, Successors.counted(vocabulary, context, word, n).block())]
+        last = context[-1:]
+        begin, count = vocabulary.stretches(last)
+        reach = int(vocabulary._unit(begin + count)[0])
+        if reach > unit:
+            alone = Successors.counted(vocabulary, *(c[context == last[0]] for c in (context, word, n))).block()
+            rows += [(u, alone) for u in range(unit + 1, reach + 1)]
+        units, blocks = zip(*rows)
+        return pa.table({"unit": pa.array(units, pa.int32()), "two": pa.array(blocks, pa.binary())})
 
-def with_thirds(texts: DataFrame, trie: Trie, ws: Workspace) -> Trie:
-    """Count all trigrams and write level three.
+    return _counted(texts, vocabulary, 2).groupBy("unit").applyInArrow(level, LEVEL_TWO)
 
-    A key is the number of the context bigram, the rank of the next word, and the code of the next word's log10 p by
-    level two, from which the trigram's own is interpolated.
-    """
-    buckets = partitions(texts.sparkSession)
-    width = _width(trie.bigrams, buckets)
-    wide = max(1, trie.widest.bit_length())
-    if trie.bigrams.bit_length() + wide + 8 > 64:
-        raise ValueError("too many bigrams for 64-bit trigram keys")
-    above, rank_bits, code_bits = np.uint64(wide + 8), np.uint64((1 << wide) - 1), np.uint64(CODES - 1)
 
-    def keys_of(tokens):
-        ids, counts, begins, _ = _located(tokens, trie.vocabulary)
-        at, number, rank, p, _ = trie.located(ids, counts, begins)
-        k = _triples(at, number)
-        return (number[k - 1].astype(np.uint64) << above) | (rank[k].astype(np.uint64) << np.uint64(8)) | p[k].astype(np.uint64)
+@dataclass(frozen=True)
+class Trie:
+    """Level one as shipped, the other levels by unit, and how many copies of each unit the documents are dealt over."""
 
-    def bucket_of_context(keys):
-        return (keys >> above).astype(np.int64) // width
+    vocabulary: Vocabulary
+    levels: DataFrame
+    copies: tuple[int, ...]
 
-    def level(table: pa.Table) -> pa.Table:
-        bucket = table.column("bucket")[0].as_py()
-        keys, n = _merged(table)
-        first, last = bucket * width, min((bucket + 1) * width, trie.bigrams)
-        local = (keys >> above).astype(np.int64) - first
-        rank, shorter = ((keys >> np.uint64(8)) & rank_bits).astype(np.int64), (keys & code_bits).astype(np.uint8)
-        share = (n - DISCOUNT) / np.bincount(local, n, last - first)[local]
-        left = 1.0 - np.bincount(local, share, last - first)
-        p = share + left[local] * 10 ** log_of(shorter)
-        pointers = np.concatenate([[0], np.cumsum(np.bincount(local, minlength=last - first))])
-        # Ranks of a context begin one above the last of the context before.
-        ends = np.flatnonzero(np.diff(local, append=-1))
-        tops = np.cumsum(rank[ends] + 1)
-        ranks = rank + np.repeat(tops - rank[ends] - 1, np.diff(ends, prepend=-1))
-        universe = int(tops[-1]) + 1
-        block = packed(
-            [
-                *EliasFano.of(pointers, len(keys) + 1).arrays(),
-                *EliasFano.of(ranks, universe).arrays(),
-                quantised(np.log10(np.maximum(left, 1e-12))),
-                quantised(np.log10(p)),
-                np.array([universe], np.int64),
-            ]
-        )
-        return pa.table({"bucket": pa.array([bucket], pa.int32()), "block": [block]})
 
-    counted = _counted(texts, keys_of, buckets, 1, bucket_of_context)
-    rows = counted.groupBy("bucket").applyInArrow(level, "bucket int, block binary")
-    return replace(trie, thirds=ship(rows, ws, "thirds")[0], thirds_buckets=buckets)
+def train(docs: DataFrame, ws: Workspace) -> Trie:
+    """The model of all documents that are not held out."""
+    texts = doc_texts(docs).where(~held_out())
+    vocabulary = count_words(texts, ws)
+    two = settled(_level_two(texts, vocabulary), ws, "successors")
+
+    def level(left: pa.Table, right: pa.Table) -> pa.Table:
+        (middle, first, word), n = _together(left, 3, vocabulary.words)
+        rows = []
+        for unit, block in zip(right.column("unit").to_pylist(), right.column("two").to_pylist()):
+            stretch = Successors.of_block(block)
+            here = (middle >= stretch.first) & (middle <= stretch.last)
+            some = [c[here] for c in (middle, first, word, n)]
+            rows.append((unit, int(some[3].sum()), block, Thirds.counted(stretch, *some).block()))
+        units, tokens, twos, threes = zip(*rows) if rows else ((), (), (), ())
+        arrays = [pa.array(units, pa.int32()), pa.array(tokens, pa.int64()), pa.array(twos, pa.binary()), pa.array(threes, pa.binary())]
+        return pa.Table.from_arrays(arrays, ["unit", "tokens", "two", "three"])
+
+    counted = _counted(texts, vocabulary, 3)
+    levels = counted.groupBy("unit").cogroup(two.groupBy("unit")).applyInArrow(level, LEVELS)
+    levels = settled(levels, ws, "levels")
+    # A row per unit, of which there are as many as shuffle partitions.
+    held = {r["unit"]: r["n"] for r in levels.groupBy("unit").agg(F.sum("tokens").alias("n")).collect()}
+    fair = max(1.0, vocabulary.tokens / vocabulary.buckets)
+    copies = tuple(max(1, round(held.get(u, 0) / fair)) for u in range(vocabulary.buckets))
+    return Trie(vocabulary, levels, copies)
 
 
 # ---- scores
 
 
-def train(docs: DataFrame, ws: Workspace, whole: bool = False) -> Trie:
-    """The model of all documents that are not held out."""
-    texts = doc_texts(docs).where(~held_out())
-    trie = build_trie(texts, count_words(texts, ws), ws, 1 if whole else LEAST_BIGRAM)
-    return with_thirds(texts, trie, ws) if whole else trie
+SCORES = "doc_id long, n_tokens long, n_known long, base_score double, score double"
+ASKED = "unit int, copy int, part long, n int, data binary, docs binary"
+ANSWERED = "part long, docs binary, at binary, sums binary"
+
+
+def _asked(docs: DataFrame, trie: Trie) -> DataFrame:
+    """Per group of documents (``part``) and unit the trigrams to be answered, with the documents they are in; and, once per
+    group, what its task knows of its documents by itself."""
+    vocabulary, copies = trie.vocabulary, np.array(trie.copies)
+    empty = {"n": 0, "data": b""}
+
+    def ask(batches):
+        for number, (doc_ids, tokens) in enumerate(_grouped(batches, GROUP_ASKED)):
+            task = TaskContext.get().partitionId()
+            part, turn = (task << 32) | number, task + 7919 * number
+            ids, counts, begins, lengths = _located(tokens, vocabulary)
+            base = vocabulary.log_p(counts)
+            at = _trigrams(ids, begins)
+            doc = np.repeat(np.arange(len(lengths)), lengths)
+            alone = base.copy()
+            alone[at] = 0.0
+            known = pa.array(doc_ids, pa.int64())
+            own = [
+                known.fill_null(0).to_numpy(zero_copy_only=False),
+                np.array(known.is_null().to_numpy(zero_copy_only=False), np.uint8),
+                lengths.astype(np.int64),
+                np.add.reduceat((counts > 0).astype(np.int64), begins),
+                np.add.reduceat(base, begins),
+                np.add.reduceat(alone, begins),
+            ]
+            rows = [{"unit": turn % vocabulary.buckets, "copy": 0, "part": part, **empty, "docs": packed(own)}]
+            columns = [ids[at - 1], _first_words(ids, at, begins), ids[at], doc[at]]
+            most = max(vocabulary.words, len(lengths))
+            columns[1] = np.where(columns[1] == NO_WORD, most, columns[1])
+            columns, times = _distinct(columns, None, most + 1)
+            columns[1] = np.where(columns[1] == most, NO_WORD, columns[1])
+            units = vocabulary.units_of(columns[0], columns[1])
+            for unit, some in _by_unit(units):
+                data = _squeezed([*(c[some] for c in columns), times[some]])
+                rows.append({"unit": unit, "copy": turn % int(copies[unit]), "part": part, "n": len(some), "data": data, "docs": None})
+            yield pa.RecordBatch.from_pylist(rows, ASKED_SCHEMA)
 
+    return doc_texts(docs).mapInArrow(ask, ASKED)
+
+
+ASKED_SCHEMA = pa.schema(
+    [("unit", pa.int32()), ("copy", pa.int32()), ("part", pa.int64()), ("n", pa.int32()), ("data", pa.binary()), ("docs", pa.binary())]
+)
+ANSWERED_SCHEMA = pa.schema([("part", pa.int64()), ("docs", pa.binary()), ("at", pa.binary()), ("sums", pa.binary())])
 
-SCORES = "doc_id long, n_tokens long, n_known long, base_score double, score double"
+
+def _log_p(vocabulary: Vocabulary, two: Successors, three: Thirds, middle: np.ndarray, first: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """log10 p of each word after its two words, or after the middle one alone."""
+    rank, code, weight = two.find(middle, word)
+    base = vocabulary.log_p(vocabulary.counts_of(word))
+    bigram = np.where(rank >= 0, log_of(code), base + log_of(weight))
+    seen, code, weight = three.find(middle, first, rank)
+    return np.where(code >= 0, log_of(code), np.where(seen, bigram + log_of(weight), bigram))
 
 
 def scores(docs: DataFrame, trie: Trie) -> DataFrame:
-    """``SCORES`` of every row."""
-
-    def of(batches):
-        for doc_ids, tokens in _grouped(batches):
-            ids, counts, begins, lengths = _located(tokens, trie.vocabulary)
-            base = trie.vocabulary.log_p(counts)
-            score = base.copy()
-            at, number, rank, p, weight = trie.located(ids, counts, begins)
-            score[at] = np.where(number >= 0, log_of(p), base[at] + log_of(weight))
-            if trie.thirds:
-                k = _triples(at, number)
-                known, p, weight = trie.find_thirds(number[k - 1], rank[k])
-                score[at[k]] = np.where(known, log_of(p), score[at[k]] + log_of(weight))
-            columns = [
-                pa.array(doc_ids, pa.int64()),
-                pa.array(lengths, pa.int64()),
-                pa.array(np.add.reduceat((counts > 0).astype(np.int64), begins)),
-                pa.array(np.add.reduceat(base, begins)),
-                pa.array(np.add.reduceat(score, begins)),
-            ]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_tokens", "n_known", "base_score", "score"])
+    """``SCORES`` of every row: the n-grams go to the units, and their sums come back to the documents."""
+    vocabulary = trie.vocabulary
+
+    def answer(left: pa.Table, right: pa.Table) -> pa.Table:
+        shelves = [
+            (Successors.of_block(two.as_py()), Thirds.of_block(three.as_py()))
+            for two, three in zip(right.column("two"), right.column("three"))
+        ]
+        out = []
+        for i in range(left.num_rows):
+            row = {name: left.column(name)[i].as_py() for name in ("part", "n", "data", "docs")}
+            if row["docs"] is not None:
+                out.append({"part": row["part"], "docs": row["docs"], "at": None, "sums": None})
+                continue
+            middle, first, word, doc, times = _spread_out(row["data"], row["n"], 5)
+            found = np.zeros(len(middle))
+            for two, three in shelves:
+                here = np.flatnonzero((middle >= two.first) & (middle <= two.last))
+                if len(here):
+                    found[here] = _log_p(vocabulary, two, three, middle[here], first[here], word[here]) * times[here]
+            at, place = np.unique(doc, return_inverse=True)
+            sums = np.bincount(place, found)
+            out.append({"part": row["part"], "docs": None, "at": at.astype("<u4").tobytes(), "sums": sums.tobytes()})
+        return pa.Table.from_pylist(out, ANSWERED_SCHEMA)
+
+    def together(table: pa.Table) -> pa.Table:
+        [own] = [d.as_py() for d in table.column("docs") if d.is_valid]
+        ids, missing, lengths, known, base, score = unpacked(np.frombuffer(own, np.uint8))
+        score = score.copy()
+        for at, sums in zip(table.column("at"), table.column("sums")):
+            if at.is_valid:
+                score[np.frombuffer(at.as_py(), "<u4")] += np.frombuffer(sums.as_py(), np.float64)
+        doc_ids = pa.array(ids, mask=missing.astype(bool))
+        return pa.Table.from_arrays(
+            [doc_ids, *(pa.array(x) for x in (lengths, known, base, score))], ["doc_id", "n_tokens", "n_known", "base_score", "score"]
+        )
 
-    return doc_texts(docs).mapInArrow(of, SCORES)
+    copies = F.element_at(F.array(*map(F.lit, trie.copies)), F.col("unit") + 1)
+    levels = trie.levels.select("unit", "two", "three", F.explode(F.sequence(F.lit(0), copies - 1)).alias("copy"))
+    asked = _asked(docs, trie).groupBy("unit", "copy")
+    answered = asked.cogroup(levels.groupBy("unit", "copy")).applyInArrow(answer, ANSWERED)
+    return answered.groupBy("part").applyInArrow(together, SCORES)
 
 
-def score_documents(docs: DataFrame, ws: Workspace, whole: bool = False) -> DataFrame:
+def score_documents(docs: DataFrame, ws: Workspace) -> DataFrame:
     """Train on the documents that are not held out, and score all of them by the base model and by the trie."""
-    trie = train(docs, ws, whole)
+    trie = train(docs, ws)
     total = F.lit(trie.vocabulary.tokens).cast("long").alias("train_tokens")
     return scores(docs, trie).select("doc_id", held_out().alias("held_out"), "n_tokens", "n_known", total, "base_score", "score")

@@ -289,31 +289,9 @@ def test_classifier_without_positives(spark, ws, odd_docs):
     assert len(quality.scored(odd_docs, labels, ws).collect()) == odd_docs.count()
 
 
-def test_lm_scores(ws, odd_docs):
-    rows = plain(odd_docs)
-    tokens = [[*t.encode().lower().split(), b"\n"] for _, t in rows]
-    train = [w for (d, _), w in zip(rows, tokens) if zlib.crc32(str(d if d is not None else "").encode()) % 10]
-    one, two = collections.Counter(x for w in train for x in w), collections.Counter(p for w in train for p in zip(w, w[1:]))
-    n, v = sum(one.values()), len(one)
-    p = {w: (one[w] + 0.1) / (n + 0.1 * (v + 1)) for ws_ in tokens for w in ws_}
-    kept = collections.Counter()
-    for (a, _), k in two.items():
-        kept[a] += (k - 0.75) / one[a] if k >= 2 else 0
-
-    def bigram(a, b):
-        if min(one[a], one[b]) < 2:
-            return math.log10(p[b])
-        if two[a, b] >= 2:
-            return math.log10((two[a, b] - 0.75) / one[a] + (1 - kept[a]) * p[b])
-        return math.log10(1 - kept[a]) + math.log10(p[b])
-
-    expected = sorted((len(w), sum(x in one for x in w), sum(math.log10(p[x]) for x in w), math.log10(p[w[0]]) + sum(map(bigram, w, w[1:]))) for w in tokens)
-    got = sorted((r["n_tokens"], r["n_known"], r["base_score"], r["score"]) for r in lm.score_documents(odd_docs, ws).collect())
-    for a, b in zip(expected, got, strict=True):
-        assert a[:2] == b[:2] and abs(a[2] - b[2]) < 1e-6 * a[0] and abs(a[3] - b[3]) < 0.03 * a[0]
-
-
-def test_whole_lm_scores(ws, odd_docs):
+@pytest.mark.parametrize("units", ["8", "1", "61"])
+def test_whole_lm_scores(spark, ws, odd_docs, units):
+    """In one unit, in a few, and in so many that common words lie in several, with trigram keys beyond 64 bits too."""
     rows = plain(odd_docs)
     tokens = [[*t.encode().lower().split(), b"\n"] for _, t in rows]
     train = [w for (d, _), w in zip(rows, tokens) if zlib.crc32(str(d if d is not None else "").encode()) % 10]
@@ -337,13 +315,35 @@ def test_whole_lm_scores(ws, odd_docs):
         return (max(n_of[len(g) - 1][g] - 0.75, 0) + 0.75 * followed[len(g) - 1][context] * p(g[1:])) / seen[context]
 
     expected = sorted((len(w), sum((x,) in n_of[0] for x in w), sum(math.log10(p(tuple(w[max(0, i - 2) : i + 1]))) for i in range(len(w)))) for w in tokens)
-    found = lm.score_documents(odd_docs, ws, whole=True).collect()
+    spark.conf.set("spark.sql.shuffle.partitions", units)
+    try:
+        found = lm.score_documents(odd_docs, ws).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    base = sorted((len(w), sum(math.log10(p((x,))) for x in w)) for w in tokens)
+    for a, b in zip(base, sorted((r["n_tokens"], r["base_score"]) for r in found), strict=True):
+        assert a[0] == b[0] and abs(a[1] - b[1]) < 1e-6 * a[0]
     got = sorted((r["n_tokens"], r["n_known"], r["score"]) for r in found)
     for a, b in zip(expected, got, strict=True):
         assert a[:2] == b[:2] and abs(a[2] - b[2]) < 0.05 * a[0]
     assert sum(abs(a[2] - b[2]) for a, b in zip(expected, got)) < 0.02 * sum(a[0] for a in expected)
 
 
+def test_rows_in_order_whether_or_not_they_fit_one_key():
+    rng = np.random.default_rng(0)
+    columns = [rng.integers(0, 40, 500) for _ in range(3)]
+    counts = rng.integers(1, 5, 500)
+    expected = collections.Counter()
+    for *row, n in zip(*columns, counts):
+        expected[tuple(map(int, row))] += int(n)
+    for most in (41, 1 << 32):
+        found, total = lm._distinct(columns, counts, most)
+        assert [(*map(int, row),) for row in zip(*found)] == sorted(expected)
+        assert {(*map(int, row),): int(t) for *row, t in zip(*found, total)} == expected
+        back = lm._spread_out(lm._squeezed([*found, total]), len(total), 4)
+        assert all((a == b).all() for a, b in zip(back, [*found, total]))
+
+
 def test_elias_fano():
     rng = np.random.default_rng(1)
     for n, universe in ((0, 10), (1, 1), (5, 1000), (1000, 1 << 44), (5000, 6000), (3000, 3000 * 900)):
