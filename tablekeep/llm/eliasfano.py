@@ -51,6 +51,16 @@ class EliasFano:
     def arrays(self) -> list[np.ndarray]:
         return [np.array([self.n, self.low_bits], np.int64), self.low, self.high, self.ones, self.zeros]
 
+    def bare_arrays(self) -> list[np.ndarray]:
+        """Without the counts for selection, for sequences that are only read through."""
+        return [np.array([self.n, self.low_bits], np.int64), self.low, self.high]
+
+    @classmethod
+    def from_bare_arrays(cls, arrays: list[np.ndarray]) -> EliasFano:
+        head, low, high = arrays
+        nothing = np.zeros(0, np.int64)
+        return cls(int(head[0]), int(head[1]), low, high, nothing, nothing)
+
     @classmethod
     def from_arrays(cls, arrays: list[np.ndarray]) -> EliasFano:
         head, *rest = arrays
@@ -69,6 +79,12 @@ class EliasFano:
         high = _select(self.high, self.ones, i) - i
         return (high.astype(U) << U(self.low_bits)) | self._low(i)
 
+    def decoded(self) -> np.ndarray:
+        """All values in order: for queries about as many as they are."""
+        ones = np.flatnonzero(np.unpackbits(self.high.view(np.uint8), bitorder="little"))[: self.n]
+        high = (ones - np.arange(self.n)).astype(U)
+        return (high << U(self.low_bits)) | self._low(np.arange(self.n))
+
     def _below(self, high: np.ndarray) -> np.ndarray:
         """How many values have a high part up to ``high``; -1 gives 0."""
         some = np.maximum(high, 0)

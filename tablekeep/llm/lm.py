@@ -29,16 +29,18 @@ task holds at once. Two words of one hash (about V squared /
 from __future__ import annotations
 
 import fcntl
+import gc
 import os
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.parquet as pq
-import xxhash
 import zstandard
 from pyspark import SparkFiles, TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -46,19 +48,17 @@ from pyspark.sql import functions as F
 
 from tablekeep.llm.common import doc_texts, partitions, settled
 from tablekeep.llm.eliasfano import EliasFano, packed, unpacked
-from tablekeep.session import Workspace
+from tablekeep.session import Workspace, delete_folder
 
 FOLDS = 10
 ADDED = 0.1
 DISCOUNT = 0.75
-END = b"\n"  # no word holds a line feed
-GROUP_WORDS = 400_000
+# Bytes whose words are hashed at once, and tokens of the texts that are looked up together.
+STRETCH = 1 << 21
+GROUP_TOKENS = 1_000_000
 # The first word of a trigram that has none: of the second token of a text, or after an unknown word.
 NO_WORD = (1 << 32) - 1
 FLUSH_WORDS = 600_000
-FLUSH_NGRAMS = 2_000_000
-# Tokens of the documents that ask together.
-GROUP_ASKED = 1_000_000
 CODES = 256
 LOWEST_LOG = -12.0
 
@@ -67,13 +67,103 @@ def held_out() -> F.Column:
     return F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), F.lit(FOLDS)) == 0
 
 
-def tokens_of(text: str) -> list[bytes]:
-    """The words of a text (A-Z in lower case) and the end."""
-    return [*text.encode().lower().split(), END]
+# ---- tokens as hashes
+#
+# A word's hash is a polynomial over its bytes (A-Z in lower case), modulo 2^64, whose coefficients are a table of random
+# numbers, with its bits mixed at the end. Sums over a stretch of bytes give the hashes of all its words at once.
 
 
-def _hashes(words: Iterable[bytes]) -> np.ndarray:
-    return np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64)
+def _mixed(h: np.ndarray) -> np.ndarray:
+    for shift, factor in ((33, 0xFF51AFD7ED558CCD), (33, 0xC4CEB9FE1A85EC53)):
+        h = (h ^ (h >> np.uint64(shift))) * np.uint64(factor)
+    return h ^ (h >> np.uint64(33))
+
+
+BASE = 0x9E3779B97F4A7C15
+_STEP = 1 << 11
+_BLANK = np.zeros(256, bool)
+_BLANK[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+_BYTES = _mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(BASE))
+_BYTES[65:91] = _BYTES[97:123]
+# Where no byte of a word can be.
+_BYTES[_BLANK] = 0
+# Of the end token, which no word is.
+END = np.uint64(0x5EED0FE7D)
+
+
+@lru_cache(maxsize=4)
+def _powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """``base`` to the powers 0, 1, ... below ``_STEP``, and to the multiples of ``_STEP`` below ``n``, modulo 2^64."""
+
+    def run(b: int, k: int) -> np.ndarray:
+        factors = np.full(k, b, np.uint64)
+        factors[0] = 1
+        return np.cumprod(factors, dtype=np.uint64)
+
+    return run(base, _STEP), run(pow(base, _STEP, 1 << 64), -(-n // _STEP) + 1)
+
+
+def _power(base: int, at: np.ndarray, n: int) -> np.ndarray:
+    low, high = _powers(base, n)
+    return low[at & (_STEP - 1)] * high[at >> 11]
+
+
+def _word_hashes(data: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes of all words in a stretch of bytes, and where each begins; a word also ends where another text begins."""
+    inside = ~_BLANK[data]
+    start, end = inside.copy(), inside.copy()
+    start[1:] &= ~inside[:-1]
+    end[:-1] &= ~inside[1:]
+    first = begins[begins < len(data)]
+    start[first] = inside[first]
+    last = first[first > 0] - 1
+    end[last] = inside[last]
+    start, end = np.flatnonzero(start), np.flatnonzero(end)
+    size = 1 << max(16, len(data).bit_length())
+    low, high = _powers(BASE, size)
+    powers = (high[: -(-len(data) // _STEP), None] * low).ravel()[: len(data)]
+    sums = np.cumsum(_BYTES[data] * powers, dtype=np.uint64)
+    word = sums[end] - np.where(start > 0, sums[start - 1], np.uint64(0))
+    # As if each word began at the first byte.
+    word *= _power(pow(BASE, -1, 1 << 64), start, size)
+    return _mixed(word ^ ((end - start).astype(np.uint64) << np.uint64(40))), start
+
+
+def _stretches_of(data: np.ndarray, begins: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Cut bytes into stretches of some ``STRETCH``, each of which ends after a blank or with a text."""
+    at = 0
+    while at < len(data):
+        end = min(at + STRETCH, len(data))
+        while end < len(data):
+            blanks = np.flatnonzero(_BLANK[data[at:end]])
+            texts = begins[np.searchsorted(begins, at, "right") : np.searchsorted(begins, end, "right")]
+            cut = max(at + int(blanks[-1]) + 1 if len(blanks) else at, int(texts[-1]) if len(texts) else at)
+            if cut > at:
+                end = cut
+                break
+            # One word beyond a stretch's size.
+            end = min(end + STRETCH, len(data))
+        yield at, end
+        at = end
+
+
+def token_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes of all tokens of some texts, each text's end after its words, and how many tokens each text has."""
+    texts = texts.cast(pa.large_string())
+    offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    values = texts.buffers()[2]
+    data = np.frombuffer(values, np.uint8)[offsets[0] : offsets[-1]] if values is not None else np.zeros(0, np.uint8)
+    begins = offsets[:-1] - offsets[0]
+    hashes, starts = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+    for a, b in _stretches_of(data, begins):
+        found, at = _word_hashes(data[a:b], begins[np.searchsorted(begins, a) : np.searchsorted(begins, b)] - a)
+        hashes.append(found)
+        starts.append(at + a)
+    words, where = np.concatenate(hashes), np.concatenate(starts)
+    # The words before the end of each text.
+    before = np.searchsorted(where, offsets[1:] - offsets[0])
+    out = np.insert(words, before, END)
+    return out, np.diff(before, prepend=0) + 1
 
 
 def bucket_of(hashes: np.ndarray, buckets: int) -> np.ndarray:
@@ -115,19 +205,28 @@ def _part_batch(rows: list[tuple[int, bytes, bytes]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(bucket, pa.int32()), pa.array(keys), pa.array(counts)], ["bucket", "keys", "counts"])
 
 
-def _grouped(batches, size: int = GROUP_WORDS) -> Iterator[tuple[list[int], list[list[bytes]]]]:
-    """Texts' tokens in groups of some ``size`` tokens, with the ids of the documents."""
-    ids, tokens, n = [], [], 0
+def _grouped(batches, size: int = GROUP_TOKENS) -> Iterator[tuple[list, np.ndarray, np.ndarray]]:
+    """Texts' token hashes in groups of some ``size`` tokens, with the ids of the documents and their numbers of tokens."""
+    ids, hashes, lengths, n = [], [], [], 0
     for batch in batches:
-        for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
-            ids.append(doc_id)
-            tokens.append(tokens_of(text.as_py()))
-            n += len(tokens[-1])
+        texts = batch.column("text")
+        ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
+        at = 0
+        while at < len(texts):
+            # So many texts at once as have the bytes of a stretch, one at least.
+            done = int(ends[at - 1]) if at else 0
+            stop = max(at + 1, int(np.searchsorted(ends, done + STRETCH, "right")))
+            found, each = token_hashes(texts.slice(at, stop - at))
+            ids += batch.column("doc_id").slice(at, stop - at).to_pylist()
+            hashes.append(found)
+            lengths.append(each)
+            n += len(found)
+            at = stop
             if n >= size:
-                yield ids, tokens
-                ids, tokens, n = [], [], 0
+                yield ids, np.concatenate(hashes), np.concatenate(lengths)
+                ids, hashes, lengths, n = [], [], [], 0
     if ids:
-        yield ids, tokens
+        yield ids, np.concatenate(hashes), np.concatenate(lengths)
 
 
 # ---- levels as files
@@ -170,6 +269,9 @@ def _mapped(level: Shipped) -> dict[int, list[np.ndarray]]:
                         out.write(block)
             np.array(index, np.int64).tofile(flat + ".index")
             os.rename(flat + ".part", flat)
+            # One copy per executor: an executor that takes this one's place fetches the files anew.
+            for name in level.files:
+                os.remove(SparkFiles.get(name))
     index = np.fromfile(flat + ".index", np.int64).reshape(-1, 3)
     if not len(index):
         return {}
@@ -177,6 +279,14 @@ def _mapped(level: Shipped) -> dict[int, list[np.ndarray]]:
     return {int(b): unpacked(data[at : at + n]) for b, at, n in index}
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of what is settled: it does so for DataFrames that nothing refers to any more,
+    whenever the driver's garbage collector comes by, so it is asked to. Spark holds on to its last query, hence another."""
+    gc.collect()
+    spark.range(1).collect()
+    spark._jvm.System.gc()
+
+
 # ---- level one
 
 
@@ -209,6 +319,7 @@ class Vocabulary:
         return ids, counts
 
     def counts_of(self, ids: np.ndarray) -> np.ndarray:
+        ids = _wide(ids)
         blocks, out = _mapped(self.level), np.zeros(len(ids), np.int64)
         bucket = np.searchsorted(np.array(self.before), ids, side="right") - 1
         for b in np.unique(bucket).tolist():
@@ -219,6 +330,7 @@ class Vocabulary:
 
     def stretches(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Where each word's tokens begin on the line of all training tokens, and how many they are."""
+        ids = _wide(ids)
         blocks, begin = _mapped(self.level), np.zeros(len(ids), np.int64)
         bucket = np.searchsorted(np.array(self.before), ids, side="right") - 1
         for b in np.unique(bucket).tolist():
@@ -227,17 +339,8 @@ class Vocabulary:
             begin[some] = self.mass_before[b] + mass.access(ids[some] - self.before[b]).astype(np.int64)
         return begin, self.counts_of(ids)
 
-    def home(self, ids: np.ndarray) -> np.ndarray:
-        """The unit in which a word's stretch begins."""
-        return self._unit(self.stretches(ids)[0])
-
-    def units_of(self, middle: np.ndarray, first: np.ndarray) -> np.ndarray:
-        """The units that answer for trigrams of these middle and first words."""
-        known, place = np.unique(middle, return_inverse=True)
-        begin, count = self.stretches(known)
-        return self._unit(begin[place] + (_share(first) * count[place]).astype(np.int64))
-
-    def _unit(self, point: np.ndarray) -> np.ndarray:
+    def unit_at(self, point: np.ndarray) -> np.ndarray:
+        """The unit of a place on the line."""
         # In floating point, as the product may have more than 64 bits; alike wherever it is asked for.
         return np.minimum((point * (self.buckets / max(1, self.tokens))).astype(np.int64), self.buckets - 1)
 
@@ -262,22 +365,20 @@ def count_words(texts: DataFrame, ws: Workspace) -> Vocabulary:
     buckets = partitions(texts.sparkSession)
 
     def count(batches):
-        found: dict[bytes, int] = {}
-        for _, tokens in _grouped(batches):
-            for words in tokens:
-                for w in words:
-                    found[w] = found.get(w, 0) + 1
-            if len(found) > FLUSH_WORDS:
-                yield _flushed(found)
-                found = {}
-        if found:
-            yield _flushed(found)
-
-    def _flushed(found):
-        hashes = _hashes(found)
-        counts = np.fromiter(found.values(), np.int64, len(found))
-        order = np.argsort(hashes)
-        return _part_batch(list(_split(hashes[order], counts[order], bucket_of(hashes[order], buckets))))
+        held, n = [], 0
+        for _, hashes, _ in _grouped(batches):
+            codes, words = pd.factorize(hashes)
+            held.append((words, np.bincount(codes)))
+            n += len(words)
+            if n > FLUSH_WORDS:
+                yield _flushed(held)
+                held, n = [], 0
+        if held:
+            yield _flushed(held)
+
+    def _flushed(held):
+        (hashes,), counts = _distinct([np.concatenate([h for h, _ in held])], np.concatenate([c for _, c in held]))
+        return _part_batch(list(_split(hashes, counts, bucket_of(hashes, buckets))))
 
     def level(table: pa.Table) -> pa.Table:
         bucket = table.column("bucket")[0].as_py()
@@ -305,58 +406,99 @@ def count_words(texts: DataFrame, ws: Workspace) -> Vocabulary:
 # ---- n-grams on their way to units
 
 
-def _located(tokens: list[list[bytes]], vocabulary: Vocabulary):
-    """For a group of documents: ids and counts of all tokens in a row, and where each document begins."""
-    numbers: dict[bytes, int] = {}
-    places = [[numbers.setdefault(w, len(numbers)) for w in words] for words in tokens]
-    ids, counts = vocabulary.look_up(_hashes(numbers))
-    lengths = np.array([len(p) for p in places])
-    flat = np.fromiter((x for p in places for x in p), np.int64, int(lengths.sum()))
-    return ids[flat], counts[flat], np.concatenate([[0], np.cumsum(lengths)[:-1]]), lengths
-
-
-def _trigrams(ids: np.ndarray, begins: np.ndarray) -> np.ndarray:
-    """Of tokens in a row, the positions that a bigram of known words ends at."""
-    inner = np.ones(len(ids), bool)
-    inner[begins] = False
-    inner[1:] &= (ids[1:] >= 0) & (ids[:-1] >= 0)
-    return np.flatnonzero(inner)
-
-
-def _first_words(ids: np.ndarray, at: np.ndarray, begins: np.ndarray) -> np.ndarray:
-    """The word two before each position, ``NO_WORD`` where there is none or it is unknown."""
-    second = np.zeros(len(ids), bool)
-    second[np.minimum(begins + 1, len(ids) - 1)] = True
-    two_before = ids[np.maximum(at - 2, 0)]
-    return np.where(second[at] | (two_before < 0), NO_WORD, two_before)
+@dataclass(frozen=True)
+class Located:
+    """Tokens of a group of documents in a row: the rank of each among the group's known words in order of their ids (-1:
+    unknown), the documents' places, the known words' ids and counts, and each one's stretch and share."""
 
+    rank: np.ndarray
+    begins: np.ndarray
+    ids: np.ndarray
+    counts: np.ndarray
+    stretch: np.ndarray
+    share: np.ndarray
 
-def _in_order(columns: list[np.ndarray], most: int) -> np.ndarray:
-    """The stable order of rows by these columns of numbers below ``most``; as one 64-bit key where they fit into it."""
-    bits = max(1, int(most).bit_length())
+    @classmethod
+    def of(cls, hashes: np.ndarray, lengths: np.ndarray, vocabulary: Vocabulary) -> Located:
+        codes, words = pd.factorize(hashes)
+        ids, counts = vocabulary.look_up(words)
+        order = np.argsort(ids)[np.count_nonzero(ids < 0) :]
+        place = np.full(len(words), -1, np.int64)
+        place[order] = np.arange(len(order))
+        stretch, _ = vocabulary.stretches(ids[order])
+        return cls(place[codes], np.cumsum(lengths) - lengths, ids[order], counts[order], stretch, _share(ids[order]))
+
+    def token_counts(self) -> np.ndarray:
+        return np.append(self.counts, 0)[self.rank]
+
+    def bigrams(self) -> np.ndarray:
+        """The positions that a bigram of known words ends at."""
+        inner = np.ones(len(self.rank), bool)
+        inner[self.begins] = False
+        inner[1:] &= (self.rank[1:] >= 0) & (self.rank[:-1] >= 0)
+        return np.flatnonzero(inner)
+
+    def first_words(self, at: np.ndarray) -> np.ndarray:
+        """The rank of the word two before each position, -1 where there is none or it is unknown."""
+        second = np.zeros(len(self.rank) + 1, bool)
+        second[self.begins + 1] = True
+        return np.where(second[at], -1, self.rank[np.maximum(at - 2, 0)])
+
+    def units(self, vocabulary: Vocabulary, middle: np.ndarray, first: np.ndarray) -> np.ndarray:
+        """The units that answer for trigrams of these middle and first words (ranks)."""
+        share = np.append(self.share, 0.0)[first]
+        return vocabulary.unit_at(self.stretch[middle] + (share * self.counts[middle]).astype(np.int64))
+
+
+def _in_order(columns: list[np.ndarray]) -> np.ndarray:
+    """An order of rows by columns of whole numbers, through one 64-bit key: by their differences from the least, or, where
+    these have too many bits together, by the ranks of the column's values."""
+    if len(columns) == 1 and columns[0].dtype == np.uint64:
+        return np.argsort(columns[0])
+    parts = [c.astype(np.uint64) - np.uint64(c.min()) for c in columns]
+    bits = [int(c.max()).bit_length() for c in parts]
+    for i in range(len(parts)):
+        if sum(bits) <= 64:
+            break
+        parts[i] = np.unique(parts[i], return_inverse=True)[1].astype(np.uint64)
+        bits[i] = int(parts[i].max()).bit_length()
+    if sum(bits) > 64:
+        return np.lexsort(parts[::-1])
+    key = parts[0]
+    for c, b in zip(parts[1:], bits[1:]):
+        key = (key << np.uint64(b)) | c
+    return np.argsort(key)
+
+
+def _counted_once(columns: list[np.ndarray], values: int) -> tuple[list[np.ndarray], np.ndarray]:
+    """Rows of ranks below ``values`` once each, in order, with how often each is there: sorted as keys, without their order."""
+    bits = max(1, values.bit_length())
     if bits * len(columns) > 64:
-        return np.lexsort(columns[::-1])
-    key = np.zeros(len(columns[0]), np.uint64)
-    for c in columns:
+        return _distinct(columns)
+    key = columns[0].astype(np.uint64)
+    for c in columns[1:]:
         key = (key << np.uint64(bits)) | c.astype(np.uint64)
-    return np.argsort(key, kind="stable")
+    key.sort()
+    first = _runs([key])
+    key, n = key[first], np.diff(first, append=len(key))
+    mask = np.uint64((1 << bits) - 1)
+    return [((key >> np.uint64(bits * k)) & mask).astype(np.int64) for k in reversed(range(len(columns)))], n
 
 
 def _runs(columns: list[np.ndarray]) -> np.ndarray:
     """Where a row begins that differs from the one before."""
-    n = len(columns[0])
-    new = np.zeros(n, bool)
+    new = np.zeros(len(columns[0]), bool)
     new[:1] = True
     for c in columns:
         new[1:] |= c[1:] != c[:-1]
     return np.flatnonzero(new)
 
 
-def _distinct(columns: list[np.ndarray], counts: np.ndarray | None, most: int) -> tuple[list[np.ndarray], np.ndarray]:
+def _distinct(columns: list[np.ndarray], counts: np.ndarray | None = None) -> tuple[list[np.ndarray], np.ndarray]:
     """Rows once each, in order, with the sum of their counts (1 each if None)."""
     if not len(columns[0]):
         return columns, np.zeros(0, np.int64)
-    order = _in_order(columns, most)
+    order = _in_order(columns)
     columns = [c[order] for c in columns]
     first = _runs(columns)
     if counts is None:
@@ -369,19 +511,28 @@ def _distinct(columns: list[np.ndarray], counts: np.ndarray | None, most: int) -
 def _squeezed(columns: list[np.ndarray]) -> bytes:
     """Columns of 32-bit numbers, by planes of bytes, the first one (in order) as differences."""
     first, *rest = columns
-    planes = [np.diff(first, prepend=0), *rest]
+    planes = [np.diff(first, prepend=first.dtype.type(0)), *rest]
     data = b"".join(np.ascontiguousarray(c.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes() for c in planes)
     return zstandard.ZstdCompressor(level=1).compress(data)
 
 
 def _spread_out(data: bytes, n: int, width: int) -> list[np.ndarray]:
     planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(width, 4, n)
-    columns = [np.ascontiguousarray(planes[i].T).view("<u4").ravel().astype(np.int64) for i in range(width)]
-    return [np.cumsum(columns[0]), *columns[1:]]
+    columns = [np.ascontiguousarray(planes[i].T).view("<u4").ravel() for i in range(width)]
+    return [np.cumsum(columns[0], dtype=np.uint32), *columns[1:]]
+
+
+def _small(ids: np.ndarray) -> np.ndarray:
+    return ids.astype(np.uint32)
+
+
+def _wide(ids: np.ndarray) -> np.ndarray:
+    return ids.astype(np.int64)
 
 
 def _by_unit(units: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    order = np.argsort(units, kind="stable")
+    # A radix sort, of numbers with few bits.
+    order = np.argsort(units.astype(np.uint16 if units.max(initial=0) < 1 << 16 else np.uint32), kind="stable")
     for part in np.split(order, np.flatnonzero(np.diff(units[order])) + 1):
         if len(part):
             yield int(units[part[0]]), part
@@ -393,48 +544,41 @@ NGRAMS = "unit int, n int, data binary"
 def _counted(texts: DataFrame, vocabulary: Vocabulary, width: int) -> DataFrame:
     """``NGRAMS``: all n-grams of ``width`` words by the unit that holds them, middle (or first) word first, with counts.
 
-    They are counted per task before the shuffle, so no n-gram, however common, is there more than once per task and flush.
+    They are counted before the shuffle, so no n-gram, however common, is there more than once per group of documents.
     """
 
-    def keys(tokens: list[list[bytes]]) -> list[np.ndarray]:
-        ids, _, begins, _ = _located(tokens, vocabulary)
-        at = _trigrams(ids, begins)
-        if width == 2:
-            return [ids[at - 1], ids[at]]
-        first = _first_words(ids, at, begins)
-        kept = first != NO_WORD
-        at = at[kept]
-        return [ids[at - 1], first[kept], ids[at]]
-
-    def flushed(held: list[list[np.ndarray]]) -> Iterator[pa.RecordBatch]:
-        columns, counts = _distinct([np.concatenate(c) for c in zip(*held)], None, vocabulary.words)
-        units = vocabulary.home(columns[0]) if width == 2 else vocabulary.units_of(columns[0], columns[1])
-        rows = [(unit, len(part), _squeezed([*(c[part] for c in columns), counts[part]])) for unit, part in _by_unit(units)]
-        if rows:
+    def count(batches):
+        for _, hashes, lengths in _grouped(batches):
+            found = Located.of(hashes, lengths, vocabulary)
+            at = found.bigrams()
+            if width == 2:
+                columns = [found.rank[at - 1], found.rank[at]]
+            else:
+                first = found.first_words(at)
+                at, first = at[first >= 0], first[first >= 0]
+                columns = [found.rank[at - 1], first, found.rank[at]]
+            if not len(at):
+                continue
+            columns, counts = _counted_once(columns, len(found.ids))
+            units = vocabulary.unit_at(found.stretch[columns[0]]) if width == 2 else found.units(vocabulary, *columns[:2])
+            ids = found.ids.astype(np.uint32)
+            rows = [
+                (unit, len(part), _squeezed([*(ids[c[part]] for c in columns), counts[part].astype(np.uint32)]))
+                for unit, part in _by_unit(units)
+            ]
             unit, n, data = zip(*rows)
             yield pa.RecordBatch.from_arrays([pa.array(unit, pa.int32()), pa.array(n, pa.int32()), pa.array(data)], ["unit", "n", "data"])
 
-    def count(batches):
-        held, n = [], 0
-        for _, tokens in _grouped(batches):
-            held.append(keys(tokens))
-            n += len(held[-1][0])
-            if n >= FLUSH_NGRAMS:
-                yield from flushed(held)
-                held, n = [], 0
-        if n:
-            yield from flushed(held)
-
     return texts.mapInArrow(count, NGRAMS)
 
 
-def _together(table: pa.Table, width: int, most: int) -> tuple[list[np.ndarray], np.ndarray]:
+def _together(table: pa.Table, width: int) -> tuple[list[np.ndarray], np.ndarray]:
     """All n-grams of a unit once, in order, with their counts."""
     parts = [_spread_out(d.as_py(), n.as_py(), width + 1) for n, d in zip(table.column("n"), table.column("data"))]
     if not parts:
-        return [np.zeros(0, np.int64)] * width, np.zeros(0, np.int64)
+        return [np.zeros(0, np.uint32)] * width, np.zeros(0, np.int64)
     *columns, counts = (np.concatenate(c) for c in zip(*parts))
-    return _distinct(columns, counts, most)
+    return _distinct(columns, counts.astype(np.int64))
 
 
 # ---- levels two and three
@@ -463,7 +607,7 @@ class Successors:
 
     @classmethod
     def counted(cls, vocabulary: Vocabulary, context: np.ndarray, word: np.ndarray, n: np.ndarray) -> Successors:
-        first, last = int(context[0]), int(context[-1])
+        context, first, last = _wide(context), int(context[0]), int(context[-1])
         local, width = context - first, last - first + 1
         share = (n - DISCOUNT) / np.bincount(local, n, width)[local]
         left = 1.0 - np.bincount(local, share, width)
@@ -482,20 +626,36 @@ class Successors:
         )
 
     def block(self) -> bytes:
-        return packed([np.array([self.first, self.last, self.words]), *self.pointers.arrays(), *self.successors.arrays(), self.backoff, self.codes])
+        parts = [x for e in (self.pointers, self.successors) for x in e.bare_arrays()]
+        return packed([np.array([self.first, self.last, self.words]), *parts, self.backoff, self.codes])
 
     @classmethod
     def of_block(cls, data: bytes) -> Successors:
         head, *a = unpacked(np.frombuffer(data, np.uint8))
-        return cls(*(int(x) for x in head), EliasFano.from_arrays(a[:5]), EliasFano.from_arrays(a[5:10]), *a[10:])
+        return cls(*(int(x) for x in head), *(EliasFano.from_bare_arrays(a[i : i + 3]) for i in (0, 3)), *a[6:])
+
+    @cached_property
+    def _decoded(self) -> tuple[np.ndarray, np.ndarray]:
+        # Asked for about as many n-grams as there are in a unit, it is quicker to read a sequence through once.
+        return self.pointers.decoded().astype(np.int64), self.successors.decoded()
 
     def find(self, context: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Of each (context, word): the rank among the context's successors (-1: absent), the code of its log10 p, and the
         code of the context's backoff weight."""
-        local = context - self.first
-        begin, end = (self.pointers.access(x).astype(np.int64) for x in (local, local + 1))
-        found = self.successors.find(local.astype(np.uint64) * np.uint64(self.words) + word.astype(np.uint64), begin, end)
-        return np.where(found >= 0, found - begin, -1), self.codes[np.maximum(found, 0)], self.backoff[local]
+        pointers, successors = self._decoded
+        local = _wide(context) - self.first
+        placed = local.astype(np.uint64) * np.uint64(self.words) + word.astype(np.uint64)
+        at, there = _successor(successors, placed)
+        return np.where(there, at - pointers[local], -1), self.codes[at], self.backoff[local]
+
+
+def _successor(values: np.ndarray, asked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The place of the first of ``values`` that is not below each number asked for (the last, if all are), and whether it
+    is that number."""
+    if not len(values):
+        return np.zeros(len(asked), np.int64), np.zeros(len(asked), bool)
+    at = np.minimum(np.searchsorted(values, asked), len(values) - 1)
+    return at, values[at] == asked
 
 
 @dataclass(frozen=True)
@@ -525,7 +685,7 @@ class Thirds:
         tops = np.cumsum(rank[ends] + 1) if len(ends) else np.zeros(0, np.int64)
         ranks = rank + np.repeat(tops - rank[ends] - 1, each)
         universe = int(tops[-1]) + 1 if len(tops) else 1
-        placed = (middle[begins] - two.first).astype(np.uint64) * np.uint64(two.words) + first[begins].astype(np.uint64)
+        placed = (_wide(middle[begins]) - two.first).astype(np.uint64) * np.uint64(two.words) + first[begins].astype(np.uint64)
         return cls(
             two.first,
             two.words,
@@ -539,29 +699,40 @@ class Thirds:
 
     def block(self) -> bytes:
         head = np.array([self.first, self.words, self.universe])
-        parts = [x for e in (self.contexts, self.pointers, self.ranks) for x in e.arrays()]
+        parts = [x for e in (self.contexts, self.pointers, self.ranks) for x in e.bare_arrays()]
         return packed([head, *parts, self.backoff, self.codes])
 
     @classmethod
     def of_block(cls, data: bytes) -> Thirds:
         (first, words, universe), *a = unpacked(np.frombuffer(data, np.uint8))
-        sequences = [EliasFano.from_arrays(a[i : i + 5]) for i in (0, 5, 10)]
-        return cls(int(first), int(words), *sequences, int(universe), *a[15:])
+        sequences = [EliasFano.from_bare_arrays(a[i : i + 3]) for i in (0, 3, 6)]
+        return cls(int(first), int(words), *sequences, int(universe), *a[9:])
+
+    @cached_property
+    def _decoded(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        return self.contexts.decoded(), self.pointers.decoded().astype(np.int64), self.ranks.decoded()
 
     def find(self, middle: np.ndarray, first: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Of each trigram, its last word as a rank: whether the bigram before it has been seen as a context, the code of the
         trigram's log10 p (or -1), and the code of the context's backoff weight."""
         n, asked = len(middle), np.flatnonzero(first != NO_WORD)
         seen, code, weight = np.zeros(n, bool), np.full(n, -1, np.int64), np.zeros(n, np.uint8)
-        placed = (middle[asked] - self.first).astype(np.uint64) * np.uint64(self.words) + first[asked].astype(np.uint64)
-        context = self.contexts.find(placed)
-        asked, context = asked[context >= 0], context[context >= 0]
+        if not len(self.codes) or not len(asked):
+            return seen, code, weight
+        contexts, pointers, ranks = self._decoded
+        placed = (_wide(middle[asked]) - self.first).astype(np.uint64) * np.uint64(self.words) + first[asked].astype(np.uint64)
+        # In order of their contexts, of which each is looked up once.
+        begins = _runs([placed])
+        each = np.diff(begins, append=len(placed))
+        context, there = (np.repeat(x, each) for x in _successor(contexts, placed[begins]))
+        asked, context = asked[there], context[there]
         seen[asked], weight[asked] = True, self.backoff[context]
         asked, context = asked[rank[asked] >= 0], context[rank[asked] >= 0]
-        begin, end = (self.pointers.access(x).astype(np.int64) for x in (context, context + 1))
-        base = np.where(begin > 0, self.ranks.access(np.maximum(begin - 1, 0)).astype(np.int64) + 1, 0) if len(begin) else begin
-        found = self.ranks.find(np.minimum(base + rank[asked], self.universe - 1), begin, end)
-        code[asked[found >= 0]] = self.codes[found[found >= 0]]
+        begin, end = pointers[context], pointers[context + 1]
+        base = np.where(begin > 0, _wide(ranks[np.maximum(begin - 1, 0)]) + 1, 0)
+        at, there = _successor(ranks, (base + rank[asked]).astype(np.uint64))
+        there &= at < end
+        code[asked[there]] = self.codes[at[there]]
         return seen, code, weight
 
 
@@ -575,11 +746,11 @@ def _level_two(texts: DataFrame, vocabulary: Vocabulary) -> DataFrame:
 
     def level(table: pa.Table) -> pa.Table:
         unit = table.column("unit")[0].as_py()
-        (context, word), n = _together(table, 2, vocabulary.words)
+        (context, word), n = _together(table, 2)
         rows = [(unit, Successors.counted(vocabulary, context, word, n).block())]
         last = context[-1:]
         begin, count = vocabulary.stretches(last)
-        reach = int(vocabulary._unit(begin + count)[0])
+        reach = int(vocabulary.unit_at(begin + count)[0])
         if reach > unit:
             alone = Successors.counted(vocabulary, *(c[context == last[0]] for c in (context, word, n))).block()
             rows += [(u, alone) for u in range(unit + 1, reach + 1)]
@@ -603,9 +774,10 @@ def train(docs: DataFrame, ws: Workspace) -> Trie:
     texts = doc_texts(docs).where(~held_out())
     vocabulary = count_words(texts, ws)
     two = settled(_level_two(texts, vocabulary), ws, "successors")
+    release(ws.spark)
 
     def level(left: pa.Table, right: pa.Table) -> pa.Table:
-        (middle, first, word), n = _together(left, 3, vocabulary.words)
+        (middle, first, word), n = _together(left, 3)
         rows = []
         for unit, block in zip(right.column("unit").to_pylist(), right.column("two").to_pylist()):
             stretch = Successors.of_block(block)
@@ -619,6 +791,9 @@ def train(docs: DataFrame, ws: Workspace) -> Trie:
     counted = _counted(texts, vocabulary, 3)
     levels = counted.groupBy("unit").cogroup(two.groupBy("unit")).applyInArrow(level, LEVELS)
     levels = settled(levels, ws, "levels")
+    del counted, two
+    delete_folder(ws.spark, ws.path("successors"))
+    release(ws.spark)
     # A row per unit, of which there are as many as shuffle partitions.
     held = {r["unit"]: r["n"] for r in levels.groupBy("unit").agg(F.sum("tokens").alias("n")).collect()}
     fair = max(1.0, vocabulary.tokens / vocabulary.buckets)
@@ -641,13 +816,12 @@ def _asked(docs: DataFrame, trie: Trie) -> DataFrame:
     empty = {"n": 0, "data": b""}
 
     def ask(batches):
-        for number, (doc_ids, tokens) in enumerate(_grouped(batches, GROUP_ASKED)):
+        for number, (doc_ids, hashes, lengths) in enumerate(_grouped(batches)):
             task = TaskContext.get().partitionId()
             part, turn = (task << 32) | number, task + 7919 * number
-            ids, counts, begins, lengths = _located(tokens, vocabulary)
+            found = Located.of(hashes, lengths, vocabulary)
+            counts, begins, at = found.token_counts(), found.begins, found.bigrams()
             base = vocabulary.log_p(counts)
-            at = _trigrams(ids, begins)
-            doc = np.repeat(np.arange(len(lengths)), lengths)
             alone = base.copy()
             alone[at] = 0.0
             known = pa.array(doc_ids, pa.int64())
@@ -660,14 +834,11 @@ def _asked(docs: DataFrame, trie: Trie) -> DataFrame:
                 np.add.reduceat(alone, begins),
             ]
             rows = [{"unit": turn % vocabulary.buckets, "copy": 0, "part": part, **empty, "docs": packed(own)}]
-            columns = [ids[at - 1], _first_words(ids, at, begins), ids[at], doc[at]]
-            most = max(vocabulary.words, len(lengths))
-            columns[1] = np.where(columns[1] == NO_WORD, most, columns[1])
-            columns, times = _distinct(columns, None, most + 1)
-            columns[1] = np.where(columns[1] == most, NO_WORD, columns[1])
-            units = vocabulary.units_of(columns[0], columns[1])
-            for unit, some in _by_unit(units):
-                data = _squeezed([*(c[some] for c in columns), times[some]])
+            middle, first, word = found.rank[at - 1], found.first_words(at), found.rank[at]
+            doc = np.repeat(np.arange(len(lengths), dtype=np.uint32), lengths)[at]
+            ids = np.append(found.ids, NO_WORD).astype(np.uint32)
+            for unit, some in _by_unit(found.units(vocabulary, middle, first)):
+                data = _squeezed([doc[some], ids[middle[some]], ids[first[some]], ids[word[some]]])
                 rows.append({"unit": unit, "copy": turn % int(copies[unit]), "part": part, "n": len(some), "data": data, "docs": None})
             yield pa.RecordBatch.from_pylist(rows, ASKED_SCHEMA)
 
@@ -680,12 +851,23 @@ ASKED_SCHEMA = pa.schema(
 ANSWERED_SCHEMA = pa.schema([("part", pa.int64()), ("docs", pa.binary()), ("at", pa.binary()), ("sums", pa.binary())])
 
 
+def _numbered(columns: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray]:
+    """The distinct rows in order, and the number among them of each row."""
+    order = _in_order(columns)
+    columns = [c[order] for c in columns]
+    begins = _runs(columns)
+    place = np.empty(len(order), np.int64)
+    place[order] = np.repeat(np.arange(len(begins)), np.diff(begins, append=len(order)))
+    return [c[begins] for c in columns], place
+
+
 def _log_p(vocabulary: Vocabulary, two: Successors, three: Thirds, middle: np.ndarray, first: np.ndarray, word: np.ndarray) -> np.ndarray:
-    """log10 p of each word after its two words, or after the middle one alone."""
-    rank, code, weight = two.find(middle, word)
-    base = vocabulary.log_p(vocabulary.counts_of(word))
-    bigram = np.where(rank >= 0, log_of(code), base + log_of(weight))
-    seen, code, weight = three.find(middle, first, rank)
+    """log10 p of each word after its two words, or after the middle one alone; bigrams are looked up once."""
+    (before, after), place = _numbered([middle, word])
+    rank, code, weight = two.find(before, after)
+    base = vocabulary.log_p(vocabulary.counts_of(after))
+    bigram = np.where(rank >= 0, log_of(code), base + log_of(weight))[place]
+    seen, code, weight = three.find(middle, first, rank[place])
     return np.where(code >= 0, log_of(code), np.where(seen, bigram + log_of(weight), bigram))
 
 
@@ -698,21 +880,23 @@ def scores(docs: DataFrame, trie: Trie) -> DataFrame:
             (Successors.of_block(two.as_py()), Thirds.of_block(three.as_py()))
             for two, three in zip(right.column("two"), right.column("three"))
         ]
-        out = []
-        for i in range(left.num_rows):
-            row = {name: left.column(name)[i].as_py() for name in ("part", "n", "data", "docs")}
-            if row["docs"] is not None:
-                out.append({"part": row["part"], "docs": row["docs"], "at": None, "sums": None})
-                continue
-            middle, first, word, doc, times = _spread_out(row["data"], row["n"], 5)
-            found = np.zeros(len(middle))
+        asking = [i for i, d in enumerate(left.column("docs")) if not d.is_valid]
+        parts = left.column("part").to_numpy()
+        out = [{"part": p, "docs": d.as_py(), "at": None, "sums": None} for p, d in zip(parts, left.column("docs")) if d.is_valid]
+        sizes = [left.column("n")[i].as_py() for i in asking]
+        each = [_spread_out(left.column("data")[i].as_py(), n, 4) for i, n in zip(asking, sizes)]
+        if each:
+            grams, place = _numbered([np.concatenate([e[k] for e in each]) for k in (1, 2, 3)])
+            found = np.zeros(len(grams[0]))
             for two, three in shelves:
-                here = np.flatnonzero((middle >= two.first) & (middle <= two.last))
+                here = np.flatnonzero((grams[0] >= two.first) & (grams[0] <= two.last))
                 if len(here):
-                    found[here] = _log_p(vocabulary, two, three, middle[here], first[here], word[here]) * times[here]
-            at, place = np.unique(doc, return_inverse=True)
-            sums = np.bincount(place, found)
-            out.append({"part": row["part"], "docs": None, "at": at.astype("<u4").tobytes(), "sums": sums.tobytes()})
+                    found[here] = _log_p(vocabulary, two, three, *(g[here] for g in grams))
+            for i, e, where in zip(asking, each, np.split(place, np.cumsum(sizes)[:-1])):
+                # A group's n-grams come in the order of its documents.
+                begins = _runs([e[0]])
+                at, sums = e[0][begins], np.add.reduceat(found[where], begins)
+                out.append({"part": parts[i], "docs": None, "at": at.astype("<u4").tobytes(), "sums": sums.tobytes()})
         return pa.Table.from_pylist(out, ANSWERED_SCHEMA)
 
     def together(table: pa.Table) -> pa.Table:
