@@ -509,17 +509,26 @@ def _distinct(columns: list[np.ndarray], counts: np.ndarray | None = None) -> tu
 
 
 def _squeezed(columns: list[np.ndarray]) -> bytes:
-    """Columns of 32-bit numbers, by planes of bytes, the first one (in order) as differences."""
-    first, *rest = columns
-    planes = [np.diff(first, prepend=first.dtype.type(0)), *rest]
+    """Columns of 32-bit numbers, rows in order, by planes of bytes: of the first one the differences, of the second one those
+    within a run of the first."""
+    first, second, *rest = (c.astype(np.uint32) for c in columns)
+    steps = np.diff(second, prepend=np.uint32(0))
+    begins = _runs([first])
+    steps[begins] = second[begins]
+    planes = [np.diff(first, prepend=np.uint32(0)), steps, *rest]
     data = b"".join(np.ascontiguousarray(c.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes() for c in planes)
     return zstandard.ZstdCompressor(level=1).compress(data)
 
 
 def _spread_out(data: bytes, n: int, width: int) -> list[np.ndarray]:
     planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(width, 4, n)
-    columns = [np.ascontiguousarray(planes[i].T).view("<u4").ravel() for i in range(width)]
-    return [np.cumsum(columns[0], dtype=np.uint32), *columns[1:]]
+    steps, inner, *rest = (np.ascontiguousarray(planes[i].T).view("<u4").ravel() for i in range(width))
+    first = np.cumsum(steps, dtype=np.uint32)
+    begins = _runs([first])
+    # Sums from the beginning of all, less what they were before each run began; modulo 2^32, as the steps are.
+    sums = np.cumsum(inner, dtype=np.uint32)
+    before = np.repeat(sums[begins] - inner[begins], np.diff(begins, append=n))
+    return [first, sums - before, *rest]
 
 
 def _small(ids: np.ndarray) -> np.ndarray:
@@ -627,11 +636,11 @@ class Successors:
 
     def block(self) -> bytes:
         parts = [x for e in (self.pointers, self.successors) for x in e.bare_arrays()]
-        return packed([np.array([self.first, self.last, self.words]), *parts, self.backoff, self.codes])
+        return _block([np.array([self.first, self.last, self.words]), *parts, self.backoff, self.codes])
 
     @classmethod
     def of_block(cls, data: bytes) -> Successors:
-        head, *a = unpacked(np.frombuffer(data, np.uint8))
+        head, *a = _of_block(data)
         return cls(*(int(x) for x in head), *(EliasFano.from_bare_arrays(a[i : i + 3]) for i in (0, 3)), *a[6:])
 
     @cached_property
@@ -649,6 +658,14 @@ class Successors:
         return np.where(there, at - pointers[local], -1), self.codes[at], self.backoff[local]
 
 
+def _block(arrays: list[np.ndarray]) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(packed(arrays))
+
+
+def _of_block(data: bytes) -> list[np.ndarray]:
+    return unpacked(np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8))
+
+
 def _successor(values: np.ndarray, asked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The place of the first of ``values`` that is not below each number asked for (the last, if all are), and whether it
     is that number."""
@@ -700,11 +717,11 @@ class Thirds:
     def block(self) -> bytes:
         head = np.array([self.first, self.words, self.universe])
         parts = [x for e in (self.contexts, self.pointers, self.ranks) for x in e.bare_arrays()]
-        return packed([head, *parts, self.backoff, self.codes])
+        return _block([head, *parts, self.backoff, self.codes])
 
     @classmethod
     def of_block(cls, data: bytes) -> Thirds:
-        (first, words, universe), *a = unpacked(np.frombuffer(data, np.uint8))
+        (first, words, universe), *a = _of_block(data)
         sequences = [EliasFano.from_bare_arrays(a[i : i + 3]) for i in (0, 3, 6)]
         return cls(int(first), int(words), *sequences, int(universe), *a[9:])
 
@@ -806,7 +823,7 @@ def train(docs: DataFrame, ws: Workspace) -> Trie:
 
 SCORES = "doc_id long, n_tokens long, n_known long, base_score double, score double"
 ASKED = "unit int, copy int, part long, n int, data binary, docs binary"
-ANSWERED = "part long, docs binary, at binary, sums binary"
+ANSWERED = "part long, docs binary, sums binary"
 
 
 def _asked(docs: DataFrame, trie: Trie) -> DataFrame:
@@ -834,11 +851,14 @@ def _asked(docs: DataFrame, trie: Trie) -> DataFrame:
                 np.add.reduceat(alone, begins),
             ]
             rows = [{"unit": turn % vocabulary.buckets, "copy": 0, "part": part, **empty, "docs": packed(own)}]
-            middle, first, word = found.rank[at - 1], found.first_words(at), found.rank[at]
-            doc = np.repeat(np.arange(len(lengths), dtype=np.uint32), lengths)[at]
-            ids = np.append(found.ids, NO_WORD).astype(np.uint32)
+            doc = np.repeat(np.arange(len(lengths)), lengths)[at]
+            first = found.first_words(at)
+            first = np.where(first < 0, len(found.ids), first)
+            # Once per document, however often it is there.
+            (middle, first, word, doc), times = _distinct([found.rank[at - 1], first, found.rank[at], doc])
+            ids = np.append(found.ids, NO_WORD)
             for unit, some in _by_unit(found.units(vocabulary, middle, first)):
-                data = _squeezed([doc[some], ids[middle[some]], ids[first[some]], ids[word[some]]])
+                data = _squeezed([ids[middle[some]], ids[first[some]], ids[word[some]], doc[some], times[some]])
                 rows.append({"unit": unit, "copy": turn % int(copies[unit]), "part": part, "n": len(some), "data": data, "docs": None})
             yield pa.RecordBatch.from_pylist(rows, ASKED_SCHEMA)
 
@@ -848,7 +868,7 @@ def _asked(docs: DataFrame, trie: Trie) -> DataFrame:
 ASKED_SCHEMA = pa.schema(
     [("unit", pa.int32()), ("copy", pa.int32()), ("part", pa.int64()), ("n", pa.int32()), ("data", pa.binary()), ("docs", pa.binary())]
 )
-ANSWERED_SCHEMA = pa.schema([("part", pa.int64()), ("docs", pa.binary()), ("at", pa.binary()), ("sums", pa.binary())])
+ANSWERED_SCHEMA = pa.schema([("part", pa.int64()), ("docs", pa.binary()), ("sums", pa.binary())])
 
 
 def _numbered(columns: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray]:
@@ -882,30 +902,30 @@ def scores(docs: DataFrame, trie: Trie) -> DataFrame:
         ]
         asking = [i for i, d in enumerate(left.column("docs")) if not d.is_valid]
         parts = left.column("part").to_numpy()
-        out = [{"part": p, "docs": d.as_py(), "at": None, "sums": None} for p, d in zip(parts, left.column("docs")) if d.is_valid]
+        out = [{"part": p, "docs": d.as_py(), "sums": None} for p, d in zip(parts, left.column("docs")) if d.is_valid]
         sizes = [left.column("n")[i].as_py() for i in asking]
-        each = [_spread_out(left.column("data")[i].as_py(), n, 4) for i, n in zip(asking, sizes)]
+        each = [_spread_out(left.column("data")[i].as_py(), n, 5) for i, n in zip(asking, sizes)]
         if each:
-            grams, place = _numbered([np.concatenate([e[k] for e in each]) for k in (1, 2, 3)])
+            grams, place = _numbered([np.concatenate([e[k] for e in each]) for k in range(3)])
             found = np.zeros(len(grams[0]))
             for two, three in shelves:
                 here = np.flatnonzero((grams[0] >= two.first) & (grams[0] <= two.last))
                 if len(here):
                     found[here] = _log_p(vocabulary, two, three, *(g[here] for g in grams))
             for i, e, where in zip(asking, each, np.split(place, np.cumsum(sizes)[:-1])):
-                # A group's n-grams come in the order of its documents.
-                begins = _runs([e[0]])
-                at, sums = e[0][begins], np.add.reduceat(found[where], begins)
-                out.append({"part": parts[i], "docs": None, "at": at.astype("<u4").tobytes(), "sums": sums.tobytes()})
+                sums = np.bincount(e[3], found[where] * e[4])
+                out.append({"part": parts[i], "docs": None, "sums": sums.tobytes()})
         return pa.Table.from_pylist(out, ANSWERED_SCHEMA)
 
     def together(table: pa.Table) -> pa.Table:
         [own] = [d.as_py() for d in table.column("docs") if d.is_valid]
         ids, missing, lengths, known, base, score = unpacked(np.frombuffer(own, np.uint8))
         score = score.copy()
-        for at, sums in zip(table.column("at"), table.column("sums")):
-            if at.is_valid:
-                score[np.frombuffer(at.as_py(), "<u4")] += np.frombuffer(sums.as_py(), np.float64)
+        for sums in table.column("sums"):
+            if sums.is_valid:
+                # Of the documents up to the last one that asked.
+                each = np.frombuffer(sums.as_py(), np.float64)
+                score[: len(each)] += each
         doc_ids = pa.array(ids, mask=missing.astype(bool))
         return pa.Table.from_arrays(
             [doc_ids, *(pa.array(x) for x in (lengths, known, base, score))], ["doc_id", "n_tokens", "n_known", "base_score", "score"]
