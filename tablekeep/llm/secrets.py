@@ -11,6 +11,8 @@ columns as their docstrings say.
 from __future__ import annotations
 
 import hashlib
+import re
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -26,12 +28,16 @@ from tablekeep.session import col
 
 @dataclass(frozen=True)
 class Rule:
-    """A kind of secret: ``head`` then ``tail``; matches with a tail under ``least`` bytes are dropped after the fact."""
+    """A kind of secret: ``head`` then ``tail``; matches with a tail under ``least`` bytes are dropped after the fact.
+
+    ``kept`` tells how much of a match is a secret (0: nothing), where that is more than the pattern can say.
+    """
 
     kind: str
     head: str
     tail: str
     least: int = 0
+    kept: Callable[[bytes], int] | None = None
 
 
 # The base kinds, in the order in which spans at one place are listed. Least lengths are applied after the fact: a short
@@ -42,14 +48,39 @@ ACCESS = Rule("access", "AKIA", "[A-Z0-9]+", 16)
 HEX = Rule("hex", "", "[0-9a-f]{24,}")
 BASE = (ASSIGN, ACCESS, HEX)
 
-# Spans that this method adds to the base ones. A private key goes to its END line, whatever stands between (short of five
-# dashes); without an END line, on over all that bodies are made of: base64, header lines, line ends in escaped form. As
-# such a match may end in four dashes of the next header, one of them is enough for the next match.
+# Spans that this method adds to the base ones. A private key goes to its END line, or, without one, on over all that
+# bodies are made of: base64, header lines, quote marks, line ends in escaped form too. As such a match may end in four
+# dashes of the next header, one of them is enough for the next match.
 PRIVATE = "BEGIN ([A-Z]+ ){0,3}PRIVATE KEY-----"
+
+# What a body is, so that texts which only speak of these lines are left alone: header lines and runs of base64 between
+# quote marks, blanks and line ends, one run being of a length that no word has. Without an END line only long runs, and
+# what may be the last line after them, count.
+_GAP = rb"(?:[ \t\r\n\"'>,]|\\[nrt])"
+_FIELD = rb"(?:[A-Z][A-Za-z0-9-]++: ?[A-Za-z0-9,.+/=-]++)"
+_LONG = rb"[A-Za-z0-9+/]{40,}+"
+_HEADER = rb"-{1,5}BEGIN (?:[A-Z]+ ){0,3}PRIVATE KEY-----"
+_BODY = re.compile(_HEADER + rb"(?:" + _GAP + rb"++|" + _FIELD + rb"|[A-Za-z0-9+/]++={0,2}+)*+-----END (?:[A-Z]+ ){0,3}PRIVATE KEY-----")
+_RUN = re.compile(_LONG)
+_OPEN = re.compile(
+    _HEADER + _GAP + rb"*+(?:" + _FIELD + _GAP + rb"++)*+" + _LONG + rb"(?:" + _GAP + rb"++" + _LONG + rb")*+"
+    rb"(?:={1,2}|" + _GAP + rb"{1,8}(?:[A-Za-z0-9+/]{12,39}={0,2}|[A-Za-z0-9+/]{1,11}={1,2}))?+" + _GAP + rb"*+-{0,4}"
+)
+
+
+def _whole_key(match: bytes) -> int:
+    return len(match) if _BODY.fullmatch(match) and _RUN.search(match) else 0
+
+
+def _open_key(match: bytes) -> int:
+    found = _OPEN.match(match)
+    return found.end() if found else 0
+
+
 ADDED = (
     Rule("github", "gh[opsu]_", "[A-Za-z0-9]+", 36),
-    Rule("private_key", "-----" + PRIVATE, "(-{0,4}[\x00-,.-\xff])*-----END ([A-Z]+ ){0,3}PRIVATE KEY-----"),
-    Rule("private_key", "-{1,5}" + PRIVATE, "(-{0,4}[A-Za-z0-9+/=:,\\\\ \t\r\n])*-{0,4}"),
+    Rule("private_key", "-----" + PRIVATE, "(-{0,4}[\x00-,.-\xff])*-----END ([A-Z]+ ){0,3}PRIVATE KEY-----", kept=_whole_key),
+    Rule("private_key", "-{1,5}" + PRIVATE, "(-{0,4}[A-Za-z0-9+/=:,.\"'>\\\\ \t\r\n])*-{0,4}", kept=_open_key),
 )
 RULES = BASE + ADDED
 
@@ -90,6 +121,11 @@ class Scanner:
                 if start is None:
                     continue
                 covered = stop
+                kept = self.rules[rule].kept
+                if kept is not None:
+                    stop = start + kept(data[start:stop])
+                    if stop == start:
+                        continue
                 if self.heads[rule] is None or stop - self._head_end(rule, data, start) >= self.rules[rule].least:
                     found.append((start, stop, rule))
         return self._joined(sorted(found, key=lambda s: (s[0], s[2])))
