@@ -29,6 +29,20 @@ def settled(df: DataFrame, ws: Workspace, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def free_name(df: DataFrame, wanted: str) -> str:
+    """``wanted``, or it with a number, so that no column of ``df`` has the name in whatever case."""
+    taken, name, n = {c.lower() for c in df.columns}, wanted, 0
+    while name.lower() in taken:
+        n += 1
+        name = f"{wanted}_{n}"
+    return name
+
+
+def row_key(doc_id: Column, digest: Column) -> Column:
+    """One text for a document's id (which may be null) and its text's digest, to join by plain equality."""
+    return F.concat(F.coalesce(doc_id.cast("string"), F.lit("")), F.lit("/"), digest)
+
+
 def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(col(name), F.lit(""))
 

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tablekeep.llm.common import LOWER, UPPER, doc_texts, settled, text_or_empty
+from tablekeep.llm.common import LOWER, UPPER, doc_texts, free_name, row_key, settled, text_or_empty
 from tablekeep.operators.matching import fits_broadcast
 from tablekeep.session import Workspace, col
 
@@ -51,16 +51,18 @@ def item_windows(benchmark: DataFrame) -> tuple[DataFrame, DataFrame]:
     return items, windows.groupBy("window").agg(F.collect_set("class").alias("classes"))
 
 
-def _positions(words: DataFrame, keep: list[str], sizes: list[int], closing: str) -> DataFrame:
+def _positions(words: DataFrame, keep: list[str], sizes: list[int], closing: str, closed: bool = True) -> DataFrame:
     """A row per word: its position ``at``, and the hash ``token`` of each shingle that begins there.
 
-    ``closing`` is put after the last word, so there is one row for an empty document too.
+    ``closing`` is put after the last word, so there is one row for an empty document too, unless not ``closed``.
     """
     after = [F.lit(closing)] * SHINGLE_WORDS
     padded = words.withColumn("__w", F.concat("words", F.array(*after)))
     shifted = [F.slice("__w", k + 1, F.size("words") + 1) for k in range(SHINGLE_WORDS)]
     at = padded.select(*keep, F.posexplode(F.arrays_zip(*(s.alias(f"w{k}") for k, s in enumerate(shifted)))).alias("at", "s"))
     parts = [F.col("s").getField(f"w{k}") for k in range(SHINGLE_WORDS)]
+    if not closed:
+        at = at.where(parts[0] != closing)
     hashes = [shingle_hash(size, parts) for size in sizes]
     first = F.when(parts[0] == closing, F.lit(0)).otherwise(1)
     if len(hashes) == 1:
@@ -119,13 +121,21 @@ def window_hits(docs: DataFrame, benchmark: DataFrame, ws: Workspace) -> tuple[D
         rows = _positions(worded, ["doc_id", "digest", "words"], sizes, "")
         met = rows.join(F.broadcast(wanted), (F.col("token") == F.col("t")) & _verified(begin, found))
         return met.select(*keep), items
-    # A large benchmark: shingles and prefixes are shuffled without the words; candidates go back to their documents.
-    rows = _positions(worded, ["doc_id", "digest"], sizes, "")
-    candidates = rows.join(wanted, F.col("token") == F.col("t")).select("doc_id", "digest", "at", "window", "classes", "place")
-    whole = worded.dropDuplicates(["doc_id", "digest"]).withColumnsRenamed({"doc_id": "d", "digest": "g"})
-    met = candidates.join(whole, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("digest") == F.col("g"))).where(found)
-    # Here a closing row stands for one document row, so copies of a row count as such.
-    return met.select(*keep), items
+    # A large benchmark: shingles and prefixes are shuffled without the words; candidates go back to their documents. The
+    # closing rows are no one's candidates: they are put beside the hits, a row per document row, and copies count as such.
+    rows = _positions(worded, ["doc_id", "digest"], sizes, "", closed=False)
+    candidates = rows.join(chosen, "token").select(row_key(F.col("doc_id"), F.col("digest")).alias("r"), "at", "window", "classes", "place")
+    whole = worded.withColumn("r", row_key(F.col("doc_id"), F.col("digest"))).dropDuplicates(["r"])
+    met = candidates.join(whole, "r").where(fits & (F.slice("words", F.greatest(begin, F.lit(0)) + 1, length) == F.col("window")))
+    nothing = worded.select(
+        "doc_id",
+        "digest",
+        F.size("words").alias("n_words"),
+        F.lit(None).cast("int").alias("begin"),
+        F.lit(None).cast("int").alias("length"),
+        F.lit(None).cast("array<string>").alias("classes"),
+    )
+    return met.select(*keep).union(nothing), items
 
 
 def _verified(begin: Column, found: Column) -> Column:
@@ -177,8 +187,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, ws: Workspace) -> DataF
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, ws: Workspace) -> DataFrame:
     """The documents, all columns, in which no window of the benchmark occurs."""
+    name = free_name(docs, "__row")
     bad = contamination(docs, benchmark, ws).where("contaminated")
-    bad = bad.select(F.col("doc_id").alias("__d"), F.col("digest").alias("__g")).distinct()
-    marked = docs.withColumn("__digest", F.md5(text_or_empty()))
-    same = F.col("doc_id").eqNullSafe(F.col("__d")) & (F.col("__digest") == F.col("__g"))
-    return marked.join(bad, same, "left_anti").drop("__digest")
+    bad = bad.select(row_key(F.col("doc_id"), F.col("digest")).alias(name)).distinct()
+    marked = docs.withColumn(name, row_key(col("doc_id"), F.md5(text_or_empty())))
+    return marked.join(bad, name, "left_anti").select(*map(col, docs.columns))

@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablekeep.llm.common import doc_texts, ranked
+from tablekeep.llm.common import doc_texts, free_name, ranked
 from tablekeep.session import col
 
 # Fixed values of the published method: the multiplier of its linear congruential generator, and 2 to the 31st.
@@ -50,8 +50,8 @@ def jump_shard(key: Column, shards: int) -> Column:
 
 
 def sharded(df: DataFrame, key: str, shards: int, name: str = "shard") -> DataFrame:
-    """Add each row's shard. One scan, no shuffle."""
-    return df.withColumn(name, jump_shard(col(key), shards))
+    """Add each row's shard as the last column, ``name`` (with a number, where there is such a column). One scan, no shuffle."""
+    return df.withColumn(free_name(df, name), jump_shard(col(key), shards))
 
 
 def shard_documents(docs: DataFrame, shards: int) -> DataFrame:
@@ -68,6 +68,7 @@ def shard_documents(docs: DataFrame, shards: int) -> DataFrame:
 
 
 def write_shards(docs: DataFrame, path: str, shards: int) -> None:
-    """Write all columns of the documents into one folder per shard (``shard=0`` and so on)."""
-    split = sharded(docs, "doc_id", shards).hint("rebalance", F.col("shard"))
-    split.write.mode("overwrite").partitionBy("shard").parquet(path)
+    """Write all columns of the documents into one folder per shard (``shard=0`` and so on, or as ``sharded`` names it)."""
+    split = sharded(docs, "doc_id", shards)
+    name = split.columns[-1]
+    split.hint("rebalance", col(name)).write.mode("overwrite").partitionBy(name).parquet(path)

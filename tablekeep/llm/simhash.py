@@ -10,7 +10,8 @@ key. More fingerprints get more blocks and longer keys; the result does not depe
 
 No bucket is compared all against all. First each member is tried against its bucket's two extreme fingerprints, which
 links dense groups through few edges; components of these are formed. Then only the members outside a bucket's largest
-component are tried against the members of other components.
+component are tried against members of other components, and only against those that the pivot table lets them meet: each
+bucket is cut by its distances to the pivot that spreads it most, into ranges a little wider than the radius.
 
 Defined cases: a null or empty text has fingerprint zero and links like any other; equal fingerprints are one node; a
 null ``doc_id`` takes part and never becomes a component's id unless its whole component is null; repeated rows are kept;
@@ -28,9 +29,9 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablekeep.llm.common import doc_texts, settled, text_or_empty
+from tablekeep.llm.common import doc_texts, free_name, row_key, settled, text_or_empty
 from tablekeep.llm.components import component_roots
-from tablekeep.session import Workspace
+from tablekeep.session import Workspace, col
 
 SHINGLE_WORDS = 4
 SEED = 42
@@ -91,10 +92,7 @@ def with_pivot_table(fps: DataFrame) -> DataFrame:
 def _near(a: str, b: str, radius: int) -> Column:
     """Pivot coordinates first, then the distance itself."""
     near = F.lit(True)
-    for i in range(PIVOTS):
-        one, other = (
-            F.shiftrightunsigned(F.col(f"{side}p{i // 8}"), 8 * (i % 8)).bitwiseAND(F.lit(255)) for side in (a, b)
-        )
+    for one, other in zip(_pivot_distances(a), _pivot_distances(b)):
         near &= F.abs(one - other) <= radius
     return near & (_distance(F.col(f"{a}fp"), F.col(f"{b}fp")) <= radius)
 
@@ -145,11 +143,8 @@ def near_roots(distinct: DataFrame, ws: Workspace, radius: int = RADIUS) -> Data
     largest = sizes.groupBy("k", "key").agg(
         F.max_by("root", F.struct("n", "root")).alias("largest"), F.count("*").alias("roots")
     )
-    outside = labelled.join(largest.where("roots > 1"), ["k", "key"]).where(F.col("root") != F.col("largest"))
-    outside = outside.drop("largest", "roots")
-    across = _renamed(outside, "a_").join(
-        _renamed(labelled, "b_", ("k", "key")), ["k", "key"]
-    ).where((F.col("a_root") != F.col("b_root")) & _near("a_", "b_", radius))
+    still_apart = settled(labelled.join(largest.where("roots > 1").drop("roots"), ["k", "key"]), ws, "apart")
+    across = pairs_across(still_apart, radius)
     links = across.select(F.col("a_root").alias("u"), F.col("b_root").alias("v"))
     second = component_roots(links, ws, "links").select(F.col("u").alias("root"), F.col("v").alias("top"))
 
@@ -157,6 +152,37 @@ def near_roots(distinct: DataFrame, ws: Workspace, radius: int = RADIUS) -> Data
     return roots.join(second, "root", "left").select("fp", F.coalesce("top", "root").alias("root"))
 
 
+def _pivot_distances(prefix: str = "") -> list[Column]:
+    return [
+        F.shiftrightunsigned(F.col(f"{prefix}p{i // 8}"), 8 * (i % 8)).bitwiseAND(F.lit(255)) for i in range(PIVOTS)
+    ]
+
+
+def met_by_pivot(members: DataFrame, radius: int) -> DataFrame:
+    """Pairs of a bucket's members (``a_...``, ``b_...``), one outside its largest component and one of another component,
+    whose distances to the bucket's pivot let them be within the radius.
+
+    Of each bucket that pivot is taken whose distances are spread most. They are cut into ranges of ``radius + 1``, so two
+    members within the radius are in the same range or in neighbouring ones: the pivot table decides who meets.
+    """
+    distances = _pivot_distances()
+    spread = F.array(*((F.max(d) - F.min(d)) for d in distances))
+    pivot = members.groupBy("k", "key").agg(spread.alias("s")).select("k", "key", F.array_position("s", F.array_max("s")).cast("int").alias("pivot"))
+    chosen = F.element_at(F.array(*distances), F.col("pivot"))
+    ranged = members.join(pivot, ["k", "key"]).withColumn("range", F.floor(chosen / F.lit(radius + 1)).cast("int")).drop("pivot")
+    outside = ranged.where(F.col("root") != F.col("largest")).withColumn(
+        "range", F.explode(F.array(*(F.col("range") + i for i in (-1, 0, 1))))
+    )
+    met = ("k", "key", "range")
+    pairs = _renamed(outside.drop("largest"), "a_", met).join(_renamed(ranged.drop("largest"), "b_", met), list(met))
+    return pairs.where(F.col("a_root") != F.col("b_root"))
+
+
+def pairs_across(members: DataFrame, radius: int) -> DataFrame:
+    """Of those pairs the ones that link."""
+    return met_by_pivot(members, radius).where(_near("a_", "b_", radius))
+
+
 def near_duplicates(docs: DataFrame, ws: Workspace, radius: int = RADIUS) -> DataFrame:
     """``doc_id, fp, component_id`` of every row: the smallest ``doc_id`` that links reach, the row itself included."""
     rows = settled(fingerprints(docs).drop("digest"), ws, "fingerprints")
@@ -181,7 +207,8 @@ def one_of_each(docs: DataFrame, ws: Workspace, radius: int = RADIUS) -> DataFra
     found = settled(fingerprints(docs), ws, "fingerprints")
     roots = settled(near_roots(found.select("fp").distinct(), ws, radius), ws, "roots")
     kept = found.join(roots, "fp").groupBy("root").agg(F.min(key).alias("kept"))
-    kept = kept.select(F.col("kept.doc_id").alias("__d"), F.col("kept.digest").alias("__g"))
-    marked = docs.withColumn("__digest", F.md5(text_or_empty()))
-    same = F.col("doc_id").eqNullSafe(F.col("__d")) & (F.col("__digest") == F.col("__g"))
-    return marked.join(kept, same, "left_semi").dropDuplicates(["doc_id", "__digest"]).drop("__digest")
+    name = free_name(docs, "__row")
+    kept = kept.select(row_key(F.col("kept.doc_id"), F.col("kept.digest")).alias(name))
+    marked = docs.withColumn(name, row_key(col("doc_id"), F.md5(text_or_empty())))
+    # Equal rows meet where the join has brought them: texts are moved once.
+    return marked.join(kept, name, "left_semi").dropDuplicates([name]).select(*map(col, docs.columns))
