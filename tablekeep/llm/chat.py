@@ -136,9 +136,8 @@ def format_conversations(conversations: DataFrame, tokenizer: str, ws: Workspace
     conversation_of = ends.join(leaves, "node").select("conv_id", "segment")
     on_path = turns.join(conversation_of, turns["conv_id"].eqNullSafe(conversation_of["conv_id"])).select("segment", "node", "depth")
     owners = on_path.groupBy("node").agg(F.min("segment").alias("segment"))
-    once = turns.groupBy("node").agg(
-        *(F.first(c).alias(c) for c in ("tree", "depth", "formatted", "ids", "n_tokens", "position_start", "loss_start", "loss_end"))
-    )
+    # All that follows is about numbers; texts and ids wait, once per node, to be joined at the end.
+    once = turns.groupBy("node").agg(*(F.first(c).alias(c) for c in ("tree", "depth", "n_tokens", "position_start")))
     nodes = settled(once.join(owners, "node"), ws, "owned")
 
     # Starts: tokens before a segment in all trees (sums per range of segments first), less those before its tree.
@@ -170,7 +169,8 @@ def format_conversations(conversations: DataFrame, tokenizer: str, ws: Workspace
     own = F.struct(F.col("segment_start").alias("start"), (F.col("start") + F.col("n_tokens")).alias("end"), F.col("segment"))
     attention = F.concat(F.coalesce("ancestors", F.array().cast("array<struct<start:bigint,end:bigint,segment:bigint>>")), F.array(own))
     attending = placed.join(ancestors, "segment", "left").withColumn("attention", attention)
-    nodes = attending.select(
+    written = turns.groupBy("node").agg(*(F.first(c).alias(c) for c in ("formatted", "ids", "loss_start", "loss_end")))
+    nodes = attending.join(written, "node").select(
         "tree", "segment", "node", "depth", "start", "n_tokens", "position_start", "ids", "formatted", "loss_start", "loss_end", "attention"
     )
     return ChatTrees(settled(nodes, ws, "nodes"), ends.select("conv_id", "tree", "node", "n_turns"))

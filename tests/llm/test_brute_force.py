@@ -11,6 +11,7 @@ import public_tokenizers
 import pyarrow as pa
 import pytest
 import xxhash
+import zstandard
 from tokenizers import Tokenizer
 
 from odd_rows import odd_docs, some_texts  # noqa: F401
@@ -291,6 +292,7 @@ def test_quality_rules(odd_docs):
         assert any(tuple(r[m] for m in rules.MEASURES) == brute_measures(t) for t in texts)
         assert r["base_failed"] == (r["n_words"] < 50 or 100 * r["n_repeat_words"] > 50 * r["n_words"])
         assert not (r["kept"] and r["base_failed"])
+        assert any(r["kept"] == brute_verdict(t) for t in texts if tuple(r[m] for m in rules.MEASURES) == brute_measures(t))
 
 
 def test_chunks_reach_the_end_of_a_text(spark):
@@ -311,6 +313,22 @@ def test_chunks_reach_the_end_of_a_text(spark):
     assert kept.count() == 0
 
 
+def brute_verdict(text):
+    """Kept or not, from the ratios of the whole text and of its chunks, one by one."""
+    n_words, _, _, _, again = brute_measures(text)
+    if n_words < 50 or 100 * again > 50 * n_words:
+        return False
+    data, squeeze = text.encode(), zstandard.ZstdCompressor(level=rules.LEVEL).compress
+    [band] = [b for b, above in zip(rules.BANDS, [*rules.BANDS[1:], None]) if b.least <= len(data) and (above is None or len(data) < above.least)]
+    if not band.low <= len(squeeze(data)) / len(data) <= band.high:
+        return False
+    chunks = [data[a : a + 4096] for a in range(0, len(data) - 4095, 4096)]
+    if len(data) > 4096 and len(data) % 4096:
+        chunks.append(data[-4096:])
+    bad = sum(not rules.CHUNK_LOW <= len(squeeze(c)) / 4096 <= rules.CHUNK_HIGH for c in chunks)
+    return bad <= rules.CHUNK_SHARE * len(chunks)
+
+
 def brute_measures(text):
     w = re.findall(r"[^\x20\x09-\x0D]+", text)
     windows = collections.Counter(tuple(w[i : i + 3]) for i in range(len(w) - 2))
@@ -337,6 +355,54 @@ def test_classifier_separates(spark, ws):
     assert right / len(rows) > 0.95 and all(0 <= r["score"] <= 1 for r in rows)
 
 
+def plain_risk(x, positive, w, prior):
+    """The parts of the unbiased risk, by the definition: a sum over rows at a time."""
+    loss = lambda z, y: math.log1p(math.exp(-y * z)) if y * z > -30 else -y * z
+    z = [float(sum(a * b for a, b in zip(row, w))) for row in x]
+    ones, rest = [v for v, p in zip(z, positive) if p], [v for v, p in zip(z, positive) if not p]
+    right = prior * sum(loss(v, 1) for v in ones) / len(ones)
+    wrong = sum(loss(v, -1) for v in rest) / len(rest) - prior * sum(loss(v, -1) for v in ones) / len(ones)
+    return right, wrong
+
+
+def pu_rows(n=200, width=5):
+    rng = np.random.default_rng(12)
+    good = rng.random(n) < 0.6
+    x = np.column_stack([np.ones(n), rng.normal(size=(n, width - 1)) + np.outer(good, [1.5, -1, 0, 0.5])])
+    return x, good & (rng.random(n) < 0.3), good
+
+
+def test_risk_gradient_and_hessian_of_the_classifier():
+    x, positive, _ = pu_rows()
+    w, prior, width, h = np.array([0.2, -0.4, 0.3, 0.1, 0.5]), 0.6, 5, 1e-5
+    each = prior / positive.sum(), 1 / (~positive).sum()
+    found = quality._sums(x, positive, w, *each)
+    assert np.allclose(found[-2:], plain_risk(x, positive, w, prior))
+    step = np.eye(width) * h
+    slope = [(sum(plain_risk(x, positive, w + e, prior)) - sum(plain_risk(x, positive, w - e, prior))) / (2 * h) for e in step]
+    assert np.allclose(found[:width], slope, atol=1e-6)
+    bend = [(quality._sums(x, positive, w + e, *each)[:width] - quality._sums(x, positive, w - e, *each)[:width]) / (2 * h) for e in step]
+    assert np.allclose(found[width:-2].reshape(width, width), bend, atol=1e-5)
+
+
+def test_the_classifier_finds_the_least_risk():
+    x, positive, good = pu_rows()
+    prior, ridge, slack = good.mean(), 0.05, 10.0
+    each = prior / positive.sum(), 1 / (~positive).sum()
+    w = quality.newton(lambda w: quality._sums(x, positive, w, *each), 5, ridge, slack)
+
+    def regularised(v):
+        return sum(plain_risk(x, positive, v, prior)) + ridge / 2 * float(v[1:] @ v[1:])
+
+    least = regularised(w)
+    assert plain_risk(x, positive, w, prior)[1] >= -slack
+    rng = np.random.default_rng(0)
+    for size in (0.02, 0.1, 0.5):
+        assert all(regularised(w + size * rng.normal(size=5)) > least - 1e-4 for _ in range(40))
+    # Good rows, labelled or not, come out above the others.
+    assert ((x @ w > 0) == good).mean() > 0.8
+
+
 def test_classifier_without_positives(spark, ws, odd_docs):
     labels = spark.createDataFrame([(1, 0), (None, 1)], "doc_id long, quality int")
     assert len(quality.scored(odd_docs, labels, ws).collect()) == odd_docs.count()
