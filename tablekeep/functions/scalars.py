@@ -21,7 +21,7 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
-from tablekeep.session import col, quote, text_literal
+from tablekeep.session import col, qualified, quote, text_literal
 
 # What is replaced in an identifier, and by what.
 UNSAFE = "[^a-zA-Z0-9]"
@@ -80,6 +80,19 @@ def register_type_label(spark: SparkSession, function: str, data_type: DataType)
     )
 
 
+def create_type_label(spark: SparkSession, function: str, data_type: DataType) -> None:
+    """The type label as a permanent SQL function of the catalog (``db.function``), which every session sees."""
+    held = text_literal(LABEL + java_class(data_type))
+    spark.sql(
+        f"CREATE OR REPLACE FUNCTION {qualified(function)}(x {data_type.simpleString()}) RETURNS STRING "
+        f"RETURN CASE WHEN x IS NULL THEN {text_literal(NULL_LABEL)} ELSE {held} END"
+    )
+
+
+def drop_function(spark: SparkSession, function: str) -> None:
+    spark.sql(f"DROP FUNCTION IF EXISTS {qualified(function)}")
+
+
 def register_class_function(spark: SparkSession, function: str, class_name: str) -> None:
     """Drop if present, then create a temporary function from a class on the class path (needs a Hive session)."""
     spark.sql(f"DROP TEMPORARY FUNCTION IF EXISTS {quote(function)}")

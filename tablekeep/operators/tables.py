@@ -5,13 +5,14 @@ from __future__ import annotations
 import json
 import logging
 import re
+import uuid
 from contextlib import contextmanager
 from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from tablekeep.functions.scalars import sanitize_identifier
 from tablekeep.operators.matching import fits_broadcast
@@ -295,3 +296,41 @@ def spot_check(df: DataFrame, key: str) -> DataFrame:
     return df.agg(
         n.alias("n_rows"), (n - keyed).alias("n_null_key"), F.count_distinct(col(key)).alias("n_distinct_key")
     )
+
+
+# Bits of a sketch's register index: some 1.6 % off at most times, in 4 KB a load.
+SKETCH_BITS = 12
+LOAD = "load"
+
+
+def check_load(df: DataFrame, key: str, checks: str, load: str) -> None:
+    """The spot check of one load, stored in the table ``checks`` (made on first use) as a partition of its name.
+
+    Rows and NULL keys are exact; distinct keys are a sketch that can be merged with those of other loads, so that a check
+    after a load reads that load alone. Only keys with a sketch are counted: whole numbers, texts and bytes.
+    """
+    spark = df.sparkSession
+    n, keyed = F.count("*"), F.count(col(key))
+    sketch = F.coalesce(F.hll_sketch_agg(col(key), SKETCH_BITS), F.lit(b""))
+    found = df.agg(n.alias("n_rows"), (n - keyed).alias("n_null_key"), sketch.alias("sketch"))
+    if not table_exists(spark, checks):
+        create_typed_table(spark, checks, StructType([*found.schema.fields, StructField(LOAD, StringType())]), partition_by=[LOAD])
+    view = "check_" + uuid.uuid4().hex
+    found.createOrReplaceTempView(view)
+    spark.sql(f"INSERT OVERWRITE TABLE {qualified(checks)} PARTITION ({LOAD} = {text_literal(load)}) SELECT * FROM {view}")
+    spark.sql(f"DROP VIEW {view}")
+    spark.catalog.refreshTable(qualified(checks))
+
+
+def checked_total(spark: SparkSession, checks: str) -> DataFrame:
+    """What the checks of all loads so far say together: rows, rows with NULL key, and some number of distinct keys.
+
+    A row per load is read, never the table. Loads without a key have no sketch to merge.
+    """
+    sketches = F.when(F.length("sketch") > 0, F.col("sketch"))
+    merged = F.hll_union_agg(sketches, F.lit(False))
+    return spark.table(qualified(checks)).agg(
+        F.coalesce(F.sum("n_rows"), F.lit(0)).alias("n_rows"),
+        F.coalesce(F.sum("n_null_key"), F.lit(0)).alias("n_null_key"),
+        F.coalesce(F.hll_sketch_estimate(merged), F.lit(0)).alias("distinct_keys"),
+    )

@@ -209,6 +209,25 @@ def _(spark, sf_dir):
     return files.scan_json(spark, landed, events.schema)
 
 
+@registered(
+    "land_resumable",
+    """select event_id, ts, user_id, event_type, value, props, 0 as landed_again, true as all_in_manifest from events""",
+)
+def _(spark, sf_dir):
+    """Events landed in two runs, the second over a source that has grown, and a third that finds nothing new."""
+    ws, events = Workspace(spark), table(spark, sf_dir, "events")
+    manifest, source = ws.path("manifest"), ws.path("source")
+    runs = []
+    for name, part in zip(("a", "b"), event_landings(events)):
+        jobs.write_json(part.repartition(3), f"{source}/{name}")
+        runs.append(landing.land_files(spark, source, ws.path("raw"), "first", manifest, group_bytes=1 << 20))
+    again = landing.land_files(spark, source, ws.path("raw"), "first", manifest)
+    entries = landing.read_manifest(spark, manifest).agg(F.sum("n_lines").alias("lines"), F.count("*").alias("n")).first()
+    whole = entries["lines"] == events.count() and entries["n"] == sum(runs) == files.file_listing(spark, source).count()
+    rows = files.scan_json(spark, f"{ws.path('raw')}/first", events.schema).drop(landing.FROM_FILE)
+    return rows.withColumns({"landed_again": F.lit(again), "all_in_manifest": F.lit(whole)})
+
+
 @registered("temp_view_query", "select c_custkey, c_name from customer")
 def _(spark, sf_dir):
     name = Workspace(spark).name
@@ -259,12 +278,14 @@ def _(spark, sf_dir):
     return read(spark, made)
 
 
-@registered("hive_ddl_table", "select * from customer")
+@registered("hive_ddl_table", "select *, 'parquet' as provider from customer")
 def _(spark, sf_dir):
+    """The rows, and how the table is stored: `hive` by the SerDe DDL, in a session that has a metastore for it, which a test
+    process has; `parquet` says that this session made the native table instead."""
     ws, customer = Workspace(spark), table(spark, sf_dir, "customer")
     made = tables.create_hive_table(spark, ws.table("customer"), customer.schema)
     tables.insert_rows(customer, made)
-    return read(spark, made)
+    return read(spark, made).withColumn("provider", F.lit(tables.provider_of(spark, made)))
 
 
 @registered("insert_into_select", "select * from orders union all select * from orders where o_orderstatus = 'P'")
@@ -410,6 +431,38 @@ def _(spark, sf_dir):
     return tables.spot_check(read(spark, saved(Workspace(spark), "orders", table(spark, sf_dir, "orders"))), "o_orderkey")
 
 
+@registered(
+    "spot_check_per_load",
+    """select l.load, l.n_rows, l.n_null_key, t.n_rows as n_rows_so_far, t.n_null_key as n_null_so_far, true as distinct_is_near,
+    true as union_is_whole
+    from (select o_orderstatus as load, count(*) as n_rows, cast(sum(case when o_orderpriority = '5-LOW' then 1 else 0 end)
+    as bigint) as n_null_key from orders group by 1) l, (select count(*) as n_rows, cast(sum(case when o_orderpriority = '5-LOW'
+    then 1 else 0 end) as bigint) as n_null_key from orders) t""",
+)
+def _(spark, sf_dir):
+    """Orders in a load per status, each checked by itself; the sums and the union of sketches tell of the whole table."""
+    ws, orders = Workspace(spark), table(spark, sf_dir, "orders")
+    checks = ws.table("checks")
+    key = F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_orderkey"))
+    keyed = orders.withColumn("k", key)
+    for status in ("F", "O", "P"):
+        tables.check_load(keyed.where(F.col("o_orderstatus") == status), "k", checks, status)
+    # A load that is checked again replaces its own entry.
+    tables.check_load(keyed.where(F.col("o_orderstatus") == "P"), "k", checks, "P")
+    total = tables.checked_total(spark, checks).first()
+    exact = keyed.agg(F.count_distinct("k").alias("d"), F.hll_sketch_estimate(F.hll_sketch_agg("k", tables.SKETCH_BITS)).alias("s")).first()
+    near = abs(total["distinct_keys"] - exact["d"]) <= 0.05 * exact["d"]
+    return read(spark, checks).select(
+        "load",
+        "n_rows",
+        "n_null_key",
+        F.lit(total["n_rows"]).alias("n_rows_so_far"),
+        F.lit(total["n_null_key"]).alias("n_null_so_far"),
+        F.lit(near).alias("distinct_is_near"),
+        F.lit(total["distinct_keys"] == exact["s"]).alias("union_is_whole"),
+    )
+
+
 # ---- projections, filters, limits
 
 
@@ -593,6 +646,20 @@ def _(spark, sf_dir):
     return out
 
 
+@registered(
+    "permanent_sql_function",
+    """select c_custkey, case when c_nationkey = 0 then 'Type: NULL' else 'Type: java.lang.Double' end as label
+    from customer""",
+)
+def _(spark, sf_dir):
+    """The label as a function of the catalog, called in a session that did not make it."""
+    function = Workspace(spark).table("type_label")
+    scalars.create_type_label(spark, function, DoubleType())
+    customer = table(spark.newSession(), sf_dir, "customer")
+    value = F.when(F.col("c_nationkey") != 0, F.col("c_acctbal"))
+    return customer.select("c_custkey", F.call_function(function, value).alias("label"))
+
+
 # ---- upserts
 
 

@@ -71,11 +71,14 @@ def delete_folder(spark: SparkSession, folder: str) -> None:
 
 
 class Workspace:
-    """A scratch area in the shared folder: files under ``path`` and tables in a database of its own."""
+    """A scratch area in the shared folder: files under ``path`` and tables in a database of its own.
 
-    def __init__(self, spark: SparkSession, root: str | None = None):
+    A ``name`` of the caller's makes it an area to come back to, such as that of a job that is run again.
+    """
+
+    def __init__(self, spark: SparkSession, root: str | None = None, name: str | None = None):
         self.spark = spark
-        self.name = "tablekeep_" + uuid.uuid4().hex[:12]
+        self.name = name or "tablekeep_" + uuid.uuid4().hex[:12]
         self.root = (root or shared_dir(spark)).rstrip("/") + "/" + self.name
         self._has_database = False
         # Results are lazy, so the files must outlive the call that made them.

@@ -114,7 +114,7 @@ def file_inventory(df: DataFrame) -> DataFrame:
 def file_listing(spark: SparkSession, folder: str, partition_by: StructType | None = None) -> DataFrame:
     """The data files below a folder: ``path``, ``length`` and, of a partitioned layout, the partition values.
 
-    A row per file and none per record: no file is opened, and a task is given as many files as if each had 4 MB. Values
+    A row per file (of one byte at least) and none per record: no file is opened, and a task is given as many files as if each had 4 MB. Values
     are read off the paths, as text that is then cast to the declared types.
     """
     listing = local_conf(
