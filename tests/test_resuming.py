@@ -215,4 +215,6 @@ def test_checks_of_loads_add_up(spark, ws):
     assert (total["n_rows"], total["n_null_key"]) == (5008, 3) and abs(total["distinct_keys"] - 5000) < 250
     whole = spark.createDataFrame([(k,) for keys in loads.values() for k in keys], "k bigint")
     tables.check_load(whole, "k", ws.table("whole"), "all")
-    assert tables.checked_total(spark, ws.table("whole")).first() == total
+    once = tables.checked_total(spark, ws.table("whole")).first()
+    # Sketches that were merged estimate by other means than those that were not.
+    assert once[:2] == total[:2] and abs(once["distinct_keys"] - total["distinct_keys"]) < 100
