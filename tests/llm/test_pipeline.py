@@ -54,7 +54,8 @@ def in_plain_words(rows):
     by_group = {}
     for (doc_id, text), k in zip(rows, label):
         order = (doc_id is None, doc_id or 0, hashlib.md5((text or "").encode()).hexdigest())
-        by_group[k] = min(by_group.get(k, (order, None, None)), (order, doc_id, text), key=lambda x: x[0])
+        mine = (order, doc_id, text)
+        by_group[k] = min(by_group.get(k, mine), mine, key=lambda x: x[0])
     return [(d, None if t is None else secrets.redacted(t)) for _, d, t in by_group.values()]
 
 
