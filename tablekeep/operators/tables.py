@@ -211,14 +211,15 @@ def in_partitions(parts: list[str], wanted: list[Row]) -> Column:
     return reduce(lambda a, b: a & b, map(one, parts))
 
 
-def only_partitions(df: DataFrame, parts: list[str], wanted: list[Row], extra: str | None = None) -> DataFrame:
-    """The rows of the given partitions, with the column ``extra`` (a long) of ``wanted``, if named, added to them."""
+def only_partitions(df: DataFrame, parts: list[str], wanted: list[Row], extra: list[str] | None = None) -> DataFrame:
+    """The rows of the given partitions, with the columns ``extra`` (longs) of ``wanted``, if named, added to them."""
     spark, reached = df.sparkSession, df.where(in_partitions(parts, wanted))
-    if len(parts) == 1 and extra is None:
+    if len(parts) == 1 and not extra:
         return reached
+    extra = extra or []
     by = [f"__p{i}" for i in range(len(parts))]
-    kinds = [StructField(b, df.schema[p].dataType) for p, b in zip(parts, by)] + ([StructField(extra, LongType())] if extra else [])
-    listed = spark.createDataFrame([tuple(r[c] for c in (parts + [extra] if extra else parts)) for r in wanted], StructType(kinds))
+    kinds = [StructField(b, df.schema[p].dataType) for p, b in zip(parts, by)] + [StructField(e, LongType()) for e in extra]
+    listed = spark.createDataFrame([tuple(r[c] for c in parts + extra) for r in wanted], StructType(kinds))
     if fits_broadcast(spark, len(wanted) * PARTITION_ROW_BYTES):
         listed = F.broadcast(listed)
     same = [col(p).eqNullSafe(F.col(b)) for p, b in zip(parts, by)]

@@ -34,15 +34,19 @@ from tablekeep.operators.tables import (
     settable_properties,
     table_exists,
 )
-from tablekeep.session import col, local_conf, qualified
+from tablekeep.session import col, local_conf, qualified, with_conf
 from tablekeep.sources.files import file_listing
 
 log = logging.getLogger(__name__)
 
 READY = OWN_PROPERTY + "ready"
 TARGET_FILE_BYTES = 256 * 1024 * 1024
-# The column that says how many files a partition should be in.
+# The columns that say how many files a partition should be in, and how many files of other partitions come before them.
 FILES = "__files"
+BEFORE = "__before"
+# Where each task's rows are of one partition, they go to its file as they come. Without this, Spark sorts a task's rows by
+# partition before it writes them, which takes the memory of a whole file's rows.
+UNSORTED = {"spark.sql.maxConcurrentOutputFileWriters": "4"}
 
 # Formats whose tables have row-level changes, file compaction and revision removal as SQL commands of their own.
 LAKE_FORMATS = {"delta"}
@@ -158,6 +162,7 @@ def _overwrite_from_staged(spark: SparkSession, table: str) -> None:
             "spark.sql.sources.partitionOverwriteMode": "dynamic",
             "spark.sql.files.maxPartitionBytes": "1t",
             "spark.sql.files.openCostInBytes": "1t",
+            **UNSORTED,
         },
     )
     replacing.table(qualified(table + NEW)).write.insertInto(qualified(table), overwrite=True)
@@ -307,18 +312,25 @@ def _ragged(spark: SparkSession, table: str, parts: list[str], bucketed: bool, f
 
 
 def _laid_out(spark: SparkSession, table: str, parts: list[str], ragged: list[Row], buckets: Buckets | None = None) -> DataFrame:
-    """The rows of the named partitions, each dealt evenly over as many tasks as it should have files; buckets stay whole."""
-    live = spark.table(qualified(table))
+    """The rows of the named partitions, each dealt evenly over as many tasks as it should have files; buckets stay whole.
+
+    A task has the rows of one file, so its session writes them unsorted.
+    """
+    live = with_conf(spark, UNSORTED).table(qualified(table))
+    placed, before = [], 0
+    for r in ragged:
+        placed.append(Row(**r.asDict(), **{BEFORE: before}))
+        before += r[FILES]
     # Filtered before the ids, which no filter is pushed through. A scan gives its rows the same ids whenever it is
     # repeated, so a lost task deals them out as before.
     numbered = live.where(in_partitions(parts, ragged)).withColumn("__row", F.monotonically_increasing_id())
-    dealt = only_partitions(numbered, parts, ragged, FILES)
+    dealt = only_partitions(numbered, parts, placed, [FILES, BEFORE])
     if buckets:
-        dealt = dealt.withColumn("__file", F.pmod(F.hash(*map(col, buckets.columns)), F.lit(buckets.number)))
+        file = F.col(BEFORE) * buckets.number + F.pmod(F.hash(*map(col, buckets.columns)), F.lit(buckets.number))
     else:
-        dealt = dealt.withColumn("__file", F.pmod("__row", FILES))
-    tasks = sum(r[FILES] for r in ragged) * (buckets.number if buckets else 1)
-    return dealt.repartition(tasks, *map(col, parts), "__file").select(*map(col, live.columns))
+        file = F.col(BEFORE) + F.pmod("__row", FILES)
+    tasks = before * (buckets.number if buckets else 1)
+    return dealt.repartitionById(tasks, file.cast("int")).select(*map(col, live.columns))
 
 
 def has_sink_log(spark: SparkSession, table: str) -> bool:

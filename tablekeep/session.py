@@ -64,6 +64,12 @@ def local_conf(spark: SparkSession, settings: dict[str, str]) -> SparkSession:
     return other
 
 
+def with_conf(spark: SparkSession, settings: dict[str, str]) -> SparkSession:
+    """As ``local_conf``, with the caller's own settings otherwise."""
+    own = {k: v for k, v in spark.conf.getAll.items() if spark.conf.isModifiable(k)}
+    return local_conf(spark, {**own, **settings})
+
+
 def delete_folder(spark: SparkSession, folder: str) -> None:
     """Delete a folder with all that is in it, on whatever file system it lies; one that is not there is fine."""
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)

@@ -7,7 +7,7 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import Row
 from pyspark.sql import functions as F
-from test_queries import plan_of
+from test_queries import executed_plans, plan_of
 
 from tablekeep.operators import relational, tables, upkeep
 from tablekeep.operators.matching import merged_rows
@@ -313,6 +313,18 @@ def test_compaction_rewrites_only_ragged_partitions(spark, ws):
     assert not upkeep.compact_files(spark, live, size // 3)
 
 
+def test_compaction_of_a_partitioned_table_sorts_nothing(spark, ws):
+    """Spark would sort a task's rows by partition before it writes them: a file's rows in memory. A task per file needs none."""
+    df = spark.range(0, 9000, 1, 6).selectExpr("id", "cast(nullif(id % 5, 0) as int) as p")
+    live = tables.create_typed_table(spark, ws.table("t"), df.schema, partition_by=["p"])
+    df.write.insertInto(qualified(live))
+    with executed_plans(spark) as plans:
+        assert upkeep.compact_files(spark, live)
+    assert n_files(spark, live) == 5 and bag(read(spark, live)) == bag(df)
+    writes = [p for p in plans if "InsertIntoHadoopFsRelationCommand" in p]
+    assert len(writes) == 2 and not [p for p in writes if "Sort" in p]
+
+
 def test_compaction_keeps_an_external_table_external(spark, ws):
     spark.range(0, 90, 1, 9).write.parquet(ws.path("outside"))
     name = tables.create_external_table(spark, ws.table("ext"), spark.range(1).schema, ws.path("outside"), "parquet")
