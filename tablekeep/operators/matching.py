@@ -234,14 +234,24 @@ def _by_shuffle(t: DataFrame, s: DataFrame, t_key: Column, s_key: Column, seen:
     AQE splits the left side of these joins where both sides come straight from their exchanges. An increment of unique
     keys is like that. One with repeated keys (which are in no target row, or it was refused) is cut down to the keys of
     the target first, and what the joins read is settled.
+
+    The join for new rows reads the target's keys alone, which are few bytes in a shuffle and many times that in a sort or
+    a hash table. AQE goes by the bytes, and would give a task millions of keys. So where the increment's keys are unique,
+    and there is nothing to split, that join has all the shuffle partitions.
     """
     present = t.where(t_key.isNotNull()).select(t_key.alias(KEY)).distinct()
     matched = keyed = s.where(s_key.isNotNull())
     if seen.most_copies > 1:
         present = settled(present)
         matched = settled(keyed.join(present, s_key == F.col(KEY), "left_semi"))
+        new = keyed.join(present, s_key == F.col(KEY), "left_anti")
+    else:
+        # An anti join, in a form that Spark does not move below the repartition.
+        spread = keyed.repartition(int(t.sparkSession.conf.get("spark.sql.shuffle.partitions")), s_key)
+        new = spread.join(present, s_key == F.col(KEY), "left").where(F.col(KEY).isNull()).drop(KEY)
+        # Not a file of new rows from each of those tasks.
+        new = new.hint("rebalance", s_key)
     updated = t.where(t_key.isNotNull()).join(matched, t_key == s_key, "left")
-    new = keyed.join(present, s_key == F.col(KEY), "left_anti")
     for rows in (t.where(t_key.isNull()), new, s.where(s_key.isNull())):
         updated = updated.unionByName(rows, allowMissingColumns=True)
     return updated

@@ -5,7 +5,7 @@ import random
 
 import pytest
 from pyspark.sql import functions as F
-from test_queries import plan_of
+from test_queries import executed_plans, plan_of
 
 from tablekeep.operators import matching
 from tablekeep.operators.matching import AmbiguousMatchError
@@ -272,3 +272,20 @@ def test_profile(spark):
     assert seen.size == 3 * (matching.ROW_OVERHEAD + 2 * matching.VALUE_BYTES) + 3
     nested = spark.sql("select 1L as id, array(1, 2) as a")
     assert matching.profile(nested, "id").size is None
+
+
+def test_new_rows_are_found_over_all_shuffle_partitions(spark):
+    """Keys are few bytes in a shuffle, so that AQE would give all of the target's to one task, which holds them in memory."""
+    target = spark.range(0, 40_000, 1, 4).selectExpr("id as k", "'t' as v")
+    source = spark.range(39_000, 42_000, 1, 2).union(spark.range(1).selectExpr("cast(null as bigint)")).selectExpr("id as k", "'s' as v")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = matching.merged_rows(target, source, "k")
+        found = rows.groupBy("v").count().collect()
+        with executed_plans(spark) as plans:
+            rows.write.format("noop").mode("overwrite").save()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert {r["v"]: r["count"] for r in found} == {"t": 39_000, "s": 3_001}
+    # Spark deals these keys over as many tasks as it was told, and AQE makes them no fewer.
+    assert any("REPARTITION_BY_NUM" in p for p in plans)
