@@ -53,7 +53,9 @@ from tablekeep.session import Workspace, delete_folder
 FOLDS = 10
 ADDED = 0.1
 DISCOUNT = 0.75
-# Bytes whose words are hashed at once, and tokens of the texts that are looked up together.
+# Bytes whose words are hashed at once (8 bytes of numbers for each of them), bytes of the texts that are put together, and
+# tokens of the texts that are looked up together.
+HASHED = 1 << 18
 STRETCH = 1 << 21
 GROUP_TOKENS = 1_000_000
 # The first word of a trigram that has none: of the second token of a text, or after an unknown word.
@@ -121,8 +123,9 @@ def _word_hashes(data: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.n
     start, end = np.flatnonzero(start), np.flatnonzero(end)
     size = 1 << max(16, len(data).bit_length())
     low, high = _powers(BASE, size)
-    powers = (high[: -(-len(data) // _STEP), None] * low).ravel()[: len(data)]
-    sums = np.cumsum(_BYTES[data] * powers, dtype=np.uint64)
+    sums = (high[: -(-len(data) // _STEP), None] * low).ravel()[: len(data)]
+    sums *= _BYTES[data]
+    np.cumsum(sums, out=sums)
     word = sums[end] - np.where(start > 0, sums[start - 1], np.uint64(0))
     # As if each word began at the first byte.
     word *= _power(pow(BASE, -1, 1 << 64), start, size)
@@ -130,10 +133,10 @@ def _word_hashes(data: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.n
 
 
 def _stretches_of(data: np.ndarray, begins: np.ndarray) -> Iterator[tuple[int, int]]:
-    """Cut bytes into stretches of some ``STRETCH``, each of which ends after a blank or with a text."""
-    at = 0
+    """Cut bytes into stretches of some ``HASHED`` bytes, each of which ends after a blank or with a text."""
+    at, step = 0, min(HASHED, STRETCH)
     while at < len(data):
-        end = min(at + STRETCH, len(data))
+        end = min(at + step, len(data))
         while end < len(data):
             blanks = np.flatnonzero(_BLANK[data[at:end]])
             texts = begins[np.searchsorted(begins, at, "right") : np.searchsorted(begins, end, "right")]
@@ -142,7 +145,7 @@ def _stretches_of(data: np.ndarray, begins: np.ndarray) -> Iterator[tuple[int, i
                 end = cut
                 break
             # One word beyond a stretch's size.
-            end = min(end + STRETCH, len(data))
+            end = min(end + step, len(data))
         yield at, end
         at = end
 
@@ -223,10 +226,18 @@ def _grouped(batches, size: int = GROUP_TOKENS) -> Iterator[tuple[list, np.ndarr
             n += len(found)
             at = stop
             if n >= size:
-                yield ids, np.concatenate(hashes), np.concatenate(lengths)
-                ids, hashes, lengths, n = [], [], [], 0
+                yield _taken(ids, hashes, lengths)
+                n = 0
     if ids:
-        yield ids, np.concatenate(hashes), np.concatenate(lengths)
+        yield _taken(ids, hashes, lengths)
+
+
+def _taken(ids: list, hashes: list[np.ndarray], lengths: list[np.ndarray]) -> tuple[list, np.ndarray, np.ndarray]:
+    """A group in one piece each; the lists are empty then, so that whoever has the group has its only copy."""
+    group = list(ids), np.concatenate(hashes), np.concatenate(lengths)
+    for pieces in (ids, hashes, lengths):
+        pieces.clear()
+    return group
 
 
 # ---- levels as files
@@ -423,7 +434,8 @@ class Located:
         codes, words = pd.factorize(hashes)
         ids, counts = vocabulary.look_up(words)
         order = np.argsort(ids)[np.count_nonzero(ids < 0) :]
-        place = np.full(len(words), -1, np.int64)
+        # Fewer than the tokens of a group.
+        place = np.full(len(words), -1, np.int32)
         place[order] = np.arange(len(order))
         stretch, _ = vocabulary.stretches(ids[order])
         return cls(place[codes], np.cumsum(lengths) - lengths, ids[order], counts[order], stretch, _share(ids[order]))
@@ -455,18 +467,22 @@ def _in_order(columns: list[np.ndarray]) -> np.ndarray:
     these have too many bits together, by the ranks of the column's values."""
     if len(columns) == 1 and columns[0].dtype == np.uint64:
         return np.argsort(columns[0])
-    parts = [c.astype(np.uint64) - np.uint64(c.min()) for c in columns]
-    bits = [int(c.max()).bit_length() for c in parts]
-    for i in range(len(parts)):
+    ranks, bits = {}, [(int(c.max()) - int(c.min())).bit_length() for c in columns]
+    for i, c in enumerate(columns):
         if sum(bits) <= 64:
             break
-        parts[i] = np.unique(parts[i], return_inverse=True)[1].astype(np.uint64)
-        bits[i] = int(parts[i].max()).bit_length()
+        values, ranks[i] = np.unique(c, return_inverse=True)
+        bits[i] = (len(values) - 1).bit_length()
     if sum(bits) > 64:
-        return np.lexsort(parts[::-1])
-    key = parts[0]
-    for c, b in zip(parts[1:], bits[1:]):
-        key = (key << np.uint64(b)) | c
+        return np.lexsort([ranks[i] for i in reversed(range(len(columns)))])
+    # A column at a time, as each is as large as the key.
+    key = np.zeros(len(columns[0]), np.uint64)
+    for i, (c, b) in enumerate(zip(columns, bits)):
+        least, part = (0, ranks.pop(i)) if i in ranks else (c.min(), c)
+        part = part.astype(np.uint64)
+        part -= np.uint64(least)
+        key <<= np.uint64(b)
+        key |= part
     return np.argsort(key)
 
 
@@ -833,7 +849,10 @@ def _asked(docs: DataFrame, trie: Trie) -> DataFrame:
     empty = {"n": 0, "data": b""}
 
     def ask(batches):
-        for number, (doc_ids, hashes, lengths) in enumerate(_grouped(batches)):
+        # Not by enumerate, which would hold on to each group.
+        number = -1
+        for doc_ids, hashes, lengths in _grouped(batches):
+            number += 1
             task = TaskContext.get().partitionId()
             part, turn = (task << 32) | number, task + 7919 * number
             found = Located.of(hashes, lengths, vocabulary)
@@ -851,11 +870,19 @@ def _asked(docs: DataFrame, trie: Trie) -> DataFrame:
                 np.add.reduceat(alone, begins),
             ]
             rows = [{"unit": turn % vocabulary.buckets, "copy": 0, "part": part, **empty, "docs": packed(own)}]
-            doc = np.repeat(np.arange(len(lengths)), lengths)[at]
+            # A group's columns are most of a task's memory: those done with are let go, and those to be sorted narrow.
+            del hashes, counts, base, alone, own
             first = found.first_words(at)
-            first = np.where(first < 0, len(found.ids), first)
+            columns = [
+                found.rank[at - 1],
+                np.where(first < 0, len(found.ids), first).astype(np.int32),
+                found.rank[at],
+                np.repeat(np.arange(len(lengths), dtype=np.int32), lengths)[at],
+            ]
+            del at, first
             # Once per document, however often it is there.
-            (middle, first, word, doc), times = _distinct([found.rank[at - 1], first, found.rank[at], doc])
+            (middle, first, word, doc), times = _distinct(columns)
+            del columns
             ids = np.append(found.ids, NO_WORD)
             for unit, some in _by_unit(found.units(vocabulary, middle, first)):
                 data = _squeezed([ids[middle[some]], ids[first[some]], ids[word[some]], doc[some], times[some]])

@@ -4,6 +4,7 @@ import collections
 import hashlib
 import math
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -496,3 +497,30 @@ def test_elias_fano():
         assert ef.find(asked).tolist() == [place.get(int(x), -1) for x in asked]
         assert not len(values) or (ef.access(np.arange(len(values))) == values).all()
         assert (ef.decoded() == values).all() and len(ef.decoded()) == len(values)
+
+
+def test_hashing_a_stretch_of_text_takes_little_memory():
+    """Every byte of what is hashed at once takes some numbers of 8 bytes, in each of an executor's tasks."""
+    texts = pa.array([("y" * 99 + " ") * 30_000, ("z" * 49 + " ") * 60_000])
+    lm.token_hashes(texts)
+    tracemalloc.start()
+    try:
+        hashes, lengths = lm.token_hashes(texts)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert lengths.tolist() == [30_001, 60_001] and len(set(hashes.tolist())) == 3
+    assert peak < 24e6
+
+
+def test_a_group_of_texts_has_no_second_copy():
+    """The pieces that a group is made of are let go before it is used."""
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(300)), "text": [f"{i} " * 9000 for i in range(300)]})
+    groups = lm._grouped([batch])
+    tracemalloc.start()
+    try:
+        _, hashes, _ = next(groups)
+        held = tracemalloc.get_traced_memory()[0]
+    finally:
+        tracemalloc.stop()
+    assert len(hashes) >= lm.GROUP_TOKENS and held < 1.5 * hashes.nbytes
