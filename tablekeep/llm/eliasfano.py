@@ -9,6 +9,8 @@ from __future__ import annotations
 import numpy as np
 
 U = np.uint64
+# Values that are cut into bits, or put together again, at once.
+STEP = 1 << 16
 _HALVES = (32, 16, 8, 4, 2, 1)
 
 
@@ -35,16 +37,19 @@ class EliasFano:
         n = len(values)
         low_bits = max(0, min(63, (universe // max(n, 1)).bit_length() - 1))
         low = np.zeros(n * low_bits // 64 + 2, U)
-        if low_bits:
-            part = values & U((1 << low_bits) - 1)
-            at = np.arange(n, dtype=np.int64) * low_bits
-            word, shift = at >> 6, (at & 63).astype(U)
-            np.bitwise_or.at(low, word, part << shift)
-            over = shift > 0
-            np.bitwise_or.at(low, word[over] + 1, part[over] >> (U(64) - shift[over]))
-        place = (values >> U(low_bits)).astype(np.int64) + np.arange(n)
         high = np.zeros(((universe >> low_bits) + n + 1) // 64 + 1, U)
-        np.bitwise_or.at(high, place >> 6, U(1) << (place & 63).astype(U))
+        for a in range(0, n, STEP):
+            some = values[a : a + STEP]
+            i = np.arange(a, a + len(some))
+            if low_bits:
+                part = some & U((1 << low_bits) - 1)
+                at = i * low_bits
+                word, shift = at >> 6, (at & 63).astype(U)
+                np.bitwise_or.at(low, word, part << shift)
+                over = shift > 0
+                np.bitwise_or.at(low, word[over] + 1, part[over] >> (U(64) - shift[over]))
+            place = (some >> U(low_bits)).astype(np.int64) + i
+            np.bitwise_or.at(high, place >> 6, U(1) << (place & 63).astype(U))
         ones = np.concatenate([[0], np.cumsum(np.bitwise_count(high).astype(np.int64))[:-1]])
         return cls(n, low_bits, low, high, ones, np.arange(len(high)) * 64 - ones)
 
@@ -82,8 +87,12 @@ class EliasFano:
     def decoded(self) -> np.ndarray:
         """All values in order: for queries about as many as they are."""
         ones = np.flatnonzero(np.unpackbits(self.high.view(np.uint8), bitorder="little"))[: self.n]
-        high = (ones - np.arange(self.n)).astype(U)
-        return (high << U(self.low_bits)) | self._low(np.arange(self.n))
+        out = ones.view(U)
+        # In place, a step at a time.
+        for a in range(0, self.n, STEP):
+            i = np.arange(a, min(a + STEP, self.n))
+            out[i[0] : i[-1] + 1] = ((ones[i] - i).astype(U) << U(self.low_bits)) | self._low(i)
+        return out
 
     def _below(self, high: np.ndarray) -> np.ndarray:
         """How many values have a high part up to ``high``; -1 gives 0."""

@@ -58,6 +58,8 @@ DISCOUNT = 0.75
 HASHED = 1 << 18
 STRETCH = 1 << 21
 GROUP_TOKENS = 1_000_000
+# N-grams of a group, or of a unit, that are sorted or answered together: their columns and keys are what takes memory.
+SORTED = 1 << 18
 # The first word of a trigram that has none: of the second token of a text, or after an unknown word.
 NO_WORD = (1 << 32) - 1
 FLUSH_WORDS = 600_000
@@ -563,9 +565,47 @@ def _by_unit(units: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
             yield int(units[part[0]]), part
 
 
+def _unit_pieces(found: Located, vocabulary: Vocabulary, middle: np.ndarray, first: np.ndarray | None) -> Iterator[np.ndarray]:
+    """The places of a group's n-grams (of two words, if ``first`` is None) in pieces of some ``SORTED``, each of which has all
+    of its units."""
+    units = np.empty(len(middle), np.uint16 if vocabulary.buckets <= 1 << 16 else np.uint32)
+    for a in range(0, len(middle), SORTED):
+        some = middle[a : a + SORTED]
+        at = vocabulary.unit_at(found.stretch[some]) if first is None else found.units(vocabulary, some, first[a : a + SORTED])
+        units[a : a + SORTED] = at
+    order = np.argsort(units, kind="stable")
+    ends = np.cumsum(np.bincount(units))
+    at = 0
+    while at < len(order):
+        # So many units as fit in, one at least.
+        last = max(np.searchsorted(ends, at + SORTED, "right") - 1, np.searchsorted(ends, at, "right"))
+        yield order[at : ends[last]]
+        at = int(ends[last])
+
+
 NGRAMS = "unit int, n int, data binary"
 
 
+def _counted_rows(found: Located, vocabulary: Vocabulary, width: int) -> list[tuple[int, int, bytes]]:
+    """``NGRAMS`` of a group."""
+    at = found.bigrams()
+    if width == 2:
+        columns = [found.rank[at - 1], found.rank[at]]
+    else:
+        first = found.first_words(at)
+        at, first = at[first >= 0], first[first >= 0]
+        columns = [found.rank[at - 1], first, found.rank[at]]
+        del first
+    del at
+    ids, rows = found.ids.astype(np.uint32), []
+    for piece in _unit_pieces(found, vocabulary, columns[0], columns[1] if width > 2 else None):
+        grams, counts = _counted_once([c[piece] for c in columns], len(ids))
+        units = vocabulary.unit_at(found.stretch[grams[0]]) if width == 2 else found.units(vocabulary, *grams[:2])
+        for unit, part in _by_unit(units):
+            rows.append((unit, len(part), _squeezed([*(ids[c[part]] for c in grams), counts[part].astype(np.uint32)])))
+    return rows
+
+
 def _counted(texts: DataFrame, vocabulary: Vocabulary, width: int) -> DataFrame:
     """``NGRAMS``: all n-grams of ``width`` words by the unit that holds them, middle (or first) word first, with counts.
 
@@ -575,24 +615,12 @@ def _counted(texts: DataFrame, vocabulary: Vocabulary, width: int) -> DataFrame:
     def count(batches):
         for _, hashes, lengths in _grouped(batches):
             found = Located.of(hashes, lengths, vocabulary)
-            at = found.bigrams()
-            if width == 2:
-                columns = [found.rank[at - 1], found.rank[at]]
-            else:
-                first = found.first_words(at)
-                at, first = at[first >= 0], first[first >= 0]
-                columns = [found.rank[at - 1], first, found.rank[at]]
-            if not len(at):
-                continue
-            columns, counts = _counted_once(columns, len(found.ids))
-            units = vocabulary.unit_at(found.stretch[columns[0]]) if width == 2 else found.units(vocabulary, *columns[:2])
-            ids = found.ids.astype(np.uint32)
-            rows = [
-                (unit, len(part), _squeezed([*(ids[c[part]] for c in columns), counts[part].astype(np.uint32)]))
-                for unit, part in _by_unit(units)
-            ]
-            unit, n, data = zip(*rows)
-            yield pa.RecordBatch.from_arrays([pa.array(unit, pa.int32()), pa.array(n, pa.int32()), pa.array(data)], ["unit", "n", "data"])
+            del hashes
+            if rows := _counted_rows(found, vocabulary, width):
+                unit, n, data = zip(*rows)
+                del found, rows
+                yield pa.RecordBatch.from_arrays([pa.array(unit, pa.int32()), pa.array(n, pa.int32()), pa.array(data)], ["unit", "n", "data"])
+                del unit, n, data
 
     return texts.mapInArrow(count, NGRAMS)
 
@@ -602,7 +630,8 @@ def _together(table: pa.Table, width: int) -> tuple[list[np.ndarray], np.ndarray
     parts = [_spread_out(d.as_py(), n.as_py(), width + 1) for n, d in zip(table.column("n"), table.column("data"))]
     if not parts:
         return [np.zeros(0, np.uint32)] * width, np.zeros(0, np.int64)
-    *columns, counts = (np.concatenate(c) for c in zip(*parts))
+    *columns, counts = (np.concatenate([p[k] for p in parts]) for k in range(width + 1))
+    del parts
     return _distinct(columns, counts.astype(np.int64))
 
 
@@ -706,7 +735,10 @@ class Thirds:
 
     @classmethod
     def counted(cls, two: Successors, middle: np.ndarray, first: np.ndarray, word: np.ndarray, n: np.ndarray) -> Thirds:
-        rank, shorter, _ = two.find(middle, word)
+        rank, shorter = np.empty(len(middle), np.int64), np.empty(len(middle), np.uint8)
+        for a in range(0, len(middle), SORTED):
+            some = slice(a, a + SORTED)
+            rank[some], shorter[some], _ = two.find(middle[some], word[some])
         begins = _runs([middle, first]) if len(middle) else np.zeros(0, np.int64)
         each = np.diff(begins, append=len(middle))
         context = np.repeat(np.arange(len(begins)), each)
@@ -814,7 +846,8 @@ def train(docs: DataFrame, ws: Workspace) -> Trie:
         rows = []
         for unit, block in zip(right.column("unit").to_pylist(), right.column("two").to_pylist()):
             stretch = Successors.of_block(block)
-            here = (middle >= stretch.first) & (middle <= stretch.last)
+            # The middle words are in order.
+            here = slice(*np.searchsorted(middle, np.array([stretch.first, stretch.last + 1], middle.dtype)))
             some = [c[here] for c in (middle, first, word, n)]
             rows.append((unit, int(some[3].sum()), block, Thirds.counted(stretch, *some).block()))
         units, tokens, twos, threes = zip(*rows) if rows else ((), (), (), ())
@@ -842,11 +875,49 @@ ASKED = "unit int, copy int, part long, n int, data binary, docs binary"
 ANSWERED = "part long, docs binary, sums binary"
 
 
+def _known_row(found: Located, vocabulary: Vocabulary, doc_ids: list, lengths: np.ndarray, part: int, turn: int) -> dict:
+    counts, begins = found.token_counts(), found.begins
+    base = vocabulary.log_p(counts)
+    known = np.add.reduceat((counts > 0).astype(np.int64), begins)
+    del counts
+    all_base = np.add.reduceat(base, begins)
+    base[found.bigrams()] = 0.0
+    ids = pa.array(doc_ids, pa.int64())
+    own = [
+        ids.fill_null(0).to_numpy(zero_copy_only=False),
+        np.array(ids.is_null().to_numpy(zero_copy_only=False), np.uint8),
+        lengths.astype(np.int64),
+        known,
+        all_base,
+        np.add.reduceat(base, begins),
+    ]
+    return {"unit": turn % vocabulary.buckets, "copy": 0, "part": part, "n": 0, "data": b"", "docs": packed(own)}
+
+
+def _asked_rows(found: Located, vocabulary: Vocabulary, copies: np.ndarray, lengths: np.ndarray, part: int, turn: int) -> list[dict]:
+    at = found.bigrams()
+    first = found.first_words(at)
+    columns = [
+        found.rank[at - 1],
+        np.where(first < 0, len(found.ids), first).astype(np.int32),
+        found.rank[at],
+        np.repeat(np.arange(len(lengths), dtype=np.int32), lengths)[at],
+    ]
+    del at, first
+    ids, rows = np.append(found.ids, NO_WORD), []
+    for piece in _unit_pieces(found, vocabulary, *columns[:2]):
+        # Once per document, however often it is there.
+        (middle, first, word, doc), times = _distinct([c[piece] for c in columns])
+        for unit, some in _by_unit(found.units(vocabulary, middle, first)):
+            data = _squeezed([ids[middle[some]], ids[first[some]], ids[word[some]], doc[some], times[some]])
+            rows.append({"unit": unit, "copy": turn % int(copies[unit]), "part": part, "n": len(some), "data": data, "docs": None})
+    return rows
+
+
 def _asked(docs: DataFrame, trie: Trie) -> DataFrame:
     """Per group of documents (``part``) and unit the trigrams to be answered, with the documents they are in; and, once per
     group, what its task knows of its documents by itself."""
     vocabulary, copies = trie.vocabulary, np.array(trie.copies)
-    empty = {"n": 0, "data": b""}
 
     def ask(batches):
         # Not by enumerate, which would hold on to each group.
@@ -856,38 +927,13 @@ def _asked(docs: DataFrame, trie: Trie) -> DataFrame:
             task = TaskContext.get().partitionId()
             part, turn = (task << 32) | number, task + 7919 * number
             found = Located.of(hashes, lengths, vocabulary)
-            counts, begins, at = found.token_counts(), found.begins, found.bigrams()
-            base = vocabulary.log_p(counts)
-            alone = base.copy()
-            alone[at] = 0.0
-            known = pa.array(doc_ids, pa.int64())
-            own = [
-                known.fill_null(0).to_numpy(zero_copy_only=False),
-                np.array(known.is_null().to_numpy(zero_copy_only=False), np.uint8),
-                lengths.astype(np.int64),
-                np.add.reduceat((counts > 0).astype(np.int64), begins),
-                np.add.reduceat(base, begins),
-                np.add.reduceat(alone, begins),
-            ]
-            rows = [{"unit": turn % vocabulary.buckets, "copy": 0, "part": part, **empty, "docs": packed(own)}]
-            # A group's columns are most of a task's memory: those done with are let go, and those to be sorted narrow.
-            del hashes, counts, base, alone, own
-            first = found.first_words(at)
-            columns = [
-                found.rank[at - 1],
-                np.where(first < 0, len(found.ids), first).astype(np.int32),
-                found.rank[at],
-                np.repeat(np.arange(len(lengths), dtype=np.int32), lengths)[at],
-            ]
-            del at, first
-            # Once per document, however often it is there.
-            (middle, first, word, doc), times = _distinct(columns)
-            del columns
-            ids = np.append(found.ids, NO_WORD)
-            for unit, some in _by_unit(found.units(vocabulary, middle, first)):
-                data = _squeezed([ids[middle[some]], ids[first[some]], ids[word[some]], doc[some], times[some]])
-                rows.append({"unit": unit, "copy": turn % int(copies[unit]), "part": part, "n": len(some), "data": data, "docs": None})
+            del hashes
+            rows = [_known_row(found, vocabulary, doc_ids, lengths, part, turn)]
+            rows += _asked_rows(found, vocabulary, copies, lengths, part, turn)
+            # What is done with is let go before the next group is put together.
+            del found, doc_ids, lengths
             yield pa.RecordBatch.from_pylist(rows, ASKED_SCHEMA)
+            del rows
 
     return doc_texts(docs).mapInArrow(ask, ASKED)
 
@@ -918,6 +964,18 @@ def _log_p(vocabulary: Vocabulary, two: Successors, three: Thirds, middle: np.nd
     return np.where(code >= 0, log_of(code), np.where(seen, bigram + log_of(weight), bigram))
 
 
+def _sums(vocabulary: Vocabulary, shelves: list[tuple[Successors, Thirds]], each: list[list[np.ndarray]]) -> list[bytes]:
+    """Of each group's n-grams the sums of log10 p by document; n-grams of more than one group are looked up once."""
+    grams, place = _numbered([np.concatenate([e[k] for e in each]) for k in range(3)])
+    found = np.zeros(len(grams[0]))
+    for two, three in shelves:
+        here = np.flatnonzero((grams[0] >= two.first) & (grams[0] <= two.last))
+        if len(here):
+            found[here] = _log_p(vocabulary, two, three, *(g[here] for g in grams))
+    edges = np.cumsum([len(e[0]) for e in each])[:-1]
+    return [np.bincount(e[3], found[where] * e[4]).tobytes() for e, where in zip(each, np.split(place, edges))]
+
+
 def scores(docs: DataFrame, trie: Trie) -> DataFrame:
     """``SCORES`` of every row: the n-grams go to the units, and their sums come back to the documents."""
     vocabulary = trie.vocabulary
@@ -927,21 +985,15 @@ def scores(docs: DataFrame, trie: Trie) -> DataFrame:
             (Successors.of_block(two.as_py()), Thirds.of_block(three.as_py()))
             for two, three in zip(right.column("two"), right.column("three"))
         ]
-        asking = [i for i, d in enumerate(left.column("docs")) if not d.is_valid]
-        parts = left.column("part").to_numpy()
+        parts, sizes = left.column("part").to_numpy(), left.column("n").to_numpy()
         out = [{"part": p, "docs": d.as_py(), "sums": None} for p, d in zip(parts, left.column("docs")) if d.is_valid]
-        sizes = [left.column("n")[i].as_py() for i in asking]
-        each = [_spread_out(left.column("data")[i].as_py(), n, 5) for i, n in zip(asking, sizes)]
-        if each:
-            grams, place = _numbered([np.concatenate([e[k] for e in each]) for k in range(3)])
-            found = np.zeros(len(grams[0]))
-            for two, three in shelves:
-                here = np.flatnonzero((grams[0] >= two.first) & (grams[0] <= two.last))
-                if len(here):
-                    found[here] = _log_p(vocabulary, two, three, *(g[here] for g in grams))
-            for i, e, where in zip(asking, each, np.split(place, np.cumsum(sizes)[:-1])):
-                sums = np.bincount(e[3], found[where] * e[4])
-                out.append({"part": parts[i], "docs": None, "sums": sums.tobytes()})
+        asking = np.flatnonzero(left.column("docs").is_null().to_numpy())
+        # So many groups' n-grams at once as begin in a stretch of ``SORTED``.
+        turn = (np.cumsum(sizes[asking]) - sizes[asking]) // SORTED
+        for some in np.split(asking, np.flatnonzero(np.diff(turn)) + 1):
+            if len(some):
+                each = [_spread_out(left.column("data")[int(i)].as_py(), int(sizes[i]), 5) for i in some]
+                out += [{"part": parts[i], "docs": None, "sums": sums} for i, sums in zip(some, _sums(vocabulary, shelves, each))]
         return pa.Table.from_pylist(out, ANSWERED_SCHEMA)
 
     def together(table: pa.Table) -> pa.Table:

@@ -5,6 +5,7 @@ import hashlib
 import math
 import re
 import tracemalloc
+import types
 import zlib
 
 import numpy as np
@@ -524,3 +525,86 @@ def test_a_group_of_texts_has_no_second_copy():
     finally:
         tracemalloc.stop()
     assert len(hashes) >= lm.GROUP_TOKENS and held < 1.5 * hashes.nbytes
+
+
+class _Words:
+    """Level one of the words that are in some tokens, in memory."""
+
+    unit_at, log_p = lm.Vocabulary.unit_at, lm.Vocabulary.log_p
+
+    def __init__(self, hashes, buckets):
+        self.known, self.n = np.unique(hashes, return_counts=True)
+        self.buckets, self.tokens, self.words = buckets, len(hashes), len(self.known)
+
+    def look_up(self, hashes):
+        at = np.searchsorted(self.known, hashes)
+        return at, self.n[at]
+
+    def stretches(self, ids):
+        return (np.cumsum(self.n) - self.n)[ids], self.n[ids]
+
+
+class _Table:
+    """Gives the function that Spark would call for each task."""
+
+    def mapInArrow(self, function, schema):
+        return function
+
+
+def _senders(monkeypatch, hashes, buckets):
+    """What sends bigrams, trigrams and questions to the units."""
+    words = _Words(hashes, buckets)
+    monkeypatch.setattr(lm, "doc_texts", lambda docs: docs)
+    monkeypatch.setattr(lm, "TaskContext", types.SimpleNamespace(get=lambda: types.SimpleNamespace(partitionId=lambda: 3)))
+    return [lm._counted(_Table(), words, 2), lm._counted(_Table(), words, 3), lm._asked(_Table(), types.SimpleNamespace(vocabulary=words, copies=(1,) * buckets))]
+
+
+def _some_texts(n_docs, n_words, known, seed):
+    rng = np.random.default_rng(seed)
+    texts = [" ".join(map(str, (rng.random(n_words) ** 2 * known).astype(int).tolist())) for _ in range(n_docs)]
+    return pa.RecordBatch.from_pydict({"doc_id": list(range(n_docs)), "text": texts})
+
+
+def test_a_group_sends_its_ngrams_in_little_memory(monkeypatch):
+    """Not all of a group's n-grams are sorted at once, in each of an executor's tasks. A trigram of a document has over 64
+    bits here."""
+    batch = _some_texts(2900, 310, 400_000, 7)
+    hashes, peaks = lm.token_hashes(batch.column("text"))[0], []
+    for send in _senders(monkeypatch, hashes, 20):
+        tracemalloc.start()
+        try:
+            sent = list(send([batch]))
+            peaks.append(tracemalloc.get_traced_memory()[1] / len(hashes))
+        finally:
+            tracemalloc.stop()
+        assert len(sent) == 1
+    # Of bigrams, trigrams and questions, with what they send.
+    assert sum(peaks) < 265, peaks
+
+
+def test_pieces_of_a_group_have_all_of_their_units(monkeypatch):
+    """However many n-grams are sorted at once, the same rows go to the same units; one unit may have more than a piece."""
+    batch = _some_texts(40, 300, 30_000, 8)
+    hashes = lm.token_hashes(batch.column("text"))[0]
+    for buckets in (1, 7, 300):
+        whole = [[b.to_pylist() for b in send([batch])] for send in _senders(monkeypatch, hashes, buckets)]
+        with monkeypatch.context() as m:
+            m.setattr(lm, "SORTED", 1000, raising=False)
+            pieces = [[b.to_pylist() for b in send([batch])] for send in _senders(monkeypatch, hashes, buckets)]
+        assert pieces == whole and len(whole[1][0]) == len({r["unit"] for r in whole[1][0]})
+
+
+def test_sequences_are_made_and_read_in_little_memory():
+    """Numbers are cut and put together a step at a time; what is left grows by a few numbers for each value."""
+    values = np.cumsum(np.random.default_rng(9).integers(1, 3000, 500_000)).astype(np.uint64)
+    tracemalloc.start()
+    try:
+        sequence = EliasFano.of(values, int(values[-1]) + 1)
+        made = tracemalloc.get_traced_memory()[1]
+        tracemalloc.reset_peak()
+        again = sequence.decoded()
+        read = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert (again == values).all()
+    assert made < 24 * len(values) and read < 24 * len(values), (made / len(values), read / len(values))
