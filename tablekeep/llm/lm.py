@@ -630,9 +630,17 @@ def _together(table: pa.Table, width: int) -> tuple[list[np.ndarray], np.ndarray
     parts = [_spread_out(d.as_py(), n.as_py(), width + 1) for n, d in zip(table.column("n"), table.column("data"))]
     if not parts:
         return [np.zeros(0, np.uint32)] * width, np.zeros(0, np.int64)
-    *columns, counts = (np.concatenate([p[k] for p in parts]) for k in range(width + 1))
-    del parts
-    return _distinct(columns, counts.astype(np.int64))
+    # The parts are in order: a stretch of first words after another, of some ``SORTED`` rows unless one word has more.
+    sample = np.sort(np.concatenate([p[0][::64] for p in parts]))
+    stretches = 1 + sum(len(p[0]) for p in parts) // SORTED
+    cuts = np.unique(sample[:: -(-len(sample) // stretches)])[1:]
+    edges = [np.concatenate([[0], np.searchsorted(p[0], cuts), [len(p[0])]]) for p in parts]
+    done = []
+    for k in range(len(cuts) + 1):
+        *columns, counts = (np.concatenate([p[i][e[k] : e[k + 1]] for p, e in zip(parts, edges)]) for i in range(width + 1))
+        done.append(_distinct(columns, counts.astype(np.int64)))
+    del parts, columns, counts
+    return [np.concatenate([columns[i] for columns, _ in done]) for i in range(width)], np.concatenate([n for _, n in done])
 
 
 # ---- levels two and three
@@ -735,31 +743,37 @@ class Thirds:
 
     @classmethod
     def counted(cls, two: Successors, middle: np.ndarray, first: np.ndarray, word: np.ndarray, n: np.ndarray) -> Thirds:
-        rank, shorter = np.empty(len(middle), np.int64), np.empty(len(middle), np.uint8)
-        for a in range(0, len(middle), SORTED):
-            some = slice(a, a + SORTED)
-            rank[some], shorter[some], _ = two.find(middle[some], word[some])
-        begins = _runs([middle, first]) if len(middle) else np.zeros(0, np.int64)
-        each = np.diff(begins, append=len(middle))
-        context = np.repeat(np.arange(len(begins)), each)
-        share = (n - DISCOUNT) / np.bincount(context, n, len(begins))[context]
-        left = 1.0 - np.bincount(context, share, len(begins))
-        p = share + left[context] * 10 ** log_of(shorter)
-        # Ranks of a context begin one above the last of the context before.
-        ends = begins + each - 1
-        tops = np.cumsum(rank[ends] + 1) if len(ends) else np.zeros(0, np.int64)
-        ranks = rank + np.repeat(tops - rank[ends] - 1, each)
-        universe = int(tops[-1]) + 1 if len(tops) else 1
+        begins = _runs([middle, first])
+        bounds = np.append(begins, len(middle))
+        ranks, codes = np.empty(len(middle), np.int64), np.empty(len(middle), np.uint8)
+        backoff, top = np.empty(len(begins), np.uint8), 0
+        # Whole contexts of some ``SORTED`` rows at once.
+        cuts = np.append(np.unique(np.searchsorted(begins, np.arange(0, len(middle), SORTED), "right") - 1), len(begins))
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            rows, each = slice(bounds[a], bounds[b]), np.diff(bounds[a : b + 1])
+            rank, shorter, _ = two.find(middle[rows], word[rows])
+            context = np.repeat(np.arange(b - a), each)
+            share = (n[rows] - DISCOUNT) / np.bincount(context, n[rows], b - a)[context]
+            left = 1.0 - np.bincount(context, share, b - a)
+            p = share + left[context] * 10 ** log_of(shorter)
+            # Ranks of a context begin one above the last of the context before.
+            last = rank[np.cumsum(each) - 1]
+            tops = top + np.cumsum(last + 1)
+            ranks[rows] = rank + np.repeat(tops - last - 1, each)
+            top = int(tops[-1])
+            backoff[a:b] = quantised(np.log10(np.maximum(left, 1e-12)))
+            codes[rows] = quantised(np.log10(p))
+        universe = top + 1
         placed = (_wide(middle[begins]) - two.first).astype(np.uint64) * np.uint64(two.words) + first[begins].astype(np.uint64)
         return cls(
             two.first,
             two.words,
             EliasFano.of(placed, (two.last - two.first + 1) * two.words),
-            EliasFano.of(np.concatenate([begins, [len(middle)]]), len(middle) + 1),
+            EliasFano.of(bounds, len(middle) + 1),
             EliasFano.of(ranks, universe),
             universe,
-            quantised(np.log10(np.maximum(left, 1e-12))),
-            quantised(np.log10(p)),
+            backoff,
+            codes,
         )
 
     def block(self) -> bytes:

@@ -594,6 +594,41 @@ def test_pieces_of_a_group_have_all_of_their_units(monkeypatch):
         assert pieces == whole and len(whole[1][0]) == len({r["unit"] for r in whole[1][0]})
 
 
+@pytest.mark.parametrize("least", [1, 100, 1 << 18])
+def test_parts_of_a_unit_come_together_by_stretches(monkeypatch, least):
+    """Every n-gram once, in order, with the sum of its counts; one word may have more than a stretch, and all may be one."""
+    monkeypatch.setattr(lm, "SORTED", least, raising=False)
+    rng = np.random.default_rng(10)
+    for words in (1, 3, 4000):
+        expected, rows = collections.Counter(), []
+        for n in (700, 1, 90):
+            grams = np.unique(rng.integers(0, words, (n, 3)), axis=0)
+            times = rng.integers(1, 9, len(grams))
+            for g, t in zip(grams.tolist(), times.tolist()):
+                expected[tuple(g)] += t
+            rows.append({"n": len(grams), "data": lm._squeezed([*grams.T, times])})
+        columns, counts = lm._together(pa.Table.from_pylist(rows), 3)
+        assert [*zip(zip(*(c.tolist() for c in columns)), counts.tolist())] == sorted(expected.items())
+
+
+def test_level_three_is_made_by_whole_contexts(monkeypatch):
+    """The same block, whatever is counted at once: a context may have more, and there may be none."""
+    rng = np.random.default_rng(11)
+    words = _Words(np.arange(300).repeat(5), 1)
+    words.counts_of = lambda ids: words.n[ids.astype(np.int64)]
+    for size in (0, 1, 5000):
+        grams = np.unique((rng.random((size, 3)) ** 2 * [4, 4, 300]).astype(np.uint32), axis=0)
+        middle, first, word = grams.reshape(-1, 3).T
+        pairs = np.unique(np.array([*zip(middle, word), (3, 7)]), axis=0).astype(np.uint32)
+        two = lm.Successors.counted(words, *pairs.T, np.full(len(pairs), 3))
+        n = rng.integers(1, 4, len(grams))
+        whole = lm.Thirds.counted(two, middle, first, word, n).block()
+        for least in (1, 50, 1000):
+            monkeypatch.setattr(lm, "SORTED", least, raising=False)
+            assert lm.Thirds.counted(two, middle, first, word, n).block() == whole
+        monkeypatch.undo()
+
+
 def test_sequences_are_made_and_read_in_little_memory():
     """Numbers are cut and put together a step at a time; what is left grows by a few numbers for each value."""
     values = np.cumsum(np.random.default_rng(9).integers(1, 3000, 500_000)).astype(np.uint64)
